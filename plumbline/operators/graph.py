@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from heapq import heapify, heappop, heappush
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +71,7 @@ def shortest_paths(
     edges: DataFrame,
     sources: DataFrame,
     partitions: int | None = None,
-    rounds_per_job: int = 8,
+    rounds_per_job: int = 2,
     max_rounds: int | None = None,
 ) -> DataFrame:
     """Lowest cost from the nearest source to every node that can be reached.
@@ -76,32 +80,33 @@ def shortest_paths(
     Result: node, cost, hops, where hops is the least number of edges at that cost.
     Nodes out of reach are absent.
 
-    In each round the nodes improved last pass their cost over their edges; per
-    target only the best offer is shuffled and merged. The edges are shuffled
-    once and kept by source; the state stays partitioned by node, so a round
-    moves the offers of the frontier and nothing else. After ``rounds_per_job``
-    rounds the state goes to the checkpoint folder, which cuts the lineage and
-    lets a lost executor's part be read again. ``max_rounds`` is a guard that
-    raises when paths are longer than expected; it never shortens a result.
+    In each round the nodes improved last pass their cost over their edges, and
+    per target the best offer is compared with the known cost. Each node also has
+    a loop edge that carries its known cost to the same comparison, so a round is
+    one join with the edges, kept by source, and one aggregation, combined before
+    its shuffle. After ``rounds_per_job`` rounds the state goes to the checkpoint
+    folder, which cuts the lineage and lets a lost executor's part be read again.
+    ``max_rounds`` is a guard that raises when paths are longer than expected; it
+    never shortens a result.
     """
     spark = edges.sparkSession
     enable_checkpoints(spark)
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kept = edges.select("src", "dst", F.col("weight").cast("double").alias("weight")).repartition(count, "src").persist()
-    state = (
-        sources.select("node")
-        .distinct()
-        .repartition(count, "node")
-        .select("node", F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("hops")).alias("best"), F.lit(True).alias("new"))
-        .checkpoint()
+    steps = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(False).alias("loop"))
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("src")).unionByName(
+        sources.select(F.col("node").alias("src"))
     )
+    loops = nodes.distinct().select("src", F.col("src").alias("dst"), F.lit(0.0).alias("weight"), F.lit(True).alias("loop"))
+    kept = steps.unionByName(loops).repartition(count, "src").persist()
+    start = F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("hops"))
+    state = sources.select("node").distinct().select("node", start.alias("best"), F.lit(True).alias("new")).checkpoint()
     rounds = 0
     try:
         while not state.where("new").isEmpty():
             if max_rounds is not None and rounds >= max_rounds:
                 raise RuntimeError(f"no fixed point after {rounds} rounds")
             for _ in range(rounds_per_job):
-                state = _relax(state, kept, count)
+                state = _relax(state, kept)
             state = state.checkpoint()
             rounds += rounds_per_job
     finally:
@@ -109,16 +114,115 @@ def shortest_paths(
     return state.select("node", "best.cost", "best.hops")
 
 
-def _relax(state: DataFrame, edges: DataFrame, count: int) -> DataFrame:
-    """One round: offers of the new nodes, best offer per node against the known cost."""
-    frontier = state.where("new").select(F.col("node").alias("src"), "best")
-    offer = F.struct((F.col("best.cost") + F.col("weight")).alias("cost"), (F.col("best.hops") + 1).alias("hops"))
-    offers = frontier.join(edges, "src").groupBy(F.col("dst").alias("node")).agg(F.min(offer).alias("best"))
-    both = state.select("node", "best", F.lit(False).alias("new")).unionByName(
-        offers.select("node", "best", F.lit(True).alias("new"))
+def _relax(state: DataFrame, edges: DataFrame) -> DataFrame:
+    """One round. The known cost wins ties, so a node is new only when it has improved."""
+    passed = state.join(edges, (F.col("node") == F.col("src")) & (F.col("new") | F.col("loop")))
+    hops = F.col("best.hops") + F.when(F.col("loop"), F.lit(0)).otherwise(F.lit(1))
+    offer = F.struct((F.col("best.cost") + F.col("weight")).alias("cost"), hops.alias("hops"))
+    candidate = F.struct(offer.alias("best"), (~F.col("loop")).alias("new"))
+    best = passed.groupBy(F.col("dst").alias("node")).agg(F.min(candidate).alias("m"))
+    return best.select("node", "m.best", "m.new")
+
+
+def tile_of(node: Column | str, side: int = 32) -> Column:
+    """Square tile of a grid cell: at most ``side * side`` cells share one."""
+    return cell_id(F.floor(cell_row(node) / side), F.floor(cell_col(node) / side))
+
+
+def shortest_paths_by_block(
+    edges: DataFrame, sources: DataFrame, block_of: Callable[[Column], Column], max_rounds: int | None = None
+) -> DataFrame:
+    """:func:`shortest_paths` for graphs with long paths that fall into small blocks, such as grids in tiles.
+
+    ``block_of`` maps a node to its block; blocks must be bounded in size, as one
+    task holds one block and its inner edges at a time. A round settles the
+    blocks that were offered something better, each within itself, and then
+    passes the improved costs over the edges between blocks. So the number of
+    rounds follows the number of blocks a path crosses, not its edges, and a
+    round touches only the blocks at the frontier. The state is checkpointed
+    after every round.
+    """
+    spark = edges.sparkSession
+    enable_checkpoints(spark)
+    placed = edges.select(
+        "src", "dst", F.col("weight").cast("double").alias("weight"), block_of(F.col("src")).alias("block"),
+        block_of(F.col("dst")).alias("to_block"),
+    ).persist()
+    inner = placed.where("block = to_block").select("block", "src", "dst", "weight")
+    between = placed.where("block <> to_block").select("src", "dst", "weight", "to_block")
+    offers = sources.distinct().select(
+        block_of(F.col("node")).alias("block"), "node", F.lit(0.0).alias("cost"), F.lit(0).alias("hops")
+    )
+    state = spark.createDataFrame([], _STATE)
+    rounds = 0
+    try:
+        while True:
+            active = offers.select("block").distinct()
+            known = state.join(active, "block", "left_semi").select("block", "node", "cost", "hops", F.lit(False).alias("offer"))
+            given = offers.select("block", "node", "cost", "hops", F.lit(True).alias("offer"))
+            settled = (
+                known.unionByName(given)
+                .groupBy("block")
+                .cogroup(inner.join(active, "block", "left_semi").groupBy("block"))
+                .applyInPandas(settle_block, _STATE)
+            )
+            calm = state.join(active, "block", "left_anti").withColumn("new", F.lit(False))
+            state = calm.unionByName(settled).checkpoint()
+            rounds += 1
+            better = state.where("new").select(F.col("node").alias("src"), "cost", "hops")
+            offer = F.struct((F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + 1).alias("hops"))
+            best = better.join(between, "src").groupBy(F.col("dst").alias("node"), F.col("to_block").alias("block")).agg(
+                F.min(offer).alias("o")
+            )
+            current = state.select("node", F.struct("cost", "hops").alias("k"))
+            offers = (
+                best.join(current, "node", "left")
+                .where("k IS NULL OR o < k")
+                .select("block", "node", "o.cost", "o.hops")
+                .checkpoint()
+            )
+            if offers.isEmpty():
+                return state.select("node", "cost", "hops")
+            if max_rounds is not None and rounds >= max_rounds:
+                raise RuntimeError(f"no fixed point after {rounds} rounds")
+    finally:
+        placed.unpersist()
+
+
+_STATE = "block bigint, node bigint, cost double, hops int, new boolean"
+
+
+def settle_block(rows: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """Known costs of one block lowered by the offers and along the block's own edges."""
+    before = {}
+    now = {}
+    for node, cost, hops, offer in zip(rows["node"], rows["cost"], rows["hops"], rows["offer"]):
+        if not offer:
+            before[node] = (cost, hops)
+        now[node] = min(now.get(node, (cost, hops)), (cost, hops))
+    ahead: dict[int, list[tuple[int, float]]] = {}
+    for src, dst, weight in zip(edges["src"], edges["dst"], edges["weight"]):
+        ahead.setdefault(src, []).append((dst, weight))
+    queue = [(*best, node) for node, best in now.items() if best != before.get(node)]
+    heapify(queue)
+    while queue:
+        cost, hops, node = heappop(queue)
+        if (cost, hops) > now[node]:
+            continue
+        for dst, weight in ahead.get(node, ()):
+            reached = (cost + weight, hops + 1)
+            if dst not in now or reached < now[dst]:
+                now[dst] = reached
+                heappush(queue, (*reached, dst))
+    return pd.DataFrame(
+        {
+            "block": rows["block"].iloc[0],
+            "node": list(now),
+            "cost": [best[0] for best in now.values()],
+            "hops": [best[1] for best in now.values()],
+            "new": [best != before.get(node) for node, best in now.items()],
+        }
     )
-    # The known cost wins ties, so a node is new only when it has improved.
-    return both.groupBy("node").agg(F.min(F.struct("best", "new")).alias("_m")).select("node", "_m.best", "_m.new")
 
 
 def predecessors(edges: DataFrame, distances: DataFrame) -> DataFrame:

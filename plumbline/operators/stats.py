@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,25 +92,38 @@ def zscore_normalize(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.withColumn(out, _scaled(value, spread["mean"], spread["sd"]))
 
 
-def _as_doubles(column: str) -> Column:
-    return F.transform(column, lambda v: v.cast("double"))
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body mentions it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _array_mean(values: Column) -> Column:
     return F.try_divide(F.aggregate(values, F.lit(0.0), lambda total, v: total + v), F.size(values))
 
 
+def _rescaled(values: Column, shift: Column, scale: Column) -> Column:
+    """Each value minus ``shift`` over ``scale``."""
+    pair = F.struct(shift.alias("shift"), scale.alias("scale"))
+    return _bind(pair, lambda p: F.transform(values, lambda v: _scaled(v, p["shift"], p["scale"])))
+
+
 def minmax_normalize_array(df: DataFrame, column: str, out: str) -> DataFrame:
     """Scale the values inside each array to 0..1."""
-    values = _as_doubles(column)
-    low, high = F.array_min(values), F.array_max(values)
-    return df.withColumn(out, F.transform(values, lambda v: _scaled(v, low, high - low)))
+
+    def scaled(values: Column) -> Column:
+        low = F.array_min(values)
+        return _rescaled(values, low, F.array_max(values) - low)
+
+    return df.withColumn(out, _bind(F.col(column).cast("array<double>"), scaled))
 
 
 def zscore_normalize_array(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Z-scores within each array; mean and deviation are computed once per row."""
-    spread = df.withColumn("_values", _as_doubles(column)).withColumn("_mean", _array_mean(F.col("_values")))
-    squares = F.transform("_values", lambda v: (v - F.col("_mean")) * (v - F.col("_mean")))
-    spread = spread.withColumn("_sd", F.sqrt(_array_mean(squares)))
-    scored = F.transform("_values", lambda v: _scaled(v, F.col("_mean"), F.col("_sd")))
-    return spread.withColumn(out, scored).drop("_values", "_mean", "_sd")
+    """Z-scores within each array."""
+
+    def deviation(values: Column, center: Column) -> Column:
+        return F.sqrt(_array_mean(F.transform(values, lambda v: (v - center) * (v - center))))
+
+    def scored(values: Column) -> Column:
+        return _bind(_array_mean(values), lambda center: _rescaled(values, center, deviation(values, center)))
+
+    return df.withColumn(out, _bind(F.col(column).cast("array<double>"), scored))

@@ -155,13 +155,13 @@ def _grid(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataF
 
 def _shortest(spark: SparkSession, folder: str) -> DataFrame:
     edges, source, _ = _grid(spark, folder)
-    found = graph.shortest_paths(edges, source)
+    found = graph.shortest_paths_by_block(edges, source, graph.tile_of)
     return found.select(graph.cell_row("node").alias("row"), graph.cell_col("node").alias("col"), "cost", "hops")
 
 
 def _route(spark: SparkSession, folder: str) -> DataFrame:
     edges, source, target = _grid(spark, folder)
-    steps = graph.routes(edges, graph.shortest_paths(edges, source), target)
+    steps = graph.routes(edges, graph.shortest_paths_by_block(edges, source, graph.tile_of), target)
     return steps.select("step", graph.cell_row("node").alias("row"), graph.cell_col("node").alias("col"), "cost")
 
 
@@ -174,7 +174,7 @@ def _supply_paths(spark: SparkSession, folder: str) -> DataFrame:
     edges = links.select(F.col("part").alias("src"), F.col("supplier").alias("dst"), "weight").unionByName(
         links.select(F.col("supplier").alias("src"), F.col("part").alias("dst"), "weight")
     )
-    return graph.shortest_paths(edges, links.agg(F.min("supplier").alias("node")), rounds_per_job=4)
+    return graph.shortest_paths(edges, links.agg(F.min("supplier").alias("node")))
 
 
 def _normalized(normalize: Callable[..., DataFrame]) -> Query:

@@ -79,8 +79,19 @@ lines AS (
     AND n_regionkey = r_regionkey AND l_partkey = p_partkey AND r_name <> 'ASIA'
 )"""
 
+ENTITIES = {"&quot;": '"', "&#x27;": "''", "&#39;": "''", "&lt;": "<", "&gt;": ">", "&copy;": "©", "&middot;": "·"}
+
+
+def unescaped(x: str) -> str:
+    """The entities that occur in the pages, ampersands last."""
+    for entity, sign in ENTITIES.items():
+        x = f"replace({x}, '{entity}', '{sign}')"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
+
+
 # Pages without noscript, whose only script and style are in the head.
-PAGE_TEXT = r"""
+COLLAPSED = r"regexp_replace(array_to_string(piece, ' '), '\s{2,}', ' ', 'g')"
+PAGE_TEXT = rf"""
 bodies AS (
   SELECT url, html,
          regexp_replace(regexp_replace(html, '<!--.*?-->', '<x>', 'gs'), '<head>.*?</head>', '<x>', 'gs') AS body
@@ -92,8 +103,7 @@ bodies AS (
   FROM bodies
 ), texts AS (
   SELECT url, html,
-         regexp_replace(replace(replace(regexp_replace(array_to_string(piece, ' '), '\s{2,}', ' ', 'g'),
-           '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g') AS text
+         {unescaped(COLLAPSED)} AS text
   FROM pieces
 )"""
 WORDS = r"CAST(len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> '')) AS INTEGER)"
@@ -250,8 +260,8 @@ SELECT {half_up("y - ca * a - cb * b", 6)} AS intercept, {half_up("ca", 6)} AS c
   {half_up("avg(trip_duration_mins)", 6)} AS mean, {half_up("stddev_pop(trip_duration_mins)", 6)} AS std FROM trips""",
         "page_text": f"WITH {PAGE_TEXT} SELECT url, text FROM texts",
         "page_metadata": rf"""WITH {PAGE_TEXT} SELECT url,
-  regexp_replace(trim(regexp_extract(html, '<title>(.*?)</title>', 1, 's')), '&amp;?', '&', 'g') AS title, '' AS description,
-  regexp_replace(trim(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')), '&amp;?', '&', 'g') AS h1s, {WORDS} AS word_count FROM texts""",
+  {unescaped("trim(regexp_extract(html, '<title>(.*?)</title>', 1, 's'))")} AS title, '' AS description,
+  {unescaped("trim(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'))")} AS h1s, {WORDS} AS word_count FROM texts""",
         "page_stats": f"WITH {PAGE_TEXT} SELECT url, {WORDS} AS word_count, CAST(0 AS INTEGER) AS image_count FROM texts",
         "drop_failed_pages": f"{catalog} SELECT url, CAST(NULL AS VARCHAR) AS error FROM shop",
         "page_images": f"""{catalog} SELECT url, CAST(0 AS INTEGER) AS position, 'http://catalog.example.com/img/' || p_partkey || '.png' AS src, p_name AS alt FROM shop
