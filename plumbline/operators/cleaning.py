@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, FloatType, TimestampNTZType, TimestampType
 
 from plumbline.functions import numbers, texts, times
 
@@ -52,11 +53,11 @@ def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 def coerce_timestamp(df: DataFrame, columns: Iterable[str], formats: tuple[str, ...] = ()) -> DataFrame:
     """Make columns zone-free timestamps; what cannot be read becomes null."""
     changes: dict[str, Column] = {}
+    kinds = dict(df.dtypes)
     for name in columns:
-        kind = df.schema[name].dataType
-        if isinstance(kind, (TimestampType, DateType)):
+        if kinds[name] in ("timestamp", "date"):
             changes[name] = F.col(name).cast("timestamp_ntz")
-        elif not isinstance(kind, TimestampNTZType):
+        elif kinds[name] != "timestamp_ntz":
             changes[name] = times.to_timestamp(name, formats)
     return df.withColumns(changes) if changes else df
 
@@ -67,24 +68,22 @@ def coerce_double(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     A column that is a double already is left alone, so that later filters on it
     still reach the file scan; ``drop_nulls`` and range filters remove its NaN.
     """
-    changes = {c: numbers.to_double(c) for c in columns if not isinstance(df.schema[c].dataType, DoubleType)}
+    kinds = dict(df.dtypes)
+    changes = {c: numbers.to_double(c) for c in columns if kinds[c] != "double"}
     return df.withColumns(changes) if changes else df
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop rows with null or NaN in any of the columns (null checks reach the file scan)."""
-    for name in columns:
-        df = df.where(F.col(name).isNotNull())
-        if isinstance(df.schema[name].dataType, (FloatType, DoubleType)):
-            df = df.where(~F.isnan(name))
-    return df
+    kinds = dict(df.dtypes)
+    tests = [F.col(c).isNotNull() for c in columns]
+    tests += [~F.isnan(c) for c in columns if kinds[c] in ("float", "double")]
+    return df.where(reduce(and_, tests))
 
 
 def between_filter(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Keep rows inside every range, bounds included."""
-    for name, (low, high) in ranges.items():
-        df = df.where(F.col(name).between(F.lit(low), F.lit(high)))
-    return df
+    return df.where(reduce(and_, [F.col(c).between(low, high) for c, (low, high) in ranges.items()]))
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -122,17 +121,16 @@ def clean_trips(
     start, end = "tpep_pickup_datetime", "tpep_dropoff_datetime"
     trips = coerce_double(coerce_timestamp(trips, [start, end]), ["fare_amount", "trip_distance"])
     trips = between_filter(drop_nulls(trips, list(aliases)), ranges)
-    trips = add_trip_features(trips)
-    if "payment_type" in trips.columns:
-        return trips.withColumn("payment_type", F.col("payment_type").cast("string"))
-    return trips.withColumn("payment_type", F.lit(default_payment_type).cast("string"))
+    kind = F.col("payment_type") if "payment_type" in trips.columns else F.lit(default_payment_type)
+    return add_trip_features(trips).withColumn("payment_type", kind.cast("string"))
 
 
 def add_trip_features(trips: DataFrame) -> DataFrame:
     """Duration, cost per mile, hour and weekday of a trip."""
     start, end = "tpep_pickup_datetime", "tpep_dropoff_datetime"
-    return add_duration(trips, start, end, "trip_duration_mins").withColumns(
+    return trips.withColumns(
         {
+            "trip_duration_mins": numbers.clip(times.minutes_between(start, end), *DURATION_MINUTES),
             "cost_per_mile": numbers.ratio("fare_amount", "trip_distance", DISTANCE_FLOOR),
             "hour_of_day": times.hour_of_day(start),
             "day_of_week": times.day_of_week(start),

@@ -64,7 +64,8 @@ def page_fields(html: Column | str, fields: Sequence[str], strip_head: bool = Tr
     def read(batch: pa.Array) -> pa.Array:
         return pa.array([one(text.as_py()) for text in batch], type=arrow_type)
 
-    return read(F.col(html) if isinstance(html, str) else html)
+    # Without this mark the optimizer may copy the call, say into a filter before an explode.
+    return read.asNondeterministic()(F.col(html) if isinstance(html, str) else html)
 
 
 def may_contain(html: Column | str, marker: str) -> Column:

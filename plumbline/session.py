@@ -15,7 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture costs a round trip to the JVM for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

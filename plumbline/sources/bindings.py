@@ -17,8 +17,42 @@ MISSING_REGION = "ASIA"
 REGIONS = ("AFRICA", "AMERICA", "EUROPE", "MIDDLE EAST")
 
 
+# The columns of the source tables. Declared, so that reading needs no look into the files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work per row when a small table has fewer file splits than cores.
+
+    Tables with enough splits, that is all large ones, are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +160,9 @@ def cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select("url", "html", F.lit(None).cast("string").alias("error"))
+    """The crawl as it is; no fetch error is on record."""
+    crawl = spread(table(spark, folder, "pages").select("url", "html"))
+    return crawl.withColumn("error", F.lit(None).cast("string"))
 
 
 def catalog_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -170,7 +206,8 @@ def catalog_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("</body></html>"),
     )
     failed = F.col("p_size") % 10 == 0
-    return table(spark, folder, "part").select(
+    columns = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
+    return spread(table(spark, folder, "part").select(*columns)).select(
         F.concat(F.lit("http://catalog.example.com/part/"), key).alias("url"),
         F.when(failed, F.lit("")).otherwise(html).alias("html"),
         F.when(failed, F.lit("timeout")).alias("error"),
