@@ -73,6 +73,7 @@ def shortest_paths(
     partitions: int | None = None,
     rounds_per_job: int = 2,
     max_rounds: int | None = None,
+    hub_degree: int = 1_000_000,
 ) -> DataFrame:
     """Lowest cost from the nearest source to every node that can be reached.
 
@@ -84,22 +85,29 @@ def shortest_paths(
     per target the best offer is compared with the known cost. Each node also has
     a loop edge that carries its known cost to the same comparison, so a round is
     one join with the edges, kept by source, and one aggregation, combined before
-    its shuffle. After ``rounds_per_job`` rounds the state goes to the checkpoint
-    folder, which cuts the lineage and lets a lost executor's part be read again.
-    ``max_rounds`` is a guard that raises when paths are longer than expected; it
-    never shortens a result.
+    its shuffle. The edges of a node with more than ``hub_degree`` of them are cut
+    into parts that lie in different partitions. After ``rounds_per_job`` rounds
+    the state goes to the checkpoint folder, which cuts the lineage and lets a
+    lost executor's part be read again. ``max_rounds`` is a guard that raises when
+    paths are longer than expected; it never shortens a result.
     """
     spark = edges.sparkSession
     enable_checkpoints(spark)
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    steps = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(False).alias("loop"))
-    nodes = edges.select(F.explode(F.array("src", "dst")).alias("src")).unionByName(
-        sources.select(F.col("node").alias("src"))
+    start = sources.select("node").distinct()
+    hubs = (
+        edges.groupBy(F.col("src").alias("node"))
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(hub_degree)).cast("int").alias("parts"))
+        .where("parts > 1")
+        .checkpoint()
+    )
+    kept = _split_edges(edges, start, hubs).repartition(count, "src", "part").persist()
+    best = F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("hops"))
+    state = (
+        start.join(hubs, "node", "left")
+        .select("node", best.alias("best"), F.lit(True).alias("new"), F.coalesce("parts", F.lit(1)).alias("parts"))
+        .checkpoint()
     )
-    loops = nodes.distinct().select("src", F.col("src").alias("dst"), F.lit(0.0).alias("weight"), F.lit(True).alias("loop"))
-    kept = steps.unionByName(loops).repartition(count, "src").persist()
-    start = F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("hops"))
-    state = sources.select("node").distinct().select("node", start.alias("best"), F.lit(True).alias("new")).checkpoint()
     rounds = 0
     try:
         while not state.where("new").isEmpty():
@@ -114,14 +122,36 @@ def shortest_paths(
     return state.select("node", "best.cost", "best.hops")
 
 
+def _split_edges(edges: DataFrame, start: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Edges and loops with the part of the source they belong to and the number of parts of their target."""
+    from_parts = hubs.select(F.col("node").alias("src"), F.col("parts").alias("src_parts"))
+    to_parts = hubs.select(F.col("node").alias("dst"), "parts")
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("src")).unionByName(start.select(F.col("node").alias("src")))
+    loops = ends.distinct().select("src", F.col("src").alias("dst"), F.lit(0.0).alias("weight"), F.lit(True).alias("loop"))
+    steps = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(False).alias("loop"))
+    if hubs.isEmpty():
+        return steps.unionByName(loops).withColumns({"part": F.lit(0), "parts": F.lit(1)})
+    part = F.when(F.col("loop"), F.lit(0)).otherwise(F.pmod(F.hash("dst"), F.coalesce("src_parts", F.lit(1))))
+    return (
+        steps.unionByName(loops)
+        .join(from_parts, "src", "left")
+        .join(to_parts, "dst", "left")
+        .select("src", part.alias("part"), "dst", "weight", "loop", F.coalesce("parts", F.lit(1)).alias("parts"))
+    )
+
+
 def _relax(state: DataFrame, edges: DataFrame) -> DataFrame:
     """One round. The known cost wins ties, so a node is new only when it has improved."""
-    passed = state.join(edges, (F.col("node") == F.col("src")) & (F.col("new") | F.col("loop")))
+    reach = F.when(F.col("new"), F.col("parts")).otherwise(F.lit(1))
+    senders = state.select(
+        F.col("node").alias("src"), "best", "new", F.explode(F.sequence(F.lit(0), reach - 1)).alias("part")
+    )
+    passed = senders.join(edges, ["src", "part"]).where("new OR loop")
     hops = F.col("best.hops") + F.when(F.col("loop"), F.lit(0)).otherwise(F.lit(1))
     offer = F.struct((F.col("best.cost") + F.col("weight")).alias("cost"), hops.alias("hops"))
     candidate = F.struct(offer.alias("best"), (~F.col("loop")).alias("new"))
-    best = passed.groupBy(F.col("dst").alias("node")).agg(F.min(candidate).alias("m"))
-    return best.select("node", "m.best", "m.new")
+    best = passed.groupBy(F.col("dst").alias("node")).agg(F.min(candidate).alias("m"), F.max("parts").alias("parts"))
+    return best.select("node", "m.best", "m.new", "parts")
 
 
 def tile_of(node: Column | str, side: int = 32) -> Column:

@@ -16,6 +16,7 @@ from plumbline.operators import cleaning, graph, pages, sales, stats, trips
 from plumbline.plans import reports
 from plumbline.session import scratch_table_path
 from plumbline.sources import bindings, files
+from plumbline.streaming.append import append_new_pages
 
 DIGITS = 6
 CATALOG_SITE = "http://catalog.example.com"
@@ -31,8 +32,8 @@ def _exact(report: Callable[..., DataFrame], **options) -> Callable[[DataFrame],
 
 
 def _filtered(spark: SparkSession, folder: str) -> DataFrame:
-    return trips.filtered_trips(cleaning.normalize_columns(cleaning.resolve_aliases(
-        cleaning.normalize_columns(bindings.raw_trips(spark, folder)), cleaning.TRIP_ALIASES)))
+    raw = cleaning.normalize_columns(bindings.raw_trips(spark, folder))
+    return trips.filtered_trips(cleaning.resolve_aliases(raw, cleaning.TRIP_ALIASES))
 
 
 def _net_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,6 +95,24 @@ def _appended_twice(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_jsonl(spark, path, batch.schema)
 
 
+def _streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages through the stream into an empty store; a second run finds nothing new."""
+    path = scratch_table_path(spark, "stream")
+    for run in range(2):
+        crawl = spark.readStream.schema(bindings.SCHEMAS["pages"]).option("pathGlobFilter", "pages.parquet").parquet(folder)
+        batch = crawl.select("url", F.length("html").alias("html_length"))
+        append_new_pages(batch, path, f"{path}-checkpoint-{run}").awaitTermination()
+    return files.read_jsonl(spark, path, batch.schema)
+
+
+def _reported(spark: SparkSession, folder: str) -> DataFrame:
+    """The key figures of the JSON report, rounded there, read back."""
+    path = scratch_table_path(spark, "report")
+    figures = sales.summary_stats(bindings.sales(spark, folder), digits=DIGITS)
+    files.write_report({"summary_stats": figures}, path)
+    return files.read_jsonl(spark, f"{path}/summary_stats", figures.schema)
+
+
 def _line_count(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_table_path(spark, "lines")
     files.write_jsonl(bindings.pages(spark, folder).select("url"), path)
@@ -256,6 +275,8 @@ def queries() -> dict[str, Query]:
         "build_dataset": _dataset,
         # Sources and sinks
         "append_new_pages": _appended_twice,
+        "stream_new_pages": _streamed,
+        "report_key_figures": _reported,
         "jsonl_line_count": _line_count,
         "csv_round_trip": _csv_round_trip,
         "cleaned_parquet_reuse": _reused_parquet,

@@ -277,6 +277,10 @@ UNION ALL SELECT url, 1, '{{"offers": ' || p_partkey || '}}' FROM shop WHERE p_p
         "multimodal_records": CATALOG_RECORDS,
         "build_dataset": CATALOG_RECORDS,
         "append_new_pages": "SELECT DISTINCT url, CAST(length(html) AS INTEGER) AS html_length FROM pages",
+        "stream_new_pages": "SELECT DISTINCT url, CAST(length(html) AS INTEGER) AS html_length FROM pages",
+        "report_key_figures": f"""WITH {SALES} SELECT COUNT(*) AS total_orders, {half_up(added("revenue"), 4)} AS total_revenue,
+{half_up(averaged("revenue"), 4)} AS avg_order_value, {half_up("max(revenue)", 4)} AS max_order_value, {half_up("min(revenue)", 4)} AS min_order_value,
+COUNT(DISTINCT customer_id) AS unique_customers, COUNT(DISTINCT product) AS unique_products FROM sales""",
         "jsonl_line_count": "SELECT COUNT(*) AS line_count FROM pages",
         "csv_round_trip": "SELECT o_orderkey, o_orderdate, o_totalprice, o_orderpriority FROM orders",
         "cleaned_parquet_reuse": f"WITH {TRIPS} SELECT hour_of_day, {avg_fare}, {trip_count}, {fare_total} FROM trips GROUP BY hour_of_day",

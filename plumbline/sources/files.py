@@ -17,22 +17,24 @@ def read_parquet(
 ) -> DataFrame:
     """All Parquet files of a folder as one table; unreadable files are skipped.
 
-    ``max_rows`` keeps the first rows in file-name order. The cut is made per
-    file, from the row counts in the footers and each row's position in its file,
-    so no task ever sees more than its own file split. ``merge_schema`` takes the
-    union of the files' columns and can be turned off when they agree.
+    ``max_rows`` keeps the first rows in file-name order. The cut is one file and a
+    position in it, found from the row counts in the footers, and each task checks
+    its own rows against it: no join, no shuffle, no single task for the limit.
+    ``merge_schema`` takes the union of the files' columns and can be turned off
+    when they agree.
     """
     reader = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", True)
     table = reader.parquet(folder)
     if max_rows is None:
         return table
-    path = F.col("_metadata.file_path")
-    counts = table.groupBy(path.alias("_path")).count()
-    before = F.sum("count").over(Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1))
+    path, position = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    counts = table.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per file.
+    before = F.sum("n").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1))
     left = F.lit(int(max_rows)) - F.coalesce(before, F.lit(0))
-    wanted = counts.select("_path", left.alias("_left")).where("_left > 0")
-    placed = table.withColumns({"_path": path, "_position": F.col("_metadata.row_index")})
-    return placed.join(wanted, "_path").where("_position < _left").select(*table.columns)
+    wanted = counts.select("path", left.alias("left")).where("left > 0")
+    cut = wanted.agg(F.max(F.struct("path", "left"))).scalar()
+    return table.where((path < cut["path"]) | ((path == cut["path"]) & (position < cut["left"])))
 
 
 def read_csv(
@@ -135,12 +137,11 @@ def write_report(
 def append_new(batch: DataFrame, path: str, key: str = "url") -> None:
     """Append the rows whose key the JSON-lines table at ``path`` does not hold yet.
 
-    Known keys are found by an anti join on the key column alone. Several rows
-    with one new key count once, the smallest by their JSON text, so the result does
-    not depend on how the rows were spread over tasks. Running the same batch
-    again adds nothing.
+    Several rows with one new key count once, the smallest by their JSON text, so
+    the result does not depend on how the rows were spread over tasks. They are
+    reduced before the anti join, which uses the same partitioning by key. Running
+    the same batch again adds nothing.
     """
-    spark = batch.sparkSession
-    known = read_jsonl(spark, path, f"`{key}` string").select(key).distinct()
-    fresh = batch.join(known, key, "left_anti").select(*batch.columns)
-    write_jsonl(dedupe(fresh, [key], [F.to_json(F.struct(*batch.columns))]), path, mode="append")
+    known = read_jsonl(batch.sparkSession, path, f"`{key}` string").select(key)
+    once = dedupe(batch, [key], [F.to_json(F.struct(*batch.columns))])
+    write_jsonl(once.join(known, key, "left_anti").select(*batch.columns), path, mode="append")

@@ -98,6 +98,20 @@ def test_several_sources_and_free_edges(spark):
     assert [r.node for r in route.collect()] == [1, 2, 3, 4]
 
 
+def test_hub_edges_are_split_and_results_stay_whole(spark):
+    rng = random.Random(7)
+    spokes = [(0, i, float(rng.randint(1, 9))) for i in range(1, 301)] + [(i, 0, 1.0) for i in range(1, 301)]
+    chords = [(rng.randint(1, 300), rng.randint(1, 300), float(rng.randint(1, 3))) for _ in range(300)]
+    edges = spark.createDataFrame(spokes + chords, "src bigint, dst bigint, weight double")
+    source = spark.createDataFrame([(5,)], "node bigint")
+    whole = {tuple(r) for r in graph.shortest_paths(edges, source).collect()}
+    split = {tuple(r) for r in graph.shortest_paths(edges, source, hub_degree=40).collect()}
+    assert split == whole and len(whole) == 301
+    parts = graph._split_edges(edges, source, spark.createDataFrame([(0, 8)], "node bigint, parts int"))
+    assert parts.where("src = 0 AND NOT loop").select("part").distinct().count() == 8
+    assert parts.where("dst = 0").select("parts").distinct().collect() == [(8,)]
+
+
 def test_round_guard_raises_rather_than_cutting_short(spark):
     edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(9)], "src bigint, dst bigint, weight double")
     with pytest.raises(RuntimeError):
