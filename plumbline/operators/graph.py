@@ -160,99 +160,79 @@ def tile_of(node: Column | str, side: int = 32) -> Column:
 
 
 def shortest_paths_by_block(
-    edges: DataFrame, sources: DataFrame, block_of: Callable[[Column], Column], max_rounds: int | None = None
+    edges: DataFrame,
+    sources: DataFrame,
+    block_of: Callable[[Column], Column],
+    partitions: int | None = None,
+    max_rounds: int | None = None,
 ) -> DataFrame:
     """:func:`shortest_paths` for graphs with long paths that fall into small blocks, such as grids in tiles.
 
     ``block_of`` maps a node to its block; blocks must be bounded in size, as one
-    task holds one block and its inner edges at a time. A round settles the
-    blocks that were offered something better, each within itself, and then
-    passes the improved costs over the edges between blocks. So the number of
-    rounds follows the number of blocks a path crosses, not its edges, and a
-    round touches only the blocks at the frontier. The state is checkpointed
-    after every round.
+    task holds one block and the edges that leave its nodes at a time. In a round
+    each block that was offered a better cost settles itself and then offers its
+    improved costs over its edges to other blocks. So the number of rounds follows
+    the number of blocks a path crosses, not its edges, and a round touches only
+    the blocks at the frontier. The edges are shuffled once and kept by block; the
+    state is checkpointed after every round.
     """
     spark = edges.sparkSession
     enable_checkpoints(spark)
-    placed = edges.select(
-        "src", "dst", F.col("weight").cast("double").alias("weight"), block_of(F.col("src")).alias("block"),
-        block_of(F.col("dst")).alias("to_block"),
-    ).persist()
-    inner = placed.where("block = to_block").select("block", "src", "dst", "weight")
-    between = placed.where("block <> to_block").select("src", "dst", "weight", "to_block")
-    offers = sources.distinct().select(
-        block_of(F.col("node")).alias("block"), "node", F.lit(0.0).alias("cost"), F.lit(0).alias("hops")
-    )
-    state = spark.createDataFrame([], _STATE)
+    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from_block, to_block = block_of(F.col("src")).alias("block"), block_of(F.col("dst")).alias("to_block")
+    weight = F.col("weight").cast("double").alias("weight")
+    kept = edges.select(from_block, "src", "dst", weight, to_block).repartition(count, "block").persist()
+    rows = sources.distinct().select(
+        block_of(F.col("node")).alias("block"),
+        "node",
+        F.lit(0.0).alias("cost"),
+        F.lit(0).alias("hops"),
+        F.lit(True).alias("offer"),
+    ).checkpoint()
     rounds = 0
     try:
-        while True:
-            active = offers.select("block").distinct()
-            known = state.join(active, "block", "left_semi").select("block", "node", "cost", "hops", F.lit(False).alias("offer"))
-            given = offers.select("block", "node", "cost", "hops", F.lit(True).alias("offer"))
-            settled = (
-                known.unionByName(given)
-                .groupBy("block")
-                .cogroup(inner.join(active, "block", "left_semi").groupBy("block"))
-                .applyInPandas(settle_block, _STATE)
-            )
-            calm = state.join(active, "block", "left_anti").withColumn("new", F.lit(False))
-            state = calm.unionByName(settled).checkpoint()
-            rounds += 1
-            better = state.where("new").select(F.col("node").alias("src"), "cost", "hops")
-            offer = F.struct((F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + 1).alias("hops"))
-            best = better.join(between, "src").groupBy(F.col("dst").alias("node"), F.col("to_block").alias("block")).agg(
-                F.min(offer).alias("o")
-            )
-            current = state.select("node", F.struct("cost", "hops").alias("k"))
-            offers = (
-                best.join(current, "node", "left")
-                .where("k IS NULL OR o < k")
-                .select("block", "node", "o.cost", "o.hops")
-                .checkpoint()
-            )
-            if offers.isEmpty():
-                return state.select("node", "cost", "hops")
+        while not rows.where("offer").isEmpty():
             if max_rounds is not None and rounds >= max_rounds:
                 raise RuntimeError(f"no fixed point after {rounds} rounds")
+            active = rows.where("offer").select("block").distinct()
+            busy = rows.join(active, "block", "left_semi").groupBy("block")
+            ways = kept.join(active, "block", "left_semi").groupBy("block")
+            settled = busy.cogroup(ways).applyInPandas(settle_block, rows.schema)
+            rows = rows.join(active, "block", "left_anti").unionByName(settled).checkpoint()
+            rounds += 1
     finally:
-        placed.unpersist()
-
-
-_STATE = "block bigint, node bigint, cost double, hops int, new boolean"
+        kept.unpersist()
+    return rows.select("node", "cost", "hops")
 
 
 def settle_block(rows: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-    """Known costs of one block lowered by the offers and along the block's own edges."""
-    before = {}
-    now = {}
-    for node, cost, hops, offer in zip(rows["node"], rows["cost"], rows["hops"], rows["offer"]):
+    """Known costs of one block lowered by the offers and along its own edges, and its offers to other blocks."""
+    block = rows["block"].iloc[0]
+    before, now = {}, {}
+    for node, cost, hops, offer in zip(*(rows[c].tolist() for c in ("node", "cost", "hops", "offer"))):
         if not offer:
             before[node] = (cost, hops)
         now[node] = min(now.get(node, (cost, hops)), (cost, hops))
-    ahead: dict[int, list[tuple[int, float]]] = {}
-    for src, dst, weight in zip(edges["src"], edges["dst"], edges["weight"]):
-        ahead.setdefault(src, []).append((dst, weight))
+    ahead: dict[int, list[tuple[int, float, int]]] = {}
+    for src, *way in zip(*(edges[c].tolist() for c in ("src", "dst", "weight", "to_block"))):
+        ahead.setdefault(src, []).append(way)
+    offers: dict[tuple[int, int], tuple[float, int]] = {}
     queue = [(*best, node) for node, best in now.items() if best != before.get(node)]
     heapify(queue)
     while queue:
         cost, hops, node = heappop(queue)
         if (cost, hops) > now[node]:
             continue
-        for dst, weight in ahead.get(node, ()):
+        for dst, weight, to_block in ahead.get(node, ()):
             reached = (cost + weight, hops + 1)
-            if dst not in now or reached < now[dst]:
+            if to_block != block:
+                offers[to_block, dst] = min(offers.get((to_block, dst), reached), reached)
+            elif dst not in now or reached < now[dst]:
                 now[dst] = reached
                 heappush(queue, (*reached, dst))
-    return pd.DataFrame(
-        {
-            "block": rows["block"].iloc[0],
-            "node": list(now),
-            "cost": [best[0] for best in now.values()],
-            "hops": [best[1] for best in now.values()],
-            "new": [best != before.get(node) for node, best in now.items()],
-        }
-    )
+    result = [(block, node, *best, False) for node, best in now.items()]
+    result += [(to_block, dst, *best, True) for (to_block, dst), best in offers.items()]
+    return pd.DataFrame(result, columns=["block", "node", "cost", "hops", "offer"])
 
 
 def predecessors(edges: DataFrame, distances: DataFrame) -> DataFrame:
