@@ -31,7 +31,9 @@ def rows(df):
 
 
 def test_hourly_revenue(few):
-    assert rows(trips.hourly_revenue(few)) == [(0, 15.0, 2, 30.0), (3, 5.0, 2, 10.01)]
+    # 5.005 + 5.0 is 10.004999999999999 in doubles and 10.005 in decimals.
+    assert rows(trips.hourly_revenue(few)) == [(0, 15.0, 2, 30.0), (3, 5.0, 2, 10.0)]
+    assert rows(trips.hourly_revenue(few, digits=6)) == [(0, 15.0, 2, 30.0), (3, 5.0, 2, 10.01)]
 
 
 def test_avg_fare_by_hour(few):
