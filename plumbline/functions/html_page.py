@@ -47,6 +47,7 @@ class _Page(HTMLParser):
         self.headings: list[list[str]] = []
         self.next_link: tuple[str] | None = None
         self._open: list[tuple[str, bool]] = []  # (tag, is it the list item of the next link?)
+        self._depth: dict[str, int] = {}  # open elements per tag
         self._in_head = True
         self._noscript = 0
         self._text: list[str] = []
@@ -101,8 +102,9 @@ class _Page(HTMLParser):
             self._note(tag, values)
         if tag not in VOID:
             if tag == "li" and self._open and self._open[-1][0] == "li":
-                self._open.pop()
+                self._pop()
             self._open.append((tag, tag == "li" and "next" in values.get("class", "").split()))
+            self._depth[tag] = self._depth.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # HTML ignores the slash of <div/>
@@ -145,6 +147,11 @@ class _Page(HTMLParser):
         while self._open_rows and self._open_rows[-1].table is table:
             self._close_cells(self._open_rows.pop())
 
+    def _pop(self) -> str:
+        name, _ = self._open.pop()
+        self._depth[name] -= 1
+        return name
+
     def handle_endtag(self, tag: str) -> None:
         self._end_text()
         if tag == "noscript":
@@ -161,8 +168,8 @@ class _Page(HTMLParser):
             self._close_rows(self._open_tables[-1])
         elif tag == "table" and self._open_tables:
             self._close_rows(self._open_tables.pop())
-        if any(name == tag for name, _ in self._open):
-            while self._open.pop()[0] != tag:
+        if self._depth.get(tag):
+            while self._pop() != tag:
                 pass
 
     def close(self) -> None:

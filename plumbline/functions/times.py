@@ -34,10 +34,18 @@ def year_month(value: Column | str) -> Column:
     return F.date_format(as_column(value), "yyyy-MM")
 
 
-def months_apart(first: Column | str, second: Column | str) -> Column:
-    """Whole months between two 'yyyy-MM' texts."""
+def month_number(text: Column | str) -> Column:
+    """A 'yyyy-MM' text as a running number of months, which aggregates by hash where text would be sorted."""
+    column = as_column(text)
+    return F.substring(column, 1, 4).cast("int") * 12 + F.substring(column, 6, 2).cast("int") - 1
+
 
-    def month_number(text: Column) -> Column:
-        return F.substring(text, 1, 4).cast("int") * 12 + F.substring(text, 6, 2).cast("int")
+def month_text(number: Column | str) -> Column:
+    """The 'yyyy-MM' text of a running number of months."""
+    column = as_column(number)
+    return F.format_string("%04d-%02d", F.floor(column / 12), column % 12 + 1)
 
-    return month_number(as_column(second)) - month_number(as_column(first))
+
+def months_apart(first: Column | str, second: Column | str) -> Column:
+    """Whole months between two 'yyyy-MM' texts."""
+    return month_number(second) - month_number(first)

@@ -65,10 +65,10 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
     to the sales; a purchase without customer id counts in the size only, and
     months that are unknown form no cohort.
     """
-    first = sales.groupBy("customer_id").agg(F.min("year_month").alias("cohort_month"))
+    first = sales.groupBy("customer_id").agg(F.min(times.month_number("year_month")).alias("_month"))
     cohorts = (
-        first.where(F.col("cohort_month").isNotNull())
-        .groupBy("cohort_month")
+        first.where(F.col("_month").isNotNull())
+        .groupBy(times.month_text("_month").alias("cohort_month"))
         .agg(F.count("customer_id").alias("active_customers"), F.count(F.lit(1)).alias("cohort_size"))
     )
     return (

@@ -41,6 +41,8 @@ def test_texts(spark):
 
 def test_times(spark):
     assert value(spark, times.months_apart(F.lit("2021-11"), F.lit("2022-02"))) == 3
+    for month in ("2021-12", "2022-01", "0001-10"):
+        assert value(spark, times.month_text(times.month_number(F.lit(month)))) == month
     assert value(spark, times.year_month(F.lit("2022-02-03").cast("timestamp_ntz"))) == "2022-02"
     start, end = F.lit("2022-01-01 00:00:00").cast("timestamp_ntz"), F.lit("2022-01-01 00:00:00.5").cast("timestamp_ntz")
     assert value(spark, times.minutes_between(start, end)) == 0.5 / 60

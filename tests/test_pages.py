@@ -81,6 +81,12 @@ def test_broken_pages_do_not_fail(html):
     read_page(html)
 
 
+def test_many_tags_left_open_take_linear_time():
+    words = [f"w{i}" for i in range(40000)]
+    page = read_page("".join(f"<p><b>{w}</b>" for w in words))
+    assert page["text"].split() == words
+
+
 def test_text_after_odd_markup():
     assert read_page("<![if x]>a < b<![endif]> c")["text"] == "a < b c"
 
