@@ -24,7 +24,7 @@ def read_parquet(
     when they agree.
     """
     reader = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", True)
-    table = reader.parquet(folder)
+    table = reader.option("pathGlobFilter", "*.parquet").parquet(folder)
     if max_rows is None:
         return table
     path, position = F.col("_metadata.file_path"), F.col("_metadata.row_index")
@@ -40,7 +40,11 @@ def read_parquet(
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str | None = None, max_rows: int | None = None
 ) -> DataFrame:
-    """CSV with a header line; without a schema all columns are text, for the cleaner to type."""
+    """CSV with a header line; without a schema all columns are text, for the cleaner to type.
+
+    ``max_rows`` keeps the first rows; lines of text have no stored position, so
+    these pass through one task.
+    """
     reader = spark.read.option("header", True)
     table = (reader.schema(schema) if schema is not None else reader).csv(path)
     return table if max_rows is None else table.limit(int(max_rows))
@@ -70,6 +74,22 @@ def write_cleaned(df: DataFrame, path: str, force_refresh: bool = False) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def first_file(spark: SparkSession, folder: str, pattern: str) -> str | None:
+    """The first file of a folder, by path, whose name fits the pattern. Only the listing is read."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return listing.agg(F.min("path")).first()[0]
+
+
+def load_raw(spark: SparkSession, folder: str, max_rows: int | None = None) -> DataFrame:
+    """The raw table of a folder: all its Parquet files, or else its first CSV file."""
+    if first_file(spark, folder, "*.parquet") is not None:
+        return read_parquet(spark, folder, max_rows)
+    csv = first_file(spark, folder, "*.csv")
+    if csv is None:
+        raise FileNotFoundError(f"neither Parquet nor CSV files in {folder}")
+    return read_csv(spark, csv, max_rows=max_rows)
+
+
 def load_first(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The first of several Parquet tables that exists; generated data never steps in silently."""
     for path in paths:

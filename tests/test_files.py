@@ -74,6 +74,21 @@ def test_load_first(spark, folder):
         files.load_first(spark, [f"{folder}/first"])
 
 
+def test_load_raw_prefers_parquet_then_the_first_csv(spark, folder):
+    target = Path(folder) / "raw"
+    target.mkdir()
+    with pytest.raises(FileNotFoundError):
+        files.load_raw(spark, str(target))
+    (target / "b.csv").write_text("x,y\n9,9\n")
+    (target / "a.csv").write_text("x,y\n1,2\n3,4\n")
+    assert [tuple(r) for r in files.load_raw(spark, str(target)).collect()] == [("1", "2"), ("3", "4")]
+    assert files.load_raw(spark, str(target), max_rows=1).count() == 1
+    numbers(spark, 0, 4).coalesce(1).write.parquet(f"{folder}/p")
+    part = next(Path(folder, "p").glob("part-*.parquet"))
+    (target / "c.parquet").write_bytes(part.read_bytes())
+    assert files.load_raw(spark, str(target)).count() == 4
+
+
 def test_jsonl_skips_blank_and_malformed_lines(spark, folder):
     path = Path(folder) / "lines.jsonl"
     path.write_text('{"url": "a", "n": 1}\n\n{"url": "b", "n"\n   \n{"url": "c", "n": 3}\n')
