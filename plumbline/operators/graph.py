@@ -182,7 +182,7 @@ def shortest_paths_by_block(
     from_block, to_block = block_of(F.col("src")).alias("block"), block_of(F.col("dst")).alias("to_block")
     weight = F.col("weight").cast("double").alias("weight")
     kept = edges.select(from_block, "src", "dst", weight, to_block).repartition(count, "block").persist()
-    rows = sources.distinct().select(
+    rows = sources.select("node").distinct().select(
         block_of(F.col("node")).alias("block"),
         "node",
         F.lit(0.0).alias("cost"),
