@@ -3,10 +3,11 @@
 The inverted index holds the test items, cut into segments of bounded length; the queries
 are all passages of all texts. An item's scores are divided by its score for itself, so one
 threshold serves short and long items. Posting lists come in blocks of neighbouring items
-with the block's largest impact. Before any list is walked, the sums of those maxima over a
-passage's words bound its score in each group of blocks, for a whole batch of texts at once;
-passages that no group lets through are done. For the others WAND walks the lists,
-skipping blocks whose maxima cannot reach the threshold.
+with the block's largest impact. Before any list is walked, sums of those maxima bound the
+score of each passage in each block, for a whole batch of texts at once: the most frequent
+words, whose impacts are small, enter by what they can add to an entry of the block at
+most, the others by the blocks they occur in. Passages that no block lets through are done.
+For the rest WAND walks the lists, skipping blocks whose maxima cannot reach the threshold.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ from plumbline.llm.common import settled
 K1, B = 1.2, 0.75
 SEGMENT = 64  # words of an item that form one entry of the index
 STRIDE = 64  # passages begin every so many words and are two strides long, so any segment lies within one
-BLOCK = 8  # entries of a posting block
-GROUPS = 32  # groups of blocks whose bounds are formed for every passage
-THRESHOLD = 0.5  # of an entry's own score
+BLOCK = 4  # entries of a posting block
+FREQUENT = 0.1  # words in at least this share of entries enter bounds by their total
+THRESHOLD = 0.6  # of an entry's own score
 SHINGLE, OVERLAP = 5, 0.8
 ANSWER_WORDS = 8  # an item without a sentence end keeps its last words as answer
 ITEMS_PER_INDEX = 20_000  # larger benchmarks are searched with one index after the other
@@ -93,16 +94,23 @@ class Index:
         self.top = np.array([max(x) for x in self.impacts] or [0.0])
         # Posting blocks: for each term, block number -> largest impact.
         self.blocks: list[dict[int, float]] = []
-        per_group = -(-max(1, -(-len(vectors) // BLOCK)) // GROUPS)
-        bounds = np.zeros((len(self.vocabulary) + 1, GROUPS), dtype=np.float32)
-        for term, (docs, impacts) in enumerate(zip(self.docs, self.impacts)):
+        for docs, impacts in zip(self.docs, self.impacts):
             held: dict[int, float] = {}
             for entry, impact in zip(docs, impacts):
                 held[entry // BLOCK] = max(held.get(entry // BLOCK, 0.0), impact)
             self.blocks.append(held)
-            for block, impact in held.items():
-                bounds[term, block // per_group] = max(bounds[term, block // per_group], impact)
-        self.bounds = bounds  # the last row stands for words outside the index
+        # Flat block postings of rarer words, and what the frequent ones add to an entry at most.
+        self.block_count = max(1, -(-len(vectors) // BLOCK))
+        many = max(4, int(FREQUENT * len(vectors)))
+        self.rare = np.array([len(d) < many for d in self.docs] + [False])
+        common = np.zeros(self.block_count * BLOCK)
+        for term in np.flatnonzero(~self.rare[:-1]):
+            common[self.docs[term]] += self.impacts[term]
+        self.common = common.reshape(-1, BLOCK).max(axis=1)
+        kept = [held if rare else {} for held, rare in zip(self.blocks, self.rare)]
+        self.first = np.concatenate([[0], np.cumsum([len(held) for held in kept])])
+        self.flat_blocks = np.array([block for held in kept for block in held], dtype=np.int64)
+        self.flat_tops = np.array([top for held in kept for top in held.values()])
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """Entries with a score of at least ``threshold`` for a passage with these distinct terms."""
@@ -161,12 +169,10 @@ class Index:
         terms = np.fromiter((get(w, outside) for ws in words for w in ws), np.int32, int(sizes.sum()))
         begins = np.concatenate([[0], np.cumsum(sizes)])
         starts = np.concatenate([begins[i] + STRIDE * np.arange(n) for i, n in enumerate(chunks) if n])
-        sums = self._chunk_sums(terms, starts)
         owner = np.repeat(np.arange(len(texts)), chunks)
         # A passage is a chunk and the next one of the same text.
         follows = np.append(owner[1:] == owner[:-1], False)
-        sums[follows] += sums[np.flatnonzero(follows) + 1]
-        for chunk in np.flatnonzero(sums.max(axis=1) >= threshold - 1e-4):
+        for chunk in self._possible(terms, starts, follows, threshold):
             text = int(owner[chunk])
             at = int(starts[chunk] - begins[text])
             passage = terms[starts[chunk] : min(starts[chunk] + 2 * STRIDE, begins[text + 1])]
@@ -183,15 +189,30 @@ class Index:
                     out[text].append((item, score, q, a))
         return [_best(found) for found in out]
 
-    def _chunk_sums(self, terms: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Sums of the words' group bounds per chunk, some hundred thousand words at a time."""
-        out = np.empty((len(starts), GROUPS), dtype=np.float32)
-        step = 2048
-        for i in range(0, len(starts), step):
-            first = starts[i]
-            last = starts[i + step] if i + step < len(starts) else len(terms)
-            out[i : i + step] = np.add.reduceat(self.bounds[terms[first:last]], starts[i : i + step] - first, axis=0)
-        return out
+    def _possible(self, terms: np.ndarray, starts: np.ndarray, follows: np.ndarray, threshold: float) -> np.ndarray:
+        """Chunks whose passage has a block with a bound of at least ``threshold``."""
+        at = np.flatnonzero(self.rare[terms])
+        chunk = np.searchsorted(starts, at, side="right") - 1
+        # Each word of a passage counts once, here once per chunk.
+        pairs = np.unique(chunk * len(self.rare) + terms[at])
+        chunk, term = pairs // len(self.rare), pairs % len(self.rare)
+        counts = self.first[term + 1] - self.first[term]
+        ends = np.cumsum(counts)
+        posting = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts - self.first[term], counts)
+        cell = np.repeat(chunk, counts) * self.block_count + self.flat_blocks[posting]
+        cells, inverse = np.unique(cell, return_inverse=True)
+        sums = np.bincount(inverse, self.flat_tops[posting], len(cells))
+        # The passage of chunk c holds the words of c and of the next chunk.
+        place = cells // self.block_count
+        before = np.flatnonzero((place > 0) & follows[place - 1])
+        cells, inverse = np.unique(np.concatenate([cells, cells[before] - self.block_count]), return_inverse=True)
+        sums = np.bincount(inverse, np.concatenate([sums, sums[before]]), len(cells))
+        possible = sums + self.common[cells % self.block_count] >= threshold - 1e-9
+        found = cells[possible] // self.block_count
+        if (self.common >= threshold - 1e-9).any():
+            # Frequent words alone could do: every passage has to be searched.
+            return np.arange(len(starts))
+        return np.unique(found)
 
 
 def _best(found: list[tuple[int, float, float, float]]) -> list[tuple[int, float, float, float]]:
