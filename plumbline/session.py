@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +22,9 @@ DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Scratch tables by application, for clear_scratch.
+_scratch: dict[str, list[str]] = {}
+
 
 def build_session(app_name: str = "plumbline", master: str | None = None, **conf: object) -> SparkSession:
     """Return a session with :data:`DEFAULTS`; ``conf`` keys use ``__`` for dots."""
@@ -32,16 +38,31 @@ def build_session(app_name: str = "plumbline", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster whose machines do not have it installed."""
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="plumbline-ship-")) / "plumbline.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, Path("plumbline") / file.relative_to(package))
+    # Spark copies the archive to every executor; nothing reads this folder there.
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or else the context's checkpoint directory.
 
-    Only where the session leaves it unset (tests on one machine) is a temporary
-    folder made, once, and set as the session's value.
+    A local master, whose driver and executors are one machine, gets a temporary folder
+    where both are unset; on a cluster that is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="plumbline-")
+    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
@@ -54,4 +75,20 @@ def enable_checkpoints(spark: SparkSession) -> None:
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, for a table that is written and read back."""
-    return f"{shared_folder(spark).rstrip('/')}/plumbline/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/plumbline/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more, in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all scratch tables of this application; call it once results are written. Returns their number."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)
