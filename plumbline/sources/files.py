@@ -3,51 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from plumbline.operators.cleaning import dedupe
 
 
-def read_parquet(
-    spark: SparkSession, folder: str, max_rows: int | None = None, merge_schema: bool = True
-) -> DataFrame:
-    """All Parquet files of a folder as one table; unreadable files are skipped.
+def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """(path, size) of the files of a folder whose names fit; their content is not read."""
+    # Folders below count as well, also those that would otherwise be read as partitions.
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    listing = reader.option("pathGlobFilter", pattern).load(folder)
+    return listing.select("path", F.col("length").alias("size"))
+
+
+def _listed(path: str) -> Column:
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _read_from() -> Column:
+    """The file of a row, spelled as :func:`_listed` spells it; row metadata holds an encoded address."""
+    encoded = F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")
+    return F.regexp_replace(F.url_decode(encoded), "^file:/+", "/")
+
+
+def read_parquet(spark: SparkSession, folder: str, merge_schema: bool = True) -> DataFrame:
+    """All Parquet files of a folder as one table; a file that cannot be read is an error.
 
-    ``max_rows`` keeps the first rows in file-name order. The cut is one file and a
-    position in it, found from the row counts in the footers, and each task checks
-    its own rows against it: no join, no shuffle, no single task for the limit.
     ``merge_schema`` takes the union of the files' columns and can be turned off
     when they agree.
     """
-    reader = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", True)
-    table = reader.option("pathGlobFilter", "*.parquet").parquet(folder)
-    if max_rows is None:
-        return table
-    path, position = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    counts = table.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n"))
-    # One row per file.
-    before = F.sum("n").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1))
-    left = F.lit(int(max_rows)) - F.coalesce(before, F.lit(0))
-    wanted = counts.select("path", left.alias("left")).where("left > 0")
-    cut = wanted.agg(F.max(F.struct("path", "left"))).scalar()
-    return table.where((path < cut["path"]) | ((path == cut["path"]) & (position < cut["left"])))
-
-
-def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, max_rows: int | None = None
-) -> DataFrame:
-    """CSV with a header line; without a schema all columns are text, for the cleaner to type.
-
-    ``max_rows`` keeps the first rows; lines of text have no stored position, so
-    these pass through one task.
+    return spark.read.option("mergeSchema", merge_schema).option("pathGlobFilter", "*.parquet").parquet(folder)
+
+
+def read_parquet_without(
+    spark: SparkSession, folder: str, names: Sequence[str], merge_schema: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The table without the files called ``names``, and (path, size) of those left out.
+
+    For files known to be damaged: each is left out whole or not at all.
     """
+    listing = list_files(spark, folder, "*.parquet")
+    named = F.substring_index("path", "/", -1).isin(list(names))
+    # One path per file, which the driver lists for any read.
+    paths = [r.path for r in listing.where(~named).orderBy("path").select("path").collect()]
+    if not paths:
+        raise FileNotFoundError(f"no other Parquet files in {folder}")
+    return spark.read.option("mergeSchema", merge_schema).parquet(*paths), listing.where(named)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """CSV files with a header line; without a schema all columns are text, for the cleaner to type."""
     reader = spark.read.option("header", True)
-    table = (reader.schema(schema) if schema is not None else reader).csv(path)
-    return table if max_rows is None else table.limit(int(max_rows))
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -74,20 +86,24 @@ def write_cleaned(df: DataFrame, path: str, force_refresh: bool = False) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
-def first_file(spark: SparkSession, folder: str, pattern: str) -> str | None:
-    """The first file of a folder, by path, whose name fits the pattern. Only the listing is read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return listing.agg(F.min("path")).first()[0]
-
+def load_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table of a folder: all its Parquet files, or else all its CSV files.
 
-def load_raw(spark: SparkSession, folder: str, max_rows: int | None = None) -> DataFrame:
-    """The raw table of a folder: all its Parquet files, or else its first CSV file."""
-    if first_file(spark, folder, "*.parquet") is not None:
-        return read_parquet(spark, folder, max_rows)
-    csv = first_file(spark, folder, "*.csv")
-    if csv is None:
+    CSV columns are matched by name: each set of files with one header is read by
+    that header, and columns a file lacks are null.
+    """
+    if not list_files(spark, folder, "*.parquet").isEmpty():
+        return read_parquet(spark, folder)
+    paths = [r.path for r in list_files(spark, folder, "*.csv").orderBy("path").select("path").collect()]
+    if not paths:
         raise FileNotFoundError(f"neither Parquet nor CSV files in {folder}")
-    return read_csv(spark, csv, max_rows=max_rows)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        by_header.setdefault(tuple(read_csv(spark, path).columns), []).append(path)
+    tables = [read_csv(spark, group, ", ".join(f"`{c}` string" for c in header)) for header, group in by_header.items() if header]
+    if not tables:
+        raise FileNotFoundError(f"only empty CSV files in {folder}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
 def load_first(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -132,15 +148,29 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Name, size and row count of every Parquet file; no data column is read."""
-    files = spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
-    return (
-        files.groupBy(
-            F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size")
+    """Path, name, size and row count of every Parquet and CSV file, empty ones included; no data column is read."""
+    counts = [
+        read.groupBy(_read_from().alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+        for pattern, read in (
+            ("*.parquet", lambda r: r.parquet(folder)),
+            ("*.csv", lambda r: r.option("header", True).csv(folder)),
         )
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .orderBy("file_name")
-    )
+        if not list_files(spark, folder, pattern).isEmpty()
+        for read in [read(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern))]
+    ]
+    listing = list_files(spark, folder, "*.parquet").unionByName(list_files(spark, folder, "*.csv"))
+    found = listing.select(F.col("path").alias("file_path"), _listed("path").alias("key"), F.col("size").alias("file_size"))
+    if counts:
+        known = reduce(lambda a, b: a.unionByName(b), counts)
+        found = found.join(known, "key", "left")
+    else:
+        found = found.withColumn("rows", F.lit(None).cast("bigint"))
+    return found.select(
+        "file_path",
+        F.substring_index("key", "/", -1).alias("file_name"),
+        "file_size",
+        F.coalesce("rows", F.lit(0)).alias("row_count"),
+    ).orderBy("file_path")
 
 
 def write_report(
@@ -157,11 +187,42 @@ def write_report(
 def append_new(batch: DataFrame, path: str, key: str = "url") -> None:
     """Append the rows whose key the JSON-lines table at ``path`` does not hold yet.
 
-    Several rows with one new key count once, the smallest by their JSON text, so
-    the result does not depend on how the rows were spread over tasks. They are
-    reduced before the anti join, which uses the same partitioning by key. Running
-    the same batch again adds nothing.
+    Rows without a key cannot be recognised again: they raise, with their number,
+    before anything is written. Several rows with one new key count once, the first
+    by a hash of the row and then its JSON text, so the result does not depend on how
+    rows were spread over tasks.
+
+    The keys lie in a Parquet table beside the store (``<path>-keys``), with the file
+    each came from. Files of the store that it does not know yet, such as those of an
+    append that was cut off, are read once for their keys; all others are never read
+    again. Running the same batch again adds nothing.
     """
-    known = read_jsonl(batch.sparkSession, path, f"`{key}` string").select(key)
-    once = dedupe(batch, [key], [F.to_json(F.struct(*batch.columns))])
-    write_jsonl(once.join(known, key, "left_anti").select(*batch.columns), path, mode="append")
+    spark = batch.sparkSession
+    missing = batch.where(F.col(key).isNull()).count()
+    if missing:
+        raise ValueError(f"{missing} rows have no {key}")
+    known = _store_keys(spark, path, key)
+    row = F.struct(*batch.columns)
+    once = dedupe(batch, [key], [F.xxhash64(F.to_json(row)), F.to_json(row)])
+    write_jsonl(once.join(known.select(F.col("key").alias(key)), key, "left_anti").select(*batch.columns), path, mode="append")
+
+
+def _store_keys(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(key, file) of all rows of the store, from the key table brought up to date."""
+    table = f"{path.rstrip('/')}-keys"
+    schema = "key string, file string"
+    held = read_or_none(spark, table)
+    held = held if held is not None else spark.createDataFrame([], schema)
+    try:
+        listing = list_files(spark, path, "*.json")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return held
+    fresh = listing.withColumn("file", _listed("path")).join(held.select("file").distinct(), "file", "left_anti")
+    paths = [r.path for r in fresh.select("path").collect()]
+    if not paths:
+        return held
+    rows = spark.read.schema(f"`{key}` string").option("mode", "DROPMALFORMED").json(paths)
+    rows.select(F.col(key).alias("key"), _read_from().alias("file")).write.mode("append").parquet(table)
+    return spark.read.schema(schema).parquet(table)
