@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from plumbline.functions.numbers import round_up_half, to_double
 
 OUTPUT_DIGITS = 6
+# Determinants up to this share of the product of variances count as zero; more where
+# means are many deviations away from zero, as deviations from them are rounded then.
+COLLINEAR, ROUNDING = 1e-12, 32 * 2.0**-53
 
 
 def ols(df: DataFrame, y: str, x: Sequence[str]) -> DataFrame:
@@ -40,7 +43,11 @@ def ols(df: DataFrame, y: str, x: Sequence[str]) -> DataFrame:
     if len(x) == 1:
         slopes = [F.try_divide(m("_s0y"), m("_s00"))]
     else:
-        det = m("_s00") * m("_s11") - m("_s01") * m("_s01")
+        # Rounding leaves a determinant of collinear columns off zero by some units of its terms.
+        product = m("_s00") * m("_s11")
+        exact = product - m("_s01") * m("_s01")
+        far = sum((F.coalesce(F.try_divide(F.abs(m(f"_x{i}")), F.sqrt(m(f"_s{i}{i}"))), F.lit(0.0)) for i in range(2)), F.lit(1.0))
+        det = F.when(exact > F.greatest(F.lit(COLLINEAR), F.lit(ROUNDING) * far) * product, exact)
         slopes = [
             F.try_divide(m("_s0y") * m("_s11") - m("_s1y") * m("_s01"), det),
             F.try_divide(m("_s1y") * m("_s00") - m("_s0y") * m("_s01"), det),
@@ -51,7 +58,9 @@ def ols(df: DataFrame, y: str, x: Sequence[str]) -> DataFrame:
     for i, name in enumerate(names):
         intercept = intercept - m(name) * m(f"_x{i}")
         explained = explained + m(name) * m(f"_s{i}y")
-    r_squared = F.when(m("_yy") > 0, F.try_divide(explained, m("_yy"))).otherwise(F.lit(0.0))
+    share = F.try_divide(explained, m("_yy"))
+    bounded = F.when(share.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
+    r_squared = F.when(m("_yy") > 0, bounded).otherwise(F.lit(0.0))
     return fit.select(intercept.alias("intercept"), *names, r_squared.alias("r_squared"), "n")
 
 

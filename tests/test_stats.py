@@ -15,16 +15,16 @@ def values_of(df, name):
 
 
 def test_minmax_and_describe(spark):
-    df = column(spark, [1.5, 2.3, 4.1, 0.8, 3.3])
-    assert values_of(stats.minmax_normalize(df, "v", "n"), "n") == [0.212121, 0.454545, 1.0, 0.0, 0.757576]
+    df = column(spark, [6.0, -2.0, 1.0, 9.0, 3.5, 0.0])
+    assert values_of(stats.minmax_normalize(df, "v", "n"), "n") == [0.727273, 0.0, 0.272727, 1.0, 0.5, 0.181818]
     got = stats.describe_numeric(df, "v").first()
-    assert (got.input_size, got.min, got.max) == (5, 0.8, 4.1)
-    assert got["mean"] == pytest.approx(2.4) and got.std == pytest.approx(1.189958, abs=5e-7)
+    assert (got.input_size, got.min, got.max) == (6, -2.0, 9.0)
+    assert got["mean"] == pytest.approx(2.916667, abs=5e-7) and got.std == pytest.approx(3.723984, abs=5e-7)
 
 
 def test_zscore(spark):
-    df = column(spark, [10.0, 20.0, 30.0, 40.0, 50.0, 15.0, 25.0, 35.0])
-    expected = [-1.451816, -0.650814, 0.150188, 0.95119, 1.752192, -1.051315, -0.250313, 0.550689]
+    df = column(spark, [3.0, 8.0, 1.0, 4.0, 4.0, 12.0, 7.0])
+    expected = [-0.752618, 0.710806, -1.337987, -0.459933, -0.459933, 1.881545, 0.418121]
     assert values_of(stats.zscore_normalize(df, "v", "n"), "n") == expected
 
 
@@ -42,12 +42,12 @@ def test_describe_of_nothing_is_an_error(spark):
 
 
 def test_arrays(spark):
-    df = spark.createDataFrame([(1, [1.5, 2.3, 4.1, 0.8, 3.3]), (2, [4.0, 4.0]), (3, None), (4, [])], "id int, a array<double>")
+    df = spark.createDataFrame([(1, [6.0, -2.0, 1.0, 9.0, 3.5, 0.0]), (2, [4.0, 4.0]), (3, None), (4, [])], "id int, a array<double>")
     got = {r.id: r.n for r in stats.minmax_normalize_array(df, "a", "n").collect()}
-    assert got == {1: [0.212121, 0.454545, 1.0, 0.0, 0.757576], 2: [0.0, 0.0], 3: None, 4: []}
-    df = spark.createDataFrame([(1, [10.0, 20.0, 30.0, 40.0, 50.0, 15.0, 25.0, 35.0]), (2, [4.0, 4.0]), (3, None), (4, [])], "id int, a array<double>")
+    assert got == {1: [0.727273, 0.0, 0.272727, 1.0, 0.5, 0.181818], 2: [0.0, 0.0], 3: None, 4: []}
+    df = spark.createDataFrame([(1, [3.0, 8.0, 1.0, 4.0, 4.0, 12.0, 7.0]), (2, [4.0, 4.0]), (3, None), (4, [])], "id int, a array<double>")
     got = {r.id: r.n for r in stats.zscore_normalize_array(df, "a", "n").collect()}
-    assert got[1] == [-1.451816, -0.650814, 0.150188, 0.95119, 1.752192, -1.051315, -0.250313, 0.550689]
+    assert got[1] == [-0.752618, 0.710806, -1.337987, -0.459933, -0.459933, 1.881545, 0.418121]
     assert (got[2], got[3], got[4]) == ([0.0, 0.0], None, [])
 
 
@@ -76,3 +76,18 @@ def test_ols_degenerate(spark):
     assert stats.ols(twice, "y", ["x", "z"]).first().coef_x is None
     with pytest.raises(ValueError):
         stats.ols(flat, "y", [])
+
+
+@pytest.mark.parametrize("factor", [0.7, 1 / 3, 3.0, -2.0])
+@pytest.mark.parametrize("offset", [0.1, 1e6])
+def test_collinear_regressors_give_null(spark, factor, offset):
+    rng = np.random.default_rng(3)
+    a = rng.uniform(0, 9, 50).tolist()
+    df = spark.createDataFrame([(x, x * factor + offset, 2 * x + 1) for x in a], "a double, b double, y double")
+    got = stats.ols(df, "y", ["a", "b"]).first()
+    assert (got.coef_a, got.coef_b, got.intercept, got.r_squared) == (None, None, None, None)
+
+
+def test_r_squared_stays_within_bounds(spark):
+    df = spark.createDataFrame([(float(x), 0.1 * x + 0.3) for x in range(40)], "x double, y double")
+    assert 0.0 <= stats.ols(df, "y", ["x"]).first().r_squared <= 1.0
