@@ -54,7 +54,7 @@ def page_fields(html: Column | str, fields: Sequence[str], strip_head: bool = Tr
     def one(text: str | None) -> dict[str, object] | None:
         if not text:
             return None
-        page = read_page(text, with_head=not strip_head)
+        page = read_page(text, not strip_head, fields)
         record = {name: page[name] for name in fields}
         if "tables" in record:
             record["tables"] = [rows_of(table) for table in record["tables"]]
@@ -139,7 +139,7 @@ def table_cells(pages: DataFrame) -> DataFrame:
 
 
 def extract_json_ld(pages: DataFrame) -> DataFrame:
-    """Array of JSON texts, one per structured-data object; lists are flattened, bad JSON is left out."""
+    """Array of JSON texts, one per structured-data object; lists are flattened, what is no JSON is left out."""
     return _with(pages, "json_ld", _empty("json_ld"), "<script")
 
 

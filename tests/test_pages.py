@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from plumbline.functions.html_page import read_page
@@ -87,6 +89,28 @@ def test_many_tags_left_open_take_linear_time():
     assert page["text"].split() == words
 
 
+def test_nested_tables_take_linear_time():
+    began = time.perf_counter()
+    page = read_page("<table><tr><td>x" * 20_000)
+    assert page["tables"] == [] and page["word_count"] == 20_000
+    assert time.perf_counter() - began < 2
+
+
+def test_templates_and_ruby_notes_are_no_text():
+    html = "<p>a<template>hid<b>den</b></template>b<ruby>k<rp>(</rp><rt>note</rt><rp>)</rp></ruby></p>"
+    assert read_page(html)["text"] == "a b k"
+
+
+def test_blocks_too_deep_or_long_are_kept_as_written():
+    deep, long = "[" * 200_000 + "]" * 200_000, '{"n": ' + "9" * 5000 + "}"
+    html = "".join(f'<script type="application/ld+json">{x}</script>' for x in (deep, long, "{bad", '{"a": 1}'))
+    assert read_page(html)["json_ld"] == [deep, long, '{"a": 1}']
+
+
+def test_only_named_fields_are_made():
+    assert set(read_page(PAGE, fields=["title", "h1s"])) == {"title", "h1s"}
+
+
 def test_text_after_odd_markup():
     assert read_page("<![if x]>a < b<![endif]> c")["text"] == "a < b c"
 
