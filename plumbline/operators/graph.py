@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from heapq import heapify, heappop, heappush
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import as_column
-from plumbline.session import enable_checkpoints
+from plumbline.session import enable_checkpoints, scratch_table_path
 
 # The four neighbours of a cell as (row, col) steps.
 NEIGHBOURS = ((-1, 0), (1, 0), (0, -1), (0, 1))
+# Parts that the edges of each source are cut into.
+PARTS = 4
 
 
 class BlockedCell(ValueError):
@@ -67,13 +65,18 @@ def require_open(cells: DataFrame, points: list[tuple[int, int]]) -> None:
             raise BlockedCell(f"cell {point} is a wall or outside the grid")
 
 
+def require_weights(edges: DataFrame) -> None:
+    """Raise if a weight is null, NaN or negative, with the number of such edges."""
+    weight = F.col("weight").cast("double")
+    counts = edges.agg(
+        F.count_if(weight.isNull() | F.isnan(weight)).alias("missing"), F.count_if(weight < 0).alias("negative")
+    ).first()
+    if counts.missing or counts.negative:
+        raise ValueError(f"{counts.missing} edges have no weight and {counts.negative} a negative one")
+
+
 def shortest_paths(
-    edges: DataFrame,
-    sources: DataFrame,
-    partitions: int | None = None,
-    rounds_per_job: int = 2,
-    max_rounds: int | None = None,
-    hub_degree: int = 1_000_000,
+    edges: DataFrame, sources: DataFrame, steps_per_round: int = 4, max_rounds: int | None = None
 ) -> DataFrame:
     """Lowest cost from the nearest source to every node that can be reached.
 
@@ -81,158 +84,56 @@ def shortest_paths(
     Result: node, cost, hops, where hops is the least number of edges at that cost.
     Nodes out of reach are absent.
 
-    In each round the nodes improved last pass their cost over their edges, and
-    per target the best offer is compared with the known cost. Each node also has
-    a loop edge that carries its known cost to the same comparison, so a round is
-    one join with the edges, kept by source, and one aggregation, combined before
-    its shuffle. The edges of a node with more than ``hub_degree`` of them are cut
-    into parts that lie in different partitions. After ``rounds_per_job`` rounds
-    the state goes to the checkpoint folder, which cuts the lineage and lets a
-    lost executor's part be read again. ``max_rounds`` is a guard that raises when
-    paths are longer than expected; it never shortens a result.
+    Edges are dealt once by source, those of each source over :data:`PARTS` partitions,
+    so that a hub is no single task. A round sends only the nodes improved by the last
+    one over up to ``steps_per_round`` of their edges, keeps the best offer per target,
+    and drops offers that a known cost beats. What remains is written to the scratch
+    folder and is the next frontier: a round writes its improvements and never the whole
+    state again, and a lost executor's part is read from there. ``max_rounds`` is a
+    guard that raises when paths are longer than expected; it never shortens a result.
     """
+    require_weights(edges)
     spark = edges.sparkSession
-    enable_checkpoints(spark)
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    start = sources.select("node").distinct()
-    hubs = (
-        edges.groupBy(F.col("src").alias("node"))
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(hub_degree)).cast("int").alias("parts"))
-        .where("parts > 1")
-        .checkpoint()
-    )
-    kept = _split_edges(edges, start, hubs).repartition(count, "src", "part").persist()
-    best = F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("hops"))
-    state = (
-        start.join(hubs, "node", "left")
-        .select("node", best.alias("best"), F.lit(True).alias("new"), F.coalesce("parts", F.lit(1)).alias("parts"))
-        .checkpoint()
-    )
-    rounds = 0
+    part = F.pmod(F.hash("dst"), F.lit(PARTS)).alias("part")
+    kept = edges.select("src", part, "dst", F.col("weight").cast("double").alias("weight")).repartition("src", "part").persist()
+    log = scratch_table_path(spark, "paths")
+    start = sources.select("node", F.lit(0.0).alias("cost"), F.lit(0).alias("hops")).where("node IS NOT NULL").distinct()
+    read = spark.read.schema(start.schema)
+    start.write.parquet(f"{log}/round=0")
+    rounds, frontier = 0, read.parquet(f"{log}/round=0")
     try:
-        while not state.where("new").isEmpty():
+        while not frontier.isEmpty():
             if max_rounds is not None and rounds >= max_rounds:
                 raise RuntimeError(f"no fixed point after {rounds} rounds")
-            for _ in range(rounds_per_job):
-                state = _relax(state, kept)
-            state = state.checkpoint()
-            rounds += rounds_per_job
+            offers = frontier
+            for _ in range(steps_per_round):
+                offers = _best(offers.unionByName(_passed_on(offers, kept)))
+            # Partitions of the log are rounds; its schema leaves their number out.
+            known = read.parquet(*[f"{log}/round={i}" for i in range(rounds + 1)]).select(
+                F.col("node").alias("n"), F.col("cost").alias("c"), F.col("hops").alias("h")
+            )
+            beaten = (F.col("node") == F.col("n")) & (F.struct("c", "h") <= F.struct("cost", "hops"))
+            rounds += 1
+            offers.join(known, beaten, "left_anti").write.parquet(f"{log}/round={rounds}")
+            frontier = read.parquet(f"{log}/round={rounds}")
     finally:
         kept.unpersist()
-    return state.select("node", "best.cost", "best.hops")
-
-
-def _split_edges(edges: DataFrame, start: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Edges and loops with the part of the source they belong to and the number of parts of their target."""
-    from_parts = hubs.select(F.col("node").alias("src"), F.col("parts").alias("src_parts"))
-    to_parts = hubs.select(F.col("node").alias("dst"), "parts")
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("src")).unionByName(start.select(F.col("node").alias("src")))
-    loops = ends.distinct().select("src", F.col("src").alias("dst"), F.lit(0.0).alias("weight"), F.lit(True).alias("loop"))
-    steps = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(False).alias("loop"))
-    if hubs.isEmpty():
-        return steps.unionByName(loops).withColumns({"part": F.lit(0), "parts": F.lit(1)})
-    part = F.when(F.col("loop"), F.lit(0)).otherwise(F.pmod(F.hash("dst"), F.coalesce("src_parts", F.lit(1))))
-    return (
-        steps.unionByName(loops)
-        .join(from_parts, "src", "left")
-        .join(to_parts, "dst", "left")
-        .select("src", part.alias("part"), "dst", "weight", "loop", F.coalesce("parts", F.lit(1)).alias("parts"))
-    )
+    return _best(read.parquet(*[f"{log}/round={i}" for i in range(rounds + 1)]))
 
 
-def _relax(state: DataFrame, edges: DataFrame) -> DataFrame:
-    """One round. The known cost wins ties, so a node is new only when it has improved."""
-    reach = F.when(F.col("new"), F.col("parts")).otherwise(F.lit(1))
-    senders = state.select(
-        F.col("node").alias("src"), "best", "new", F.explode(F.sequence(F.lit(0), reach - 1)).alias("part")
+def _passed_on(frontier: DataFrame, edges: DataFrame) -> DataFrame:
+    """What the frontier's nodes offer to the ends of their edges."""
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
+    senders = frontier.select(F.col("node").alias("src"), "cost", "hops", parts)
+    return senders.join(edges, ["src", "part"]).select(
+        F.col("dst").alias("node"), (F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + 1).alias("hops")
     )
-    passed = senders.join(edges, ["src", "part"]).where("new OR loop")
-    hops = F.col("best.hops") + F.when(F.col("loop"), F.lit(0)).otherwise(F.lit(1))
-    offer = F.struct((F.col("best.cost") + F.col("weight")).alias("cost"), hops.alias("hops"))
-    candidate = F.struct(offer.alias("best"), (~F.col("loop")).alias("new"))
-    best = passed.groupBy(F.col("dst").alias("node")).agg(F.min(candidate).alias("m"), F.max("parts").alias("parts"))
-    return best.select("node", "m.best", "m.new", "parts")
-
-
-def tile_of(node: Column | str, side: int = 32) -> Column:
-    """Square tile of a grid cell: at most ``side * side`` cells share one."""
-    return cell_id(F.floor(cell_row(node) / side), F.floor(cell_col(node) / side))
 
 
-def shortest_paths_by_block(
-    edges: DataFrame,
-    sources: DataFrame,
-    block_of: Callable[[Column], Column],
-    partitions: int | None = None,
-    max_rounds: int | None = None,
-) -> DataFrame:
-    """:func:`shortest_paths` for graphs with long paths that fall into small blocks, such as grids in tiles.
-
-    ``block_of`` maps a node to its block; blocks must be bounded in size, as one
-    task holds one block and the edges that leave its nodes at a time. In a round
-    each block that was offered a better cost settles itself and then offers its
-    improved costs over its edges to other blocks. So the number of rounds follows
-    the number of blocks a path crosses, not its edges, and a round touches only
-    the blocks at the frontier. The edges are shuffled once and kept by block; the
-    state is checkpointed after every round.
-    """
-    spark = edges.sparkSession
-    enable_checkpoints(spark)
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    from_block, to_block = block_of(F.col("src")).alias("block"), block_of(F.col("dst")).alias("to_block")
-    weight = F.col("weight").cast("double").alias("weight")
-    kept = edges.select(from_block, "src", "dst", weight, to_block).repartition(count, "block").persist()
-    rows = sources.select("node").distinct().select(
-        block_of(F.col("node")).alias("block"),
-        "node",
-        F.lit(0.0).alias("cost"),
-        F.lit(0).alias("hops"),
-        F.lit(True).alias("offer"),
-    ).checkpoint()
-    rounds = 0
-    try:
-        while not rows.where("offer").isEmpty():
-            if max_rounds is not None and rounds >= max_rounds:
-                raise RuntimeError(f"no fixed point after {rounds} rounds")
-            active = rows.where("offer").select("block").distinct()
-            busy = rows.join(active, "block", "left_semi").groupBy("block")
-            ways = kept.join(active, "block", "left_semi").groupBy("block")
-            settled = busy.cogroup(ways).applyInPandas(settle_block, rows.schema)
-            rows = rows.join(active, "block", "left_anti").unionByName(settled).checkpoint()
-            rounds += 1
-    finally:
-        kept.unpersist()
-    return rows.select("node", "cost", "hops")
-
-
-def settle_block(rows: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-    """Known costs of one block lowered by the offers and along its own edges, and its offers to other blocks."""
-    block = rows["block"].iloc[0]
-    before, now = {}, {}
-    for node, cost, hops, offer in zip(*(rows[c].tolist() for c in ("node", "cost", "hops", "offer"))):
-        if not offer:
-            before[node] = (cost, hops)
-        now[node] = min(now.get(node, (cost, hops)), (cost, hops))
-    ahead: dict[int, list[tuple[int, float, int]]] = {}
-    for src, *way in zip(*(edges[c].tolist() for c in ("src", "dst", "weight", "to_block"))):
-        ahead.setdefault(src, []).append(way)
-    offers: dict[tuple[int, int], tuple[float, int]] = {}
-    queue = [(*best, node) for node, best in now.items() if best != before.get(node)]
-    heapify(queue)
-    while queue:
-        cost, hops, node = heappop(queue)
-        if (cost, hops) > now[node]:
-            continue
-        for dst, weight, to_block in ahead.get(node, ()):
-            reached = (cost + weight, hops + 1)
-            if to_block != block:
-                offers[to_block, dst] = min(offers.get((to_block, dst), reached), reached)
-            elif dst not in now or reached < now[dst]:
-                now[dst] = reached
-                heappush(queue, (*reached, dst))
-    result = [(block, node, *best, False) for node, best in now.items()]
-    result += [(to_block, dst, *best, True) for (to_block, dst), best in offers.items()]
-    return pd.DataFrame(result, columns=["block", "node", "cost", "hops", "offer"])
+def _best(offers: DataFrame) -> DataFrame:
+    """The lowest cost per node with the fewest hops at that cost, combined before the shuffle."""
+    best = offers.groupBy("node").agg(F.min(F.struct("cost", "hops")).alias("best"))
+    return best.select("node", "best.cost", "best.hops")
 
 
 def predecessors(edges: DataFrame, distances: DataFrame) -> DataFrame:

@@ -13,15 +13,27 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import numbers, times
 from plumbline.operators.outliers import above_spread
-from plumbline.operators.summaries import growth, mean, row_count, summarise, total, value_count
+from plumbline.operators.summaries import Rollup, growth, mean, row_count, summarise, total, value_count
 
 ROLLUP_KEYS = ("region", "product", "channel", "year_month")
 ROLLUP_MEASURES = ("revenue", "quantity", "discount_pct")
 
 
-def sales_rollup(sales: DataFrame, digits: int | None = None) -> DataFrame:
+def sales_rollup(sales: DataFrame, digits: int | None = None) -> Rollup:
     """Partial results by region, product, channel and month: one scan serves the grouped reports."""
-    return summarise(sales, ROLLUP_KEYS, ROLLUP_MEASURES, digits)
+    return Rollup(summarise(sales, ROLLUP_KEYS, ROLLUP_MEASURES, digits))
+
+
+def product_rollup(
+    sales: DataFrame, products: DataFrame, measures: Sequence[str], keys: Sequence[str] = (), digits: int | None = None
+) -> Rollup:
+    """Partial results by product and ``keys`` of sales that carry only a ``part_key``.
+
+    The sales are summed up by part first, so the join with ``products(part_key, product)``
+    meets one row per part; sales of parts it does not list are left out.
+    """
+    by_part = summarise(sales, ["part_key", *keys], measures, digits)
+    return Rollup(by_part.join(products.select("part_key", "product"), "part_key").drop("part_key"))
 
 
 def total_revenue(sales: DataFrame, digits: int | None = None) -> DataFrame:
@@ -112,7 +124,7 @@ def revenue_anomalies(
 
 
 def revenue_by_product_region(
-    sales: DataFrame, regions: Sequence[str] | None = None, digits: int | None = None
+    sales: DataFrame | Rollup, regions: Sequence[str] | None = None, digits: int | None = None
 ) -> DataFrame:
     """Products by regions with revenue in the cells, zero where there is none, and a row total.
 
@@ -147,7 +159,7 @@ def revenue_by_region(sales: DataFrame, digits: int | None = None) -> DataFrame:
     return _ranked(sales, "region", columns, ["revenue", "quantity"], digits)
 
 
-def top_products(sales: DataFrame, top_n: int = 10, digits: int | None = None) -> DataFrame:
+def top_products(sales: DataFrame | Rollup, top_n: int = 10, digits: int | None = None) -> DataFrame:
     columns = [
         row_count().alias("order_count"),
         total("revenue").alias("total_revenue"),
@@ -209,7 +221,7 @@ def region_summary(net: DataFrame, digits: int | None = None) -> DataFrame:
     return by_region.orderBy(F.desc("net_revenue"), "region")
 
 
-def product_summary(net: DataFrame, digits: int | None = None) -> DataFrame:
+def product_summary(net: DataFrame | Rollup, digits: int | None = None) -> DataFrame:
     by_product = summarise(net, ["product"], ["net_revenue"], digits)
     report = by_product.select("product", total("net_revenue").alias("net_revenue"))
     return report.orderBy(F.desc("net_revenue"), "product")

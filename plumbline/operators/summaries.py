@@ -1,14 +1,16 @@
 """Grouped counts, totals and means, in a form that can be summed up again.
 
 ``summarise`` yields one row per key with partial results: ``_rows`` and, per
-measure, ``_sum_<name>`` and ``_n_<name>``. Handed such a table it adds the
-partial results up. So each report accepts either the fact table or a rollup
-made once for several reports, and a rollup of 100 TB of facts costs one scan.
+measure, ``_sum_<name>`` and ``_n_<name>``. Handed such a table as a
+:class:`Rollup` it adds the partial results up. So each report accepts either the
+fact table or a rollup made once for several reports, and a rollup of 100 TB of
+facts costs one scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,15 +20,26 @@ from plumbline.functions.numbers import percent, summable
 ROWS = "_rows"
 
 
-def is_summary(df: DataFrame) -> bool:
-    return ROWS in df.columns
+@dataclass(frozen=True)
+class Rollup:
+    """A table of partial results, told apart from facts by type and not by its columns."""
+
+    frame: DataFrame
+
+    def persist(self) -> Rollup:
+        self.frame.persist()
+        return self
+
+    def unpersist(self) -> None:
+        self.frame.unpersist()
 
 
 def summarise(
-    df: DataFrame, keys: Sequence[str], measures: Sequence[str] = (), digits: int | None = None
+    df: DataFrame | Rollup, keys: Sequence[str], measures: Sequence[str] = (), digits: int | None = None
 ) -> DataFrame:
     """Partial results per key; see :func:`plumbline.functions.numbers.summable` for ``digits``."""
-    if is_summary(df):
+    if isinstance(df, Rollup):
+        df = df.frame
         columns = [F.sum(ROWS).alias(ROWS)]
         for name in measures:
             columns += [F.sum(f"_{part}_{name}").alias(f"_{part}_{name}") for part in ("sum", "n")]

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from plumbline.functions import numbers, times
 from plumbline.operators import cleaning
 from plumbline.operators.outliers import above_spread
-from plumbline.operators.summaries import growth, mean, row_count, share_of_rows, summarise, total, value_count
+from plumbline.operators.summaries import Rollup, growth, mean, row_count, share_of_rows, summarise, total, value_count
 
 ROLLUP_KEYS = ("hour_of_day", "day_of_week", "payment_type")
 ROLLUP_MEASURES = ("fare_amount", "trip_distance", "trip_duration_mins")
 
 
-def trip_rollup(trips: DataFrame, digits: int | None = None) -> DataFrame:
+def trip_rollup(trips: DataFrame, digits: int | None = None) -> Rollup:
     """Partial results by hour, weekday and payment type: one scan serves all grouped reports."""
-    return summarise(trips, ROLLUP_KEYS, ROLLUP_MEASURES, digits)
+    return Rollup(summarise(trips, ROLLUP_KEYS, ROLLUP_MEASURES, digits))
 
 
 def hourly_revenue(trips: DataFrame, digits: int | None = None) -> DataFrame:
@@ -102,12 +102,13 @@ def monthly_growth(
     return growth(by_month, "year_month", "trip_count", "prev_count", "growth_pct").orderBy("year_month")
 
 
-def detect_anomalies(trips: DataFrame, z_threshold: float = 3.0, limit: int = 25) -> DataFrame:
-    """Highest fares above mean + ``z_threshold`` deviations; ties go by the other columns."""
+def detect_anomalies(trips: DataFrame, z_threshold: float = 3.0, limit: int | None = 25) -> DataFrame:
+    """Highest fares above mean + ``z_threshold`` deviations, all of them if ``limit`` is None; ties go by the other columns."""
     columns = ["tpep_pickup_datetime", "trip_distance", "fare_amount", "trip_duration_mins", "payment_type"]
     found = above_spread(trips.select(*columns), "fare_amount", z_threshold, score="z_score")
     ties = [c for c in columns if c != "fare_amount"]
-    return found.orderBy(F.desc("fare_amount"), *ties).limit(int(limit))
+    ordered = found.orderBy(F.desc("fare_amount"), *ties)
+    return ordered if limit is None else ordered.limit(int(limit))
 
 
 def fare_anomalies(trips: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions import texts
 from plumbline.functions.distance import grid_distance
 from plumbline.operators import cleaning, graph, pages, sales, stats, trips
 from plumbline.plans import reports
@@ -40,12 +41,18 @@ def _net_orders(spark: SparkSession, folder: str) -> DataFrame:
     return sales.with_net_revenue(bindings.sales(spark, folder), "discount_pct")
 
 
-def _clean_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_sales(bindings.raw_sales(spark, folder), order=bindings.SALES_ORDER).drop("part_key")
+def _by_product(report: Callable[..., DataFrame], measures: list[str], keys: tuple[str, ...] = (), source: Query = bindings.sales, **options) -> Query:
+    """A report by product from sales summed up by part first."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        rollup = sales.product_rollup(source(spark, folder), bindings.products(spark, folder), measures, keys, DIGITS)
+        return report(rollup, digits=DIGITS, **options)
+
+    return query
 
 
-def _good_catalog_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.drop_failed_pages(bindings.catalog_pages(spark, folder))
+def _failing_catalog_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return bindings.catalog_pages(spark, folder, failures=True)
 
 
 def _flat_metadata(df: DataFrame) -> DataFrame:
@@ -80,7 +87,7 @@ def _flat_records(records: DataFrame) -> DataFrame:
 def _dataset(spark: SparkSession, folder: str) -> DataFrame:
     """The page dataset written as JSON lines and read back."""
     path = scratch_table_path(spark, "pages")
-    crawl = bindings.catalog_pages(spark, folder)
+    crawl = _failing_catalog_pages(spark, folder)
     reports.build_dataset(crawl, path, CATALOG_SITE)
     schema = pages.parse_pages(crawl).schema
     return _flat_records(files.read_jsonl(spark, path, schema))
@@ -108,7 +115,7 @@ def _streamed(spark: SparkSession, folder: str) -> DataFrame:
 def _reported(spark: SparkSession, folder: str) -> DataFrame:
     """The key figures of the JSON report, rounded there, read back."""
     path = scratch_table_path(spark, "report")
-    figures = sales.summary_stats(bindings.sales(spark, folder), digits=DIGITS)
+    figures = sales.summary_stats(bindings.sales_with_product(spark, folder), digits=DIGITS)
     files.write_report({"summary_stats": figures}, path)
     return files.read_jsonl(spark, f"{path}/summary_stats", figures.schema)
 
@@ -130,23 +137,41 @@ def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _reused_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    """Cleaned trips written once; the second call reads what is there."""
+    """Cleaned trips written once; the second call reads what is there and not the trips of other hours it is given."""
     path = scratch_table_path(spark, "trips")
     cleaned = bindings.trips(spark, folder)
     files.write_cleaned(cleaned, path)
-    return trips.hourly_revenue(files.write_cleaned(cleaned.limit(0), path), digits=DIGITS)
+    return trips.hourly_revenue(files.write_cleaned(cleaned.withColumn("hour_of_day", F.lit(0)), path), digits=DIGITS)
 
 
-def _capped(spark: SparkSession, folder: str) -> DataFrame:
-    """All Parquet rows of orders through the capped reader, with a cap above their number."""
-    table = files.read_parquet(spark, f"{folder.rstrip('/')}/orders.parquet", max_rows=1 << 60)
-    return table.select("o_orderkey", "o_custkey", "o_totalprice")
+def _parquet_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as several files with different columns, read back as one table."""
+    path = scratch_table_path(spark, "folder")
+    orders = bindings.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    late = F.col("o_orderkey") % 3 == 0
+    orders.where(~late).write.parquet(path)
+    orders.where(late).withColumn("late", F.lit(True)).write.mode("append").parquet(path)
+    return files.read_parquet(spark, path)
+
+
+def _site_dataset(spark: SparkSession, folder: str) -> DataFrame:
+    """The crawled pages written as JSON lines and read back."""
+    path = scratch_table_path(spark, "site")
+    crawl = bindings.pages(spark, folder)
+    reports.build_dataset(crawl, path)
+    return _flat_records(files.read_jsonl(spark, path, pages.parse_pages(crawl).schema))
 
 
 def _inventory(spark: SparkSession, folder: str) -> DataFrame:
     return files.file_inventory(spark, folder).select("file_name", "row_count")
 
 
+def _document_words(spark: SparkSession, folder: str) -> DataFrame:
+    docs = bindings.table(spark, folder, "documents")
+    text = texts.collapse_blanks("text")
+    return docs.select(texts.padded_id("DOC", "doc_id", 9).alias("document"), texts.word_count("text").alias("words"), F.length(text).alias("length"))
+
+
 def _edges(spark: SparkSession, folder: str) -> DataFrame:
     edges = graph.grid_edges(bindings.cells(spark, folder))
     return edges.select(
@@ -174,13 +199,13 @@ def _grid(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataF
 
 def _shortest(spark: SparkSession, folder: str) -> DataFrame:
     edges, source, _ = _grid(spark, folder)
-    found = graph.shortest_paths_by_block(edges, source, graph.tile_of)
+    found = graph.shortest_paths(edges, source)
     return found.select(graph.cell_row("node").alias("row"), graph.cell_col("node").alias("col"), "cost", "hops")
 
 
 def _route(spark: SparkSession, folder: str) -> DataFrame:
     edges, source, target = _grid(spark, folder)
-    steps = graph.routes(edges, graph.shortest_paths_by_block(edges, source, graph.tile_of), target)
+    steps = graph.routes(edges, graph.shortest_paths(edges, source), target)
     return steps.select("step", graph.cell_row("node").alias("row"), graph.cell_col("node").alias("col"), "cost")
 
 
@@ -218,9 +243,8 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    t, s = bindings.trips, bindings.sales
-    pivot = _exact(sales.revenue_by_product_region, regions=bindings.REGIONS)
-    good = _good_catalog_pages
+    t, s, shown = bindings.trips, bindings.sales, bindings.sales_with_product
+    pages_of = bindings.catalog_pages
     return {
         # Trips
         "clean_trips": t,
@@ -230,6 +254,7 @@ def queries() -> dict[str, Query]:
         "avg_duration_by_dow": _over(t, _exact(trips.avg_duration_by_dow)),
         "payment_breakdown": _over(t, _exact(trips.payment_breakdown)),
         "detect_anomalies": _over(t, trips.detect_anomalies),
+        "all_fare_anomalies": _over(t, lambda df: trips.detect_anomalies(df, 1.0, limit=None)),
         "fare_anomalies": _over(t, trips.fare_anomalies),
         "top_routes": _over(t, _exact(trips.top_routes)),
         "monthly_growth": _over(bindings.order_trips, _exact(trips.monthly_growth)),
@@ -237,22 +262,23 @@ def queries() -> dict[str, Query]:
         "filtered_hourly_summary": _over(_filtered, _exact(trips.filtered_hourly_summary)),
         "filtered_payment_summary": _over(_filtered, _exact(trips.filtered_payment_summary)),
         # Sales
-        "clean_sales": _clean_sales,
+        "clean_sales": bindings.cleaned_raw_sales,
         "total_revenue": _over(s, _exact(sales.total_revenue)),
         "top_n_customers": _over(s, _exact(sales.top_n_customers)),
         "monthly_growth_rate": _over(s, _exact(sales.monthly_growth_rate)),
         "cohort_retention": _over(s, sales.cohort_retention),
         "cohort_retention_by_offset": _over(s, sales.cohort_retention_by_offset),
-        "revenue_anomalies": _over(s, sales.revenue_anomalies),
-        "revenue_anomalies_top": _over(s, lambda df: sales.revenue_anomalies(df, 2.0, limit=20)),
-        "revenue_by_product_region": _over(s, pivot),
+        "revenue_anomalies": _over(shown, sales.revenue_anomalies),
+        "revenue_anomalies_one_deviation": _over(shown, lambda df: sales.revenue_anomalies(df, 1.0)),
+        "revenue_anomalies_top": _over(shown, lambda df: sales.revenue_anomalies(df, 1.0, limit=20)),
+        "revenue_by_product_region": _by_product(sales.revenue_by_product_region, ["revenue"], ("region",), regions=bindings.REGIONS),
         "revenue_by_region": _over(s, _exact(sales.revenue_by_region)),
-        "top_products": _over(s, _exact(sales.top_products)),
+        "top_products": _by_product(sales.top_products, ["revenue", "discount_pct"]),
         "monthly_trend": _over(s, _exact(sales.monthly_trend)),
         "revenue_by_channel": _over(s, _exact(sales.revenue_by_channel)),
-        "summary_stats": _over(s, _exact(sales.summary_stats)),
+        "summary_stats": _over(shown, _exact(sales.summary_stats)),
         "region_summary": _over(_net_orders, _exact(sales.region_summary)),
-        "product_summary": _over(_net_orders, _exact(sales.product_summary)),
+        "product_summary": _by_product(sales.product_summary, ["net_revenue"], source=_net_orders),
         "total_net_revenue": _over(_net_orders, _exact(sales.total_net_revenue)),
         # Statistics
         "ols_multi": _over(t, lambda df: _rounded(stats.ols(df, "fare_amount", ["trip_distance", "trip_duration_mins"]))),
@@ -266,13 +292,17 @@ def queries() -> dict[str, Query]:
         "page_text": _over(bindings.pages, lambda df: pages.extract_text(df).select("url", "text")),
         "page_metadata": _over(bindings.pages, _flat_metadata),
         "page_stats": _over(bindings.pages, lambda df: pages.page_stats(pages.parse_pages(df))),
-        "drop_failed_pages": _over(good, lambda df: df.select("url", "error")),
-        "page_images": _over(good, lambda df: pages.image_table(df, CATALOG_SITE)),
-        "page_tables": _over(good, pages.table_cells),
-        "page_json_ld": _over(good, _flat_json_ld),
-        "page_next_link": _over(good, lambda df: pages.extract_next_link(df).select("url", "next_link")),
-        "multimodal_records": _over(good, lambda df: _flat_records(pages.parse_pages(df, CATALOG_SITE))),
+        "drop_failed_pages": _over(_failing_catalog_pages, lambda df: cleaning.drop_failed_pages(df).select("url", "error")),
+        "page_images": _over(pages_of, lambda df: pages.image_table(df, CATALOG_SITE)),
+        "page_images_as_written": _over(pages_of, lambda df: pages.image_table(df, resolve_relative=False)),
+        "page_tables": _over(pages_of, pages.table_cells),
+        "page_json_ld": _over(pages_of, _flat_json_ld),
+        "page_next_link": _over(pages_of, lambda df: pages.extract_next_link(df).select("url", "next_link")),
+        "multimodal_records": _over(pages_of, lambda df: _flat_records(pages.parse_pages(df, CATALOG_SITE))),
+        "multimodal_records_site": _over(bindings.pages, lambda df: _flat_records(pages.parse_pages(df))),
+        "document_words": _document_words,
         "build_dataset": _dataset,
+        "build_dataset_site": _site_dataset,
         # Sources and sinks
         "append_new_pages": _appended_twice,
         "stream_new_pages": _streamed,
@@ -280,7 +310,7 @@ def queries() -> dict[str, Query]:
         "jsonl_line_count": _line_count,
         "csv_round_trip": _csv_round_trip,
         "cleaned_parquet_reuse": _reused_parquet,
-        "read_parquet_capped": _capped,
+        "read_parquet_folder": _parquet_folder,
         "file_inventory": _inventory,
         # Grids and graphs
         "grid_edges": _edges,

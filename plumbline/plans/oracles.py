@@ -62,7 +62,8 @@ raw AS (
   FROM kept
 )"""
 
-SALES = """
+def _sales(where: str = "") -> str:
+    return f"""
 lines AS (
   SELECT * FROM lineitem
   QUALIFY row_number() OVER (
@@ -76,9 +77,12 @@ lines AS (
          strftime(o_orderdate, '%Y-%m') AS year_month
   FROM lines, orders, customer, nation, region, part
   WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey AND c_nationkey = n_nationkey
-    AND n_regionkey = r_regionkey AND l_partkey = p_partkey AND r_name <> 'ASIA'
+    AND n_regionkey = r_regionkey AND l_partkey = p_partkey {where}
 )"""
 
+
+SALES = _sales()
+
 ENTITIES = {"&quot;": '"', "&#x27;": "''", "&#39;": "''", "&lt;": "<", "&gt;": ">", "&copy;": "©", "&middot;": "·"}
 
 
@@ -108,15 +112,20 @@ bodies AS (
 )"""
 WORDS = r"CAST(len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> '')) AS INTEGER)"
 
-CATALOG = """
+def _catalog(where: str = "") -> str:
+    return f"""
 shop AS (
   SELECT *, 'http://catalog.example.com/part/' || p_partkey AS url,
          p_name || ' Field Value Size ' || p_size || ' Brand ' || p_brand || ' © odd 1'
            || CASE WHEN p_partkey % 5 <> 0 THEN ' more' ELSE '' END AS text,
-         '{"sku": ' || p_partkey || ', "name": "' || p_name || '"}' AS item
-  FROM part WHERE p_size % 10 <> 0
+         '{{"sku": ' || p_partkey || ', "name": "' || p_name || '"}}' AS item
+  FROM part {where}
 )"""
-CATALOG_RECORDS = f"""WITH {CATALOG}
+
+
+CATALOG = _catalog()
+GOOD = _catalog("WHERE p_size % 10 <> 0")
+RECORDS = f"""
 SELECT url, text, CAST(3 AS INTEGER) AS image_count, CAST(1 AS INTEGER) AS table_count,
        CAST([1, 2, 0][1 + p_partkey % 3] AS INTEGER) AS json_ld_count, p_name || ' & more' AS title,
        {WORDS} AS word_count
@@ -149,21 +158,27 @@ SETTLED = f"""
 )"""
 
 
+SITE_RECORDS = rf"""WITH {PAGE_TEXT}
+SELECT url, text, CAST(0 AS INTEGER) AS image_count, CAST(0 AS INTEGER) AS table_count, CAST(0 AS INTEGER) AS json_ld_count,
+       {unescaped("trim(regexp_extract(html, '<title>(.*?)</title>', 1, 's'))")} AS title, {WORDS} AS word_count
+FROM texts"""
+
+
 def _ranked(key: str, columns: str, limit: str = "") -> str:
     return f"WITH {SALES} SELECT {key}, {columns} FROM sales GROUP BY {key} ORDER BY total_revenue DESC, {key} {limit}"
 
 
-def _anomalous_fares(limit: int) -> str:
+def _anomalous_fares(limit: str, times: int = 3) -> str:
     return f"""WITH {TRIPS}, spread AS (SELECT avg(fare_amount) AS m, stddev_pop(fare_amount) AS sd FROM trips)
 SELECT tpep_pickup_datetime, trip_distance, fare_amount, trip_duration_mins, payment_type,
        {half_up("(fare_amount - m) / sd", 2)} AS z_score
-FROM trips, spread WHERE fare_amount > m + 3 * sd
-ORDER BY fare_amount DESC, tpep_pickup_datetime, trip_distance, trip_duration_mins, payment_type LIMIT {limit}"""
+FROM trips, spread WHERE fare_amount > m + {times} * sd
+ORDER BY fare_amount DESC, tpep_pickup_datetime, trip_distance, trip_duration_mins, payment_type {limit}"""
 
 
-def _anomalous_sales(limit: str = "") -> str:
+def _anomalous_sales(times: int = 2, limit: str = "") -> str:
     return f"""WITH {SALES}, spread AS (SELECT avg(revenue) AS m, stddev_pop(revenue) AS sd FROM sales)
-SELECT sales.* FROM sales, spread WHERE revenue > m + 2 * sd
+SELECT sales.* FROM sales, spread WHERE revenue > m + {times} * sd
 ORDER BY revenue DESC, order_id {limit}"""
 
 
@@ -187,7 +202,7 @@ def oracle_sql() -> dict[str, str]:
     value_scale = "SELECT event_id, {} AS normalized FROM events, (SELECT min(value) AS lo, max(value) AS hi, avg(value) AS m, stddev_pop(value) AS sd FROM events)"
     pivot = ", ".join(
         f"coalesce({added(f'''CASE WHEN region = '{r}' THEN revenue END''')}, 0) AS \"{r}\""
-        for r in ("AFRICA", "AMERICA", "EUROPE", "MIDDLE EAST")
+        for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
     )
     catalog = f"WITH {CATALOG}"
     return {
@@ -200,8 +215,9 @@ GROUP BY hour_of_day ORDER BY trip_count DESC, hour_of_day LIMIT 10""",
 FROM trips GROUP BY day_of_week""",
         "payment_breakdown": f"""WITH {TRIPS} SELECT payment_type, {trip_count}, {fare_total}, {avg_fare},
 {half_up("COUNT(*) * CAST(100 AS DOUBLE) / (SELECT COUNT(*) FROM trips)", 1)} AS pct_trips FROM trips GROUP BY payment_type""",
-        "detect_anomalies": _anomalous_fares(25),
-        "fare_anomalies": _anomalous_fares(20),
+        "detect_anomalies": _anomalous_fares("LIMIT 25"),
+        "all_fare_anomalies": _anomalous_fares("", 1),
+        "fare_anomalies": _anomalous_fares("LIMIT 20"),
         "top_routes": f"""WITH {TRIPS} SELECT pulocationid AS "PULocationID", dolocationid AS "DOLocationID", {trip_count}, {avg_fare}, {avg_distance}
 FROM trips GROUP BY 1, 2 ORDER BY trip_count DESC, 1, 2 LIMIT 10""",
         "monthly_growth": f"""WITH m AS (
@@ -214,7 +230,7 @@ FROM m cur LEFT JOIN m prev ON prev.year_month = (SELECT max(year_month) FROM m
 pulocationid, dolocationid, minutes AS trip_duration_mins, hour_of_day, cost_per_mile FROM kept""",
         "filtered_hourly_summary": f"WITH {TRIPS} SELECT hour_of_day, COUNT(fare_amount) AS trip_count, {averaged(fare)} AS avg_fare FROM kept GROUP BY hour_of_day",
         "filtered_payment_summary": f"""WITH {TRIPS} SELECT payment_type, {added(fare)} AS sum, COUNT(fare_amount) AS "count" FROM kept GROUP BY payment_type""",
-        "clean_sales": f"WITH {SALES} SELECT * FROM sales",
+        "clean_sales": f"""WITH {_sales("AND r_name <> 'ASIA'")} SELECT * FROM sales""",
         "total_revenue": f"WITH {SALES} SELECT {revenue_total}, {order_count}, {avg_order} FROM sales",
         "top_n_customers": _ranked("customer_id", f"{revenue_total}, {order_count}, {avg_order}", "LIMIT 10"),
         "monthly_growth_rate": f"""WITH {SALES}, m AS (SELECT year_month, {added("revenue")} AS v FROM sales GROUP BY 1)
@@ -232,9 +248,10 @@ a AS (SELECT cohort_month, CAST(datediff('month', CAST(cohort_month || '-01' AS
 SELECT cohort_month, month_offset, active_customers, cohort_size,
   {half_up("active_customers * CAST(100 AS DOUBLE) / cohort_size", 1)} AS retention_pct FROM a JOIN n USING (cohort_month)""",
         "revenue_anomalies": _anomalous_sales(),
-        "revenue_anomalies_top": _anomalous_sales("LIMIT 20"),
+        "revenue_anomalies_one_deviation": _anomalous_sales(1),
+        "revenue_anomalies_top": _anomalous_sales(1, "LIMIT 20"),
         "revenue_by_product_region": f"""WITH {SALES}, p AS (SELECT product, {pivot} FROM sales GROUP BY product)
-SELECT *, 0 + "AFRICA" + "AMERICA" + "EUROPE" + "MIDDLE EAST" AS grand_total FROM p""",
+SELECT *, 0 + "AFRICA" + "AMERICA" + "ASIA" + "EUROPE" + "MIDDLE EAST" AS grand_total FROM p""",
         "revenue_by_region": _ranked("region", f"{order_count}, {revenue_total}, {avg_order}, {added('quantity')} AS total_units"),
         "top_products": _ranked("product", f"{order_count}, {revenue_total}, {averaged('discount_pct')} AS avg_discount", "LIMIT 10"),
         "monthly_trend": f"WITH {SALES} SELECT year_month, {added('revenue')} AS monthly_revenue, {order_count} FROM sales GROUP BY year_month",
@@ -263,7 +280,7 @@ SELECT {half_up("y - ca * a - cb * b", 6)} AS intercept, {half_up("ca", 6)} AS c
   {unescaped("trim(regexp_extract(html, '<title>(.*?)</title>', 1, 's'))")} AS title, '' AS description,
   {unescaped("trim(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'))")} AS h1s, {WORDS} AS word_count FROM texts""",
         "page_stats": f"WITH {PAGE_TEXT} SELECT url, {WORDS} AS word_count, CAST(0 AS INTEGER) AS image_count FROM texts",
-        "drop_failed_pages": f"{catalog} SELECT url, CAST(NULL AS VARCHAR) AS error FROM shop",
+        "drop_failed_pages": f"WITH {GOOD} SELECT url, CAST(NULL AS VARCHAR) AS error FROM shop",
         "page_images": f"""{catalog} SELECT url, CAST(0 AS INTEGER) AS position, 'http://catalog.example.com/img/' || p_partkey || '.png' AS src, p_name AS alt FROM shop
 UNION ALL SELECT url, 1, 'http://catalog.example.com/thumb/' || p_partkey || '.png', '' FROM shop
 UNION ALL SELECT url, 2, 'http://cdn.example.com/' || p_partkey || '.png', 'front' FROM shop""",
@@ -274,8 +291,16 @@ SELECT url, CAST(0 AS INTEGER) AS table_no, CAST(row_no AS INTEGER) AS row_no, h
         "page_json_ld": f"""{catalog} SELECT url, CAST(0 AS INTEGER) AS position, item AS block FROM shop WHERE p_partkey % 3 < 2
 UNION ALL SELECT url, 1, '{{"offers": ' || p_partkey || '}}' FROM shop WHERE p_partkey % 3 = 1""",
         "page_next_link": f"{catalog} SELECT url, CASE WHEN p_partkey % 5 <> 0 THEN '/part/' || p_partkey || '?next=1' END AS next_link FROM shop",
-        "multimodal_records": CATALOG_RECORDS,
-        "build_dataset": CATALOG_RECORDS,
+        "page_images_as_written": f"""{catalog} SELECT url, CAST(0 AS INTEGER) AS position, '/img/' || p_partkey || '.png' AS src, p_name AS alt FROM shop
+UNION ALL SELECT url, 1, 'thumb/' || p_partkey || '.png', '' FROM shop
+UNION ALL SELECT url, 2, 'http://cdn.example.com/' || p_partkey || '.png', 'front' FROM shop""",
+        "multimodal_records": f"WITH {CATALOG} {RECORDS}",
+        "multimodal_records_site": SITE_RECORDS,
+        "document_words": rf"""SELECT 'DOC-' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS document,
+  CAST(len(list_filter(string_split_regex(text, '[ \t\n\r\f\x0B]+'), lambda w: w <> '')) AS INTEGER) AS words,
+  CAST(length(regexp_replace(regexp_replace(text, '[ \t\n\r\f\x0B]{{2,}}', ' ', 'g'), '^\s+|\s+$', '', 'g')) AS INTEGER) AS length FROM documents""",
+        "build_dataset": f"WITH {GOOD} {RECORDS}",
+        "build_dataset_site": SITE_RECORDS,
         "append_new_pages": "SELECT DISTINCT url, CAST(length(html) AS INTEGER) AS html_length FROM pages",
         "stream_new_pages": "SELECT DISTINCT url, CAST(length(html) AS INTEGER) AS html_length FROM pages",
         "report_key_figures": f"""WITH {SALES} SELECT COUNT(*) AS total_orders, {half_up(added("revenue"), 4)} AS total_revenue,
@@ -284,7 +309,7 @@ COUNT(DISTINCT customer_id) AS unique_customers, COUNT(DISTINCT product) AS uniq
         "jsonl_line_count": "SELECT COUNT(*) AS line_count FROM pages",
         "csv_round_trip": "SELECT o_orderkey, o_orderdate, o_totalprice, o_orderpriority FROM orders",
         "cleaned_parquet_reuse": f"WITH {TRIPS} SELECT hour_of_day, {avg_fare}, {trip_count}, {fare_total} FROM trips GROUP BY hour_of_day",
-        "read_parquet_capped": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+        "read_parquet_folder": "SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN true END AS late FROM orders",
         "file_inventory": " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, COUNT(*) AS row_count FROM {t}" for t in TABLES),
         "grid_edges": f"WITH {CELLS} SELECT * FROM edges",
         "grid_distance": f"""WITH {CELLS} SELECT r AS row, c AS col, CAST(r + c AS DOUBLE) AS manhattan,

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from plumbline.operators import cleaning, pages, sales, trips
+from plumbline.operators.summaries import Rollup, summarise
 from plumbline.sources.files import write_jsonl
 
 
-def trip_report(cleaned: DataFrame, digits: int | None = None) -> dict[str, DataFrame]:
+def trip_report(cleaned: DataFrame, digits: int | None = None) -> dict[str, DataFrame | Rollup]:
     """The five trip reports.
 
     The four grouped ones share a rollup that is persisted on first use; it has
@@ -26,7 +27,7 @@ def trip_report(cleaned: DataFrame, digits: int | None = None) -> dict[str, Data
     }
 
 
-def sales_report(cleaned: DataFrame, top_n: int = 10, digits: int | None = None) -> dict[str, DataFrame]:
+def sales_report(cleaned: DataFrame, top_n: int = 10, digits: int | None = None) -> dict[str, DataFrame | Rollup]:
     """The sales reports, key figures and largest orders; grouped ones share a persisted rollup."""
     rollup = sales.sales_rollup(cleaned, digits).persist()
     return {
@@ -40,10 +41,10 @@ def sales_report(cleaned: DataFrame, top_n: int = 10, digits: int | None = None)
     }
 
 
-def filtered_trip_summaries(raw: DataFrame, digits: int | None = None) -> dict[str, DataFrame]:
+def filtered_trip_summaries(raw: DataFrame, digits: int | None = None) -> dict[str, DataFrame | Rollup]:
     """Filtered trips and their two summaries; both summaries come from one rollup of the filtered trips."""
     filtered = trips.filtered_trips(raw)
-    rollup = trips.summarise(filtered, ["hour_of_day", "payment_type"], ["fare_amount"], digits).persist()
+    rollup = Rollup(summarise(filtered, ["hour_of_day", "payment_type"], ["fare_amount"], digits)).persist()
     return {
         "rollup": rollup,
         "filtered": filtered,
@@ -52,10 +53,10 @@ def filtered_trip_summaries(raw: DataFrame, digits: int | None = None) -> dict[s
     }
 
 
-def net_revenue_summaries(orders: DataFrame, discount: str = "discount", digits: int | None = None) -> dict[str, DataFrame]:
+def net_revenue_summaries(orders: DataFrame, discount: str = "discount", digits: int | None = None) -> dict[str, DataFrame | Rollup]:
     """Net revenue in total, by region and by product, from one persisted rollup."""
     net = sales.with_net_revenue(orders, discount)
-    rollup = sales.summarise(net, ["region", "product"], ["net_revenue"], digits).persist()
+    rollup = Rollup(summarise(net, ["region", "product"], ["net_revenue"], digits)).persist()
     return {
         "rollup": rollup,
         "total_revenue": sales.total_net_revenue(rollup),

@@ -13,8 +13,9 @@ from plumbline.functions.numbers import net_of_discount
 from plumbline.operators import cleaning
 
 SALES_ORDER = ("quantity", "unit_price", "discount_pct", "part_key")
+# The region that counts as missing in raw sales, for the cleaner to find.
 MISSING_REGION = "ASIA"
-REGIONS = ("AFRICA", "AMERICA", "EUROPE", "MIDDLE EAST")
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
 # The columns of the source tables. Declared, so that reading needs no look into the files.
@@ -39,6 +40,7 @@ SCHEMAS = {
     ),
     "embeddings": "vec_id bigint, embedding array<float>, label int",
     "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
 
@@ -46,15 +48,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly work per row when a small table has fewer file splits than cores.
-
-    Tables with enough splits, that is all large ones, are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Trips from ``events``, under the names and in the spelling a raw file might have."""
     seconds = ((F.col("event_id") * 7) % 20000).cast("int")
@@ -94,57 +87,64 @@ def _sale_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _with_dimensions(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Add date, customer, channel, region and product; one region counts as missing.
-
-    No join is hinted: Spark broadcasts the sides it measures as small enough and
-    splits skewed partitions of the others.
-    """
-    orders = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").alias("date"), F.col("o_custkey").alias("customer_id")
-    )
+def _order_facts(spark: SparkSession, folder: str, missing_region: str | None = None) -> DataFrame:
+    """Orders with customer, channel and region: the joins that need no order line."""
+    region = F.col("r_name") if missing_region is None else F.nullif(F.col("r_name"), F.lit(missing_region))
     regions = (
         table(spark, folder, "nation")
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", F.nullif(F.col("r_name"), F.lit(MISSING_REGION)).alias("region"))
+        .select("n_nationkey", region.alias("region"))
     )
     customers = (
         table(spark, folder, "customer")
         .join(regions, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("channel"), "region")
     )
-    products = table(spark, folder, "part").select(F.col("p_partkey").alias("part_key"), F.col("p_brand").alias("product"))
-    order_id = F.concat_ws("-", F.col("order_key").cast("string"), F.col("line_no").cast("string"))
-    joined = lines.join(orders, "order_key").join(customers, "customer_id").join(products, "part_key")
-    return joined.select(
-        order_id.alias("order_id"),
-        "date",
-        "region",
-        "product",
-        "channel",
-        "quantity",
-        "unit_price",
-        "discount_pct",
-        "customer_id",
-        "revenue",
-        "part_key",
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").alias("date"), F.col("o_custkey").alias("customer_id")
     )
+    return orders.join(customers, "customer_id")
+
+
+def products(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "part").select(F.col("p_partkey").alias("part_key"), F.col("p_brand").alias("product"))
+
+
+def _by_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines dealt by order: the partitioning that finding copies and joining the orders share."""
+    return _sale_lines(spark, folder).repartition("order_key")
+
+
+def _identified(lines: DataFrame) -> DataFrame:
+    order_id = F.concat_ws("-", F.col("order_key").cast("string"), F.col("line_no").cast("string"))
+    return lines.withColumn("order_id", order_id).drop("order_key", "line_no")
 
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Sales with repeated order ids, before cleaning."""
-    return _with_dimensions(_sale_lines(spark, folder), spark, folder)
+    """Sales with repeated order lines and one missing region, before cleaning; the part stands for the product."""
+    return _by_order(spark, folder).join(_order_facts(spark, folder, MISSING_REGION), "order_key")
+
+
+def cleaned_raw_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """``clean_sales`` over :func:`raw_sales`, with products added last."""
+    cleaned = cleaning.clean_sales(raw_sales(spark, folder), ("order_key", "line_no"), SALES_ORDER)
+    return _identified(cleaned).join(products(spark, folder), "part_key").drop("part_key")
 
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Cleaned sales.
+    """Cleaned sales of all regions, with ``part_key`` in place of the product.
 
-    Equals ``clean_sales`` over :func:`raw_sales`, but removes repeated lines
-    before the joins: every column that decides which copy is first comes from
-    the line itself, and so the joins carry each order line once.
+    The order lines, by far the largest table, are shuffled once: by order. Copies
+    are removed and orders joined on that partitioning; customers and regions are
+    joined to the orders, which have no line's columns. No join is hinted.
     """
-    first = cleaning.dedupe(_sale_lines(spark, folder), ["order_key", "line_no"], SALES_ORDER)
-    return cleaning.finish_sales(_with_dimensions(first, spark, folder)).drop("part_key")
+    first = cleaning.dedupe(_by_order(spark, folder), ["order_key", "line_no"], SALES_ORDER)
+    return _identified(cleaning.finish_sales(first.join(_order_facts(spark, folder), "order_key")))
+
+
+def sales_with_product(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`sales` for results that show the product of single sales."""
+    return sales(spark, folder).join(products(spark, folder), "part_key").drop("part_key")
 
 
 def cells(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,12 +161,12 @@ def cells(spark: SparkSession, folder: str) -> DataFrame:
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """The crawl as it is; no fetch error is on record."""
-    crawl = spread(table(spark, folder, "pages").select("url", "html"))
+    crawl = table(spark, folder, "pages").select("url", "html")
     return crawl.withColumn("error", F.lit(None).cast("string"))
 
 
-def catalog_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """A product page per part with pictures, a table, structured data and a pager; some fetches failed."""
+def catalog_pages(spark: SparkSession, folder: str, failures: bool = False) -> DataFrame:
+    """A product page per part with pictures, a table, structured data and a pager; ``failures`` marks some as failed."""
     key, name = F.col("p_partkey").cast("string"), F.col("p_name")
     item = F.concat(F.lit('{"sku": '), key, F.lit(', "name": "'), name, F.lit('"}'))
     variant = F.col("p_partkey") % 3
@@ -205,9 +205,9 @@ def catalog_pages(spark: SparkSession, folder: str) -> DataFrame:
         pager,
         F.lit("</body></html>"),
     )
-    failed = F.col("p_size") % 10 == 0
+    failed = F.col("p_size") % 10 == 0 if failures else F.lit(False)
     columns = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
-    return spread(table(spark, folder, "part").select(*columns)).select(
+    return table(spark, folder, "part").select(*columns).select(
         F.concat(F.lit("http://catalog.example.com/part/"), key).alias("url"),
         F.when(failed, F.lit("")).otherwise(html).alias("html"),
         F.when(failed, F.lit("timeout")).alias("error"),

@@ -20,13 +20,9 @@ def point(spark, *points):
     return spark.createDataFrame([((r << 32) | c,) for r, c in points], "node bigint")
 
 
-def solve(spark, cells, start, method="rounds", side=3):
+def solve(spark, cells, start):
     edges = graph.grid_edges(cells)
-    if method == "rounds":
-        found = graph.shortest_paths(edges, point(spark, start))
-    else:
-        found = graph.shortest_paths_by_block(edges, point(spark, start), lambda node: graph.tile_of(node, side))
-    return edges, found
+    return edges, graph.shortest_paths(edges, point(spark, start))
 
 
 def costs_of(found):
@@ -48,18 +44,16 @@ def dijkstra(rows, costs, start):
     return best
 
 
-@pytest.mark.parametrize("method", ["rounds", "blocks"])
-def test_open_grid_is_manhattan(spark, method):
-    _, found = solve(spark, grid(spark, ["....", "....", "...."]), (0, 0), method)
+def test_open_grid_is_manhattan(spark):
+    _, found = solve(spark, grid(spark, ["....", "....", "...."]), (0, 0))
     assert costs_of(found) == {(r, c): float(r + c) for r in range(3) for c in range(4)}
 
 
-@pytest.mark.parametrize("method", ["rounds", "blocks"])
-def test_random_grids_against_a_heap_search(spark, method):
+def test_random_grids_against_a_heap_search(spark):
     rng = random.Random(42)
     rows = ["".join("#" if rng.random() < 0.25 and (r, c) != (0, 0) else "." for c in range(9)) for r in range(8)]
     costs = [[rng.randint(1, 3) for _ in range(9)] for _ in range(8)]
-    edges, found = solve(spark, grid(spark, rows, costs), (0, 0), method)
+    edges, found = solve(spark, grid(spark, rows, costs), (0, 0))
     assert costs_of(found) == dijkstra(rows, costs, (0, 0))
     near = found.select(F.col("node").alias("src"), F.col("cost").alias("a"))
     far = found.select(F.col("node").alias("dst"), F.col("cost").alias("b"))
@@ -92,30 +86,39 @@ def test_several_sources_and_free_edges(spark):
     want = {(1, 0.0, 0), (9, 0.0, 0), (2, 0.0, 1), (3, 0.0, 2), (4, 1.5, 3)}
     found = graph.shortest_paths(edges, sources)
     assert {tuple(r) for r in found.collect()} == want
-    by_block = graph.shortest_paths_by_block(edges, sources, lambda node: (node % 2).cast("bigint"))
-    assert {tuple(r) for r in by_block.collect()} == want
+    assert {tuple(r) for r in graph.shortest_paths(edges, sources, steps_per_round=1).collect()} == want
     route = graph.routes(edges, found, spark.createDataFrame([(4,)], "node bigint")).orderBy("step")
     assert [r.node for r in route.collect()] == [1, 2, 3, 4]
 
 
-def test_hub_edges_are_split_and_results_stay_whole(spark):
+def test_hubs_and_chords_against_a_heap_search(spark):
     rng = random.Random(7)
-    spokes = [(0, i, float(rng.randint(1, 9))) for i in range(1, 301)] + [(i, 0, 1.0) for i in range(1, 301)]
-    chords = [(rng.randint(1, 300), rng.randint(1, 300), float(rng.randint(1, 3))) for _ in range(300)]
-    edges = spark.createDataFrame(spokes + chords, "src bigint, dst bigint, weight double")
-    source = spark.createDataFrame([(5,)], "node bigint")
-    whole = {tuple(r) for r in graph.shortest_paths(edges, source).collect()}
-    split = {tuple(r) for r in graph.shortest_paths(edges, source, hub_degree=40).collect()}
-    assert split == whole and len(whole) == 301
-    parts = graph._split_edges(edges, source, spark.createDataFrame([(0, 8)], "node bigint, parts int"))
-    assert parts.where("src = 0 AND NOT loop").select("part").distinct().count() == 8
-    assert parts.where("dst = 0").select("parts").distinct().collect() == [(8,)]
+    rows = [(0, i, float(rng.randint(1, 9))) for i in range(1, 301)] + [(i, 0, 1.0) for i in range(1, 301)]
+    rows += [(rng.randint(1, 300), rng.randint(1, 300), float(rng.randint(1, 3))) for _ in range(300)]
+    best, queue = {}, [(0.0, 0, 5)]
+    while queue:
+        cost, hops, node = heapq.heappop(queue)
+        if node not in best:
+            best[node] = (cost, hops)
+            for a, b, w in rows:
+                if a == node:
+                    heapq.heappush(queue, (cost + w, hops + 1, b))
+    edges = spark.createDataFrame(rows, "src bigint, dst bigint, weight double")
+    found = graph.shortest_paths(edges, spark.createDataFrame([(5,)], "node bigint"))
+    assert {r.node: (r.cost, r.hops) for r in found.collect()} == best and len(best) == 301
+
+
+@pytest.mark.parametrize("weight", [None, float("nan"), -1.0])
+def test_unusable_weights_are_errors(spark, weight):
+    edges = spark.createDataFrame([(1, 2, weight), (1, 3, 5.0), (3, 2, 1.0)], "src bigint, dst bigint, weight double")
+    with pytest.raises(ValueError, match="1"):
+        graph.shortest_paths(edges, spark.createDataFrame([(1,)], "node bigint"))
 
 
 def test_round_guard_raises_rather_than_cutting_short(spark):
     edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(9)], "src bigint, dst bigint, weight double")
     with pytest.raises(RuntimeError):
-        graph.shortest_paths(edges, spark.createDataFrame([(0,)], "node bigint"), max_rounds=4)
+        graph.shortest_paths(edges, spark.createDataFrame([(0,)], "node bigint"), steps_per_round=2, max_rounds=4)
 
 
 def test_walls_as_start_or_goal_raise(spark):

@@ -39,10 +39,41 @@ def test_top_k_never_sorts_everything(spark, name):
 
 
 def test_dedupe_limits_groups_before_the_shuffle(spark):
-    text = plan(bindings.sales(spark, FOLDER))
+    lines = bindings.table(spark, FOLDER, "lineitem")
+    text = plan(cleaning.dedupe(lines, ["l_orderkey"], ["l_linenumber"]))
     assert text.count("WindowGroupLimit") >= 2
 
 
+def fact_shuffles(df):
+    """Shuffles on the way from the scan of the order lines to the result, joins as sort-merge joins."""
+    tree = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(tree) if "FileScan" in line and "l_orderkey" in line)
+    level, count = depth(tree[at]), 0
+    for line in reversed(tree[:at]):
+        if depth(line) < level:
+            level = depth(line)
+            count += "Exchange hashpartitioning" in line
+    return count
+
+
+@pytest.mark.parametrize(
+    ("name", "shuffles"),
+    [
+        # Once by order; the second one of grouped reports moves one row per task and group.
+        ("total_revenue", 1), ("total_net_revenue", 1), ("monthly_trend", 2), ("revenue_by_region", 2), ("revenue_by_channel", 2),
+        ("monthly_growth_rate", 2), ("cohort_retention", 3), ("clean_sales", 2),
+    ],
+)
+def test_order_lines_are_shuffled_once(spark, name, shuffles):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert fact_shuffles(__spark_entry__.queries()[name](spark, FOLDER)) == shuffles
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @pytest.mark.parametrize("name", ["detect_anomalies", "revenue_anomalies", "minmax_normalize", "zscore_normalize", "cohort_retention", "grid_edges", "clean_sales", "page_images"])
 def test_no_cross_joins(spark, name):
     text = plan(__spark_entry__.queries()[name](spark, FOLDER))
@@ -78,5 +109,5 @@ def test_only_html_goes_to_python(spark):
 
 
 def test_registered_queries_have_no_limit_but_top_k(spark):
-    df = cleaning.clean_sales(bindings.raw_sales(spark, FOLDER), order=bindings.SALES_ORDER)
+    df = bindings.cleaned_raw_sales(spark, FOLDER)
     assert "GlobalLimit" not in plan(df)

@@ -115,7 +115,7 @@ def test_net_revenue_summaries(few):
 
 
 def test_properties_over_bound_sales(spark):
-    df = bindings.sales(spark, FOLDER).cache()
+    df = bindings.sales_with_product(spark, FOLDER).cache()
     cohorts = rows(sales.cohort_retention(df))
     assert {c[3] for c in cohorts} == {100.0}
     assert sum(c[2] for c in cohorts) == df.select("customer_id").distinct().count()
