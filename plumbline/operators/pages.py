@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.html_page import read_page
+from plumbline.session import ship_package
 
 IMAGE = "struct<src:string,alt:string>"
 # Result columns of the page reader, with their Spark types.
@@ -44,6 +45,7 @@ _ARROW = {
 
 def page_fields(html: Column | str, fields: Sequence[str], strip_head: bool = True) -> Column:
     """The named fields of each page as one struct column; an empty page gives a null struct."""
+    ship_package(SparkSession.active())
     fields = list(fields)
     arrow_type = pa.struct([(name, _ARROW[name]) for name in fields])
     spark_type = "struct<" + ",".join(f"{name}:{FIELDS[name]}" for name in fields) + ">"

@@ -24,6 +24,7 @@ DEFAULTS = {
 
 # Scratch tables by application, for clear_scratch.
 _scratch: dict[str, list[str]] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "plumbline", master: str | None = None, **conf: object) -> SparkSession:
@@ -39,14 +40,21 @@ def build_session(app_name: str = "plumbline", master: str | None = None, **conf
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors of a cluster whose machines do not have it installed."""
+    """Send this package to the executors, once per application, so that their Python finds it.
+
+    Operators that run Python in tasks call it. Spark serves the archive from the driver
+    and copies it to every executor; no executor reads the driver's folder.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
     package = Path(__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="plumbline-ship-")) / "plumbline.zip"
     with zipfile.ZipFile(archive, "w") as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, Path("plumbline") / file.relative_to(package))
-    # Spark copies the archive to every executor; nothing reads this folder there.
     spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
 
 
 def shared_folder(spark: SparkSession) -> str:
