@@ -9,16 +9,19 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import settled
+from plumbline.session import ship_package
+
 UNKNOWN = "und"
 # Bounds of the model: labelled documents per language, languages, words and n-grams held.
-DOCS_PER_LANGUAGE, LANGUAGES, WORDS, GRAMS = 3000, 200, 40_000, 30_000
+DOCS_PER_LANGUAGE, LANGUAGES, WORDS, GRAMS = 1500, 200, 40_000, 30_000
 LONGEST = 5
 # A text counts as at most so many words when its score is formed, so that scores stay comparable.
 EVIDENCE = 20
@@ -37,25 +40,26 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def _counted(of: Callable[[str], Counter], schema_name: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for lang, texts in batch.groupby("lang")["text"]:
-                counts: Counter = Counter()
-                for text in texts:
-                    counts.update(of(text))
-                yield pd.DataFrame({"lang": lang, schema_name: list(counts), "n": list(counts.values())})
-
-    return run
+def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for lang, texts in batch.groupby("lang")["text"]:
+            counts: Counter = Counter()
+            for text in texts:
+                counts.update(words_of(text))
+            if counts:
+                yield pd.DataFrame({"lang": lang, "name": list(counts), "n": list(counts.values())})
 
 
-def grams_of(text: str) -> Counter:
-    counts: Counter = Counter()
-    for word, n in Counter(words_of(text)).items():
-        for size in range(1, LONGEST + 1):
-            for i in range(len(word) - size + 1):
-                counts[word[i : i + size]] += n
-    return counts
+def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for lang, words in batch.groupby("lang"):
+            counts: Counter = Counter()
+            for word, n in zip(words["name"], words["n"]):
+                for size in range(1, LONGEST + 1):
+                    for i in range(len(word) - size + 1):
+                        counts[word[i : i + size]] += n
+            if counts:
+                yield pd.DataFrame({"lang": lang, "name": list(counts), "n": list(counts.values())})
 
 
 class Model:
@@ -110,15 +114,19 @@ class Model:
         return self.languages[best], float(1 / np.exp(scores - scores[best]).sum())
 
 
-def _table(rows: list, name: str, languages: list[str], sizes: dict[tuple[str, int], float]) -> dict[str, np.ndarray]:
-    """Smoothed log frequencies from rows of (name, lang, n)."""
+def _table(counted: DataFrame, by_length: bool, languages: list[str], limit: int) -> dict[str, np.ndarray]:
+    """Smoothed log frequencies of the ``limit`` most frequent names; totals are by length if asked."""
+    counted = settled(counted.groupBy("lang", "name").agg(F.sum("n").alias("n")), "counts")
+    size = F.length("name") if by_length else F.lit(0)
+    sizes = {(r["lang"], r["size"]): float(r["n"]) for r in counted.groupBy("lang", size.alias("size")).agg(F.sum("n").alias("n")).collect()}
+    both = counted.groupBy("name").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("each"))
     at = {lang: i for i, lang in enumerate(languages)}
-    counts: dict[str, np.ndarray] = {}
-    for row in rows:
-        counts.setdefault(row[name], np.zeros(len(languages)))[at[row["lang"]]] += row["n"]
-    kind = (lambda w: len(w)) if name == "gram" else (lambda w: 0)
-    totals = {k: np.array([sizes.get((lang, k), 0.0) for lang in languages]) for k in {kind(w) for w in counts}}
-    return {w: np.log((c + 0.5) / (totals[kind(w)] + 1000.0)) for w, c in counts.items()}
+    table: dict[str, np.ndarray] = {}
+    for row in both.orderBy(F.desc("all"), "name").limit(limit).select("name", F.inline("each")).collect():
+        table.setdefault(row["name"], np.zeros(len(languages)))[at[row["lang"]]] += row["n"]
+    kind = len if by_length else lambda name: 0
+    totals = {k: np.array([sizes.get((lang, k), 0.0) for lang in languages]) for k in {kind(name) for name in table}}
+    return {name: np.log((c + 0.5) / (totals[kind(name)] + 1000.0)) for name, c in table.items()}
 
 
 def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, languages: int = LANGUAGES, words: int = WORDS, grams: int = GRAMS) -> Model:
@@ -127,6 +135,7 @@ def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, languages
     Of each of the most frequent ``languages`` about ``docs_per_language`` labelled
     documents are read, chosen by a hash of ``doc_id``. Held-out documents are never read.
     """
+    ship_package(docs.sparkSession)
     usable = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     names = sorted(row["lang"] for row in counts)
@@ -135,17 +144,9 @@ def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, languages
         share = F.when(F.col("lang") == row["lang"], F.lit(math.ceil(1e6 * min(1.0, docs_per_language / row["count"])))).otherwise(share)
     sample = usable.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_000)) < share).select("lang", "text")
 
-    def most_frequent(of: Callable[[str], Counter], name: str, limit: int) -> tuple[list, dict[tuple[str, int], float]]:
-        counted = sample.mapInPandas(_counted(of, name), f"lang string, {name} string, n bigint").groupBy("lang", name).agg(F.sum("n").alias("n"))
-        size = F.length(name) if name == "gram" else F.lit(0)
-        sizes = {(r["lang"], r["size"]): float(r["n"]) for r in counted.groupBy("lang", size.alias("size")).agg(F.sum("n").alias("n")).collect()}
-        both = counted.groupBy(name).agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("each"))
-        rows = both.orderBy(F.desc("all"), name).limit(limit).select(name, F.inline("each")).collect()
-        return rows, sizes
-
-    word_rows, word_sizes = most_frequent(lambda text: Counter(words_of(text)), "word", words)
-    gram_rows, gram_sizes = most_frequent(grams_of, "gram", grams)
-    return Model(names, _table(word_rows, "word", names, word_sizes), _table(gram_rows, "gram", names, gram_sizes))
+    shape = "lang string, name string, n bigint"
+    counted = settled(sample.mapInPandas(_count_words, shape).groupBy("lang", "name").agg(F.sum("n").alias("n")), "words")
+    return Model(names, _table(counted, False, names, words), _table(counted.mapInPandas(_count_grams, shape), True, names, grams))
 
 
 def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -155,6 +156,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     no labelled text. ``score`` is the share of the best language, from 0 to 1. Ties go to
     the first language by name. Columns of ``docs`` not in ``keep`` are left out.
     """
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
