@@ -76,7 +76,7 @@ def require_weights(edges: DataFrame) -> None:
 
 
 def shortest_paths(
-    edges: DataFrame, sources: DataFrame, steps_per_round: int = 4, max_rounds: int | None = None
+    edges: DataFrame, sources: DataFrame, steps_per_round: int = 8, max_rounds: int | None = None
 ) -> DataFrame:
     """Lowest cost from the nearest source to every node that can be reached.
 
@@ -95,7 +95,11 @@ def shortest_paths(
     require_weights(edges)
     spark = edges.sparkSession
     part = F.pmod(F.hash("dst"), F.lit(PARTS)).alias("part")
-    kept = edges.select("src", part, "dst", F.col("weight").cast("double").alias("weight")).repartition("src", "part").persist()
+    ways = edges.select("src", part, "dst", F.col("weight").cast("double").alias("weight"), F.lit(1).alias("hop"))
+    # A step to itself keeps a node's offer, so that several steps are one chain of joins.
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("src")).unionByName(sources.select(F.col("node").alias("src")))
+    stays = ends.distinct().select("src", F.lit(0).alias("part"), F.col("src").alias("dst"), F.lit(0.0).alias("weight"), F.lit(0).alias("hop"))
+    kept = ways.unionByName(stays).repartition("src", "part").persist()
     log = scratch_table_path(spark, "paths")
     start = sources.select("node", F.lit(0.0).alias("cost"), F.lit(0).alias("hops")).where("node IS NOT NULL").distinct()
     read = spark.read.schema(start.schema)
@@ -107,7 +111,7 @@ def shortest_paths(
                 raise RuntimeError(f"no fixed point after {rounds} rounds")
             offers = frontier
             for _ in range(steps_per_round):
-                offers = _best(offers.unionByName(_passed_on(offers, kept)))
+                offers = _best(_passed_on(offers, kept))
             # Partitions of the log are rounds; its schema leaves their number out.
             known = read.parquet(*[f"{log}/round={i}" for i in range(rounds + 1)]).select(
                 F.col("node").alias("n"), F.col("cost").alias("c"), F.col("hops").alias("h")
@@ -122,11 +126,11 @@ def shortest_paths(
 
 
 def _passed_on(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """What the frontier's nodes offer to the ends of their edges."""
+    """What the frontier's nodes offer to the ends of their edges and to themselves."""
     parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
     senders = frontier.select(F.col("node").alias("src"), "cost", "hops", parts)
     return senders.join(edges, ["src", "part"]).select(
-        F.col("dst").alias("node"), (F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + 1).alias("hops")
+        F.col("dst").alias("node"), (F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + F.col("hop")).alias("hops")
     )
 
 
