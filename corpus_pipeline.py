@@ -12,6 +12,8 @@ from plumbline.llm.common import read_table, row_ids, settled
 
 # Texts whose best language has less than this share of the evidence are in none of the languages.
 LEAST_SCORE = 0.4
+# Documents are near copies if four fifths of all their five-word shingles are common to both.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 ROW = "corpus_row"
 
 
@@ -41,7 +43,7 @@ def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps one document of each group of linked ones, that with the smallest ``doc_id``."""
     rows = row_ids(docs, F.col("doc_id").alias("id"), F.col("text"))
-    gone = jaccard_join.near_duplicates(rows).where("NOT first").select(F.col("row_id").alias("gone"))
+    gone = jaccard_join.near_duplicates(rows, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT).where("NOT first").select(F.col("row_id").alias("gone"))
     packed = row_ids(docs, F.struct("*").alias(ROW))
     return _columns(docs, packed.join(settled(gone, "gone"), F.col("row_id") == F.col("gone"), "left_anti"))
 

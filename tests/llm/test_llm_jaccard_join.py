@@ -12,11 +12,11 @@ from plumbline.llm.jaccard_join import jaccard_components, tree_links
 FOLDER = "/root/testdata/sf0.01"
 
 
-def sets_of(rows):
+def sets_of(rows, size=4):
     out = []
     for _, text in rows:
         words = (text or "").encode().lower().split()
-        out.append({tuple(words[i : i + 4]) for i in range(len(words) - 3)} if len(words) > 3 else {tuple(words)} if words else set())
+        out.append({tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if len(words) >= size else {tuple(words)} if words else set())
     return out
 
 

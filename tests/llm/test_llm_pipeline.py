@@ -25,12 +25,12 @@ def test_whole_run(spark):
     cleaned = brute_lines(sorted(rows.items()), line_dedup.MIN_WORDS)
     rows = {d: text for d, (text, removed) in cleaned.items() if not removed or text.strip()}
     order = sorted(rows)
-    sets = sets_of([(d, rows[d]) for d in order])
+    sets = sets_of([(d, rows[d]) for d in order], corpus_pipeline.SHINGLE_WORDS)
     group = {d: d for d in order}
     for i, a in enumerate(order):
         for j in range(i):
             b = order[j]
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]) and group[a] != group[b]:
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= corpus_pipeline.SIMILAR_PERCENT * len(sets[i] | sets[j]) and group[a] != group[b]:
                 low, high = sorted((group[a], group[b]))
                 group = {d: low if g == high else g for d, g in group.items()}
     rows = {d: rows[d] for d in order if group[d] == d}
