@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import settled
+from plumbline.session import ship_package
 
 K1, B = 1.2, 0.75
 SEGMENT = 64  # words of an item that form one entry of the index
@@ -228,6 +229,7 @@ def build_indexes(items: DataFrame, items_per_index: int = ITEMS_PER_INDEX) -> l
 
     ``items`` has ``item_id`` and ``text``; items with a null id or without a word are left out.
     """
+    ship_package(items.sparkSession)
     held = settled(items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct(), "items")
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

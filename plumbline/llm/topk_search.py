@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import row_ids, settled
+from plumbline.session import ship_package
 
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 256
@@ -138,7 +139,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, shard_rows: int = S
     vectors of different lengths are never compared. Scores are longs and wrap like them.
     Further columns are left out.
     """
-    spark = vectors.sparkSession
+    ship_package(vectors.sparkSession)
     v = F.col("v")
     rows = row_ids(vectors, F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
     whole = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
