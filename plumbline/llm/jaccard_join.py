@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import row_ids, settled
 from plumbline.llm.components import connected_components
+from plumbline.session import ship_package
 
 WORDS = 4
 PERCENT = 85
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 RANGE_BYTES = 8 << 20  # of text, for each range of hash values
 BLOCK_SETS, BLOCK_TOKENS = 512, 100_000
 TASK_TOKENS = 2_000_000
@@ -221,6 +222,7 @@ def gram_sets(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
 
     ``grams`` is null where too few are shared for any link.
     """
+    ship_package(rows.sparkSession)
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-volume // RANGE_BYTES))
     sent = rows.select("row_id", "text").mapInPandas(_send(ranges, words), "kind int, part int, batch bigint, payload binary")
