@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import settled, small
 from plumbline.llm.language_id import held_out, words_of
+from plumbline.session import ship_package
 
 # Bounds of training: labelled documents of each class, and features held by the model.
 DOCS_PER_CLASS, FEATURES = 6000, 4096
 LEAST_DOCS = 5
 PREFIXES = (4, 5, 6, 7)
+LEVELS = (1, 2, 3, 5)
 # Swaps within these groups; each word becomes the next one of its group. Fixed values.
 IDENTITY_GROUPS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"),
@@ -33,16 +35,21 @@ IDENTITY_GROUPS = (
     ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"),
 )
 SWAPS = {word: group[(i + 1) % len(group)] for group in IDENTITY_GROUPS for i, word in enumerate(group)}
-STEPS, RIDGE, FAIRNESS = 24, 1.0, 4.0
+STEPS, RIDGE, FAIRNESS = 30, 0.3, 4.0
 PARTS = 8
 
 
-def _features(word: str) -> list[str]:
+def _parts(word: str) -> list[str]:
     return [word, *[f"{word[:n]}*" for n in PREFIXES if len(word) > n]]
 
 
-def _present(words: set[str]) -> set[str]:
-    return {f for word in words for f in _features(word)}
+def _present(words: Mapping[str, int]) -> set[str]:
+    """Features of a text from its words' counts: each word and word beginning, by how often it occurs at least."""
+    totals: Counter = Counter()
+    for word, n in words.items():
+        for part in _parts(word):
+            totals[part] += n
+    return {f"{part}#{level}" for part, n in totals.items() for level in LEVELS if n >= level}
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, docs_per_class: int = DOCS_PER_CLASS) -> DataFrame:
@@ -63,19 +70,26 @@ class Model:
 
     def __init__(self, features: dict[str, int], weights: np.ndarray, bias: float):
         self.features, self.weights, self.bias = features, weights, bias
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def indices(self, words: set[str]) -> set[int]:
+        # For each part of a word that the model uses, its (level, place) pairs.
+        self.parts: dict[str, list[tuple[int, int]]] = {}
+        for feature, place in features.items():
+            part, level = feature.rsplit("#", 1)
+            self.parts.setdefault(part, []).append((int(level), place))
+        self.seen: dict[str, tuple[str, ...]] = {}
+
+    def indices(self, words: Mapping[str, int]) -> list[int]:
         if len(self.seen) + len(words) > 300_000:
             self.seen = {}
-        seen, at = self.seen, self.features
-        for word in words:
+        seen, totals = self.seen, {}
+        for word, n in words.items():
             if word not in seen:
-                seen[word] = tuple(at[f] for f in _features(word) if f in at)
-        return {i for word in words for i in seen[word]}
+                seen[word] = tuple(part for part in _parts(word) if part in self.parts)
+            for part in seen[word]:
+                totals[part] = totals.get(part, 0) + n
+        return sorted(place for part, n in totals.items() for level, place in self.parts[part] if n >= level)
 
     def score(self, text: str | None) -> float:
-        found = sorted(self.indices(set(words_of(text or ""))))
+        found = self.indices(Counter(words_of(text or "")))
         margin = self.bias + float(self.weights[found].sum()) if found else self.bias
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, margin))))
 
@@ -88,8 +102,9 @@ def _choose(sample: DataFrame, limit: int) -> dict[str, int]:
             for toxic, texts in batch.groupby("toxic")["text"]:
                 counts: Counter = Counter()
                 for text in texts:
-                    counts.update(_present(set(words_of(text))))
-                yield pd.DataFrame({"feature": list(counts), "toxic": int(toxic), "n": list(counts.values())})
+                    counts.update(_present(Counter(words_of(text))))
+                if counts:
+                    yield pd.DataFrame({"feature": list(counts), "toxic": int(toxic), "n": list(counts.values())})
 
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     bad, good = float(sizes.get(1, 0)), float(sizes.get(0, 0))
@@ -112,6 +127,7 @@ def learn(docs: DataFrame, labels: DataFrame, swaps: Mapping[str, str] = SWAPS,
     a document labelled both ways counts as toxic. Without labels of both classes the model
     scores every text by the share of its only class, or 0 without any.
     """
+    ship_package(docs.sparkSession)
     sample = labelled_sample(docs, labels, docs_per_class)
     at = _choose(sample, features)
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
@@ -126,9 +142,11 @@ def learn(docs: DataFrame, labels: DataFrame, swaps: Mapping[str, str] = SWAPS,
         for batch in batches:
             out = []
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                words = set(words_of(text))
-                twin = {swaps.get(w, w) for w in words}
-                out.append((int(toxic), sorted(empty.indices(words)), sorted(empty.indices(twin)) if twin != words else None))
+                words = Counter(words_of(text))
+                twin: Counter = Counter()
+                for word, n in words.items():
+                    twin[swaps.get(word, word)] += n
+                out.append((int(toxic), empty.indices(words), empty.indices(twin) if twin != words else None))
             yield pd.DataFrame(out, columns=["toxic", "own", "twin"])
 
     shape = "toxic int, own array<int>, twin array<int>"
@@ -170,6 +188,7 @@ def learn(docs: DataFrame, labels: DataFrame, swaps: Mapping[str, str] = SWAPS,
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep``, ``score`` (0 to 1) and ``predicted`` of every whole text; null counts as empty."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
