@@ -17,9 +17,9 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 ROW = "corpus_row"
 
 
-def _with_row(docs: DataFrame) -> DataFrame:
-    """The columns operators read, beside the whole row as one column."""
-    return docs.select("doc_id", "text", "lang", "source", F.struct("*").alias(ROW))
+def _with_row(docs: DataFrame, without: str | None = None) -> DataFrame:
+    """The columns operators read, beside the whole row as one column, or the row ``without`` one of its columns."""
+    return docs.select("doc_id", "text", "lang", "source", F.struct(*[c for c in docs.columns if c != without]).alias(ROW))
 
 
 def _columns(docs: DataFrame, frame: DataFrame, text: str | None = None) -> DataFrame:
@@ -35,16 +35,16 @@ def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Removes later copies of runs of lines; texts of which nothing but white space is left go."""
-    found = line_dedup.dedup_lines(_with_row(docs), keep=(ROW,))
+    found = line_dedup.dedup_lines(_with_row(docs, without="text"), keep=(ROW,))
     emptied = (F.col("n_removed") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     return _columns(docs, found.where(~F.coalesce(emptied, F.lit(False))), text="text")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps one document of each group of linked ones, that with the smallest ``doc_id``."""
-    rows = row_ids(docs, F.col("doc_id").alias("id"), F.col("text"))
-    gone = jaccard_join.near_duplicates(rows, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT).where("NOT first").select(F.col("row_id").alias("gone"))
     packed = row_ids(docs, F.struct("*").alias(ROW))
+    rows = packed.select("row_id", F.col(ROW)["doc_id"].alias("id"), F.col(ROW)["text"].alias("text"))
+    gone = jaccard_join.near_duplicates(rows, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT).where("NOT first").select(F.col("row_id").alias("gone"))
     return _columns(docs, packed.join(settled(gone, "gone"), F.col("row_id") == F.col("gone"), "left_anti"))
 
 

@@ -28,16 +28,20 @@ def small(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
 
 
-def row_ids(docs: DataFrame, *columns: Column) -> DataFrame:
+def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
     """``columns`` of every row beside ``row_id``, which tells rows with equal ``doc_id`` apart.
 
-    The ids follow the order of rows in the partitions of ``docs``. They are the same
-    each time it is evaluated if it is a scan of files, as in all registered queries;
-    pass other inputs through :func:`settled` first.
+    The ids follow the cut of ``docs`` into partitions, which may differ each time it is
+    evaluated: even a scan of files is cut by the cores there are. Read it in one job only.
     """
     return docs.select(F.monotonically_increasing_id().alias("row_id"), *columns)
 
 
+def row_ids(docs: DataFrame, *columns: Column) -> DataFrame:
+    """:func:`numbered` rows, settled: the ids are the same however often they are read."""
+    return settled(numbered(docs, *columns), "rows")
+
+
 def running_total(values: Column) -> Column:
     """Inclusive running sums of an array of longs, in blocks so that long arrays stay cheap."""
     block = 256

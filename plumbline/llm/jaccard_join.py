@@ -18,6 +18,7 @@
 from __future__ import annotations
 
 import io
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import row_ids, settled
+from plumbline.llm.common import numbered, settled
 from plumbline.llm.components import connected_components
 from plumbline.session import ship_package
 
@@ -131,27 +132,29 @@ def _unpack(blob: bytes, count: int) -> list[np.ndarray]:
 HEADER, ONCE, OFTEN, BACK = 0, 1, 2, 3
 
 
-def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, list[str | None]]]:
+def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, list[str | None], list[str | None]]]:
     rows: list[int] = []
+    ids: list[str | None] = []
     texts: list[str | None] = []
     size = 0
     for frame in frames:
-        for row, text in zip(frame["row_id"], frame["text"]):
+        for row, name, text in zip(frame["row_id"], frame["id"], frame["text"]):
             rows.append(row)
+            ids.append(name)
             texts.append(text)
             size += len(text) if text else 1
             if size >= BATCH_BYTES or len(rows) >= 60_000:
-                yield np.array(rows, dtype=np.int64), texts
-                rows, texts, size = [], [], 0
+                yield np.array(rows, dtype=np.int64), ids, texts
+                rows, ids, texts, size = [], [], [], 0
     if rows:
-        yield np.array(rows, dtype=np.int64), texts
+        yield np.array(rows, dtype=np.int64), ids, texts
 
 
 def _send(ranges: int, words: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, part = Hasher(), TaskContext.get().partitionId()
         cuts = np.array([(2**64 * i) // ranges for i in range(1, ranges)], dtype=np.uint64)
-        for number, (rows, texts) in enumerate(_batches(frames)):
+        for number, (rows, ids, texts) in enumerate(_batches(frames)):
             batch = (part << 32) | number
             grams, owner = gram_hashes(texts, hasher, words)
             order = np.argsort(grams, kind="stable")
@@ -163,7 +166,7 @@ def _send(ranges: int, words: int):
             new = np.ones(len(grams), dtype=bool)
             new[1:] = grams[1:] != grams[:-1]
             alone = new & np.append(new[1:], True)
-            out = [(HEADER, batch % ranges, batch, _pack(rows=rows, sizes=sizes))]
+            out = [(HEADER, batch % ranges, batch, _pack(rows=rows, sizes=sizes, ids=np.frombuffer(json.dumps(ids).encode(), np.uint8)))]
             if not alone.all():
                 out.append((OFTEN, batch % ranges, batch, _pack(grams=grams[~alone], owner=owner[~alone])))
             first = grams[new]
@@ -200,7 +203,7 @@ def _meet(group: pd.DataFrame) -> pd.DataFrame:
 
 def _collect(percent: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows, sizes = _unpack(group.loc[group["kind"] == HEADER, "payload"].iloc[0], 2)
+        rows, sizes, ids = _unpack(group.loc[group["kind"] == HEADER, "payload"].iloc[0], 3)
         found = [_unpack(p, 2) for p in group.loc[group["kind"] != HEADER, "payload"]]
         grams = np.concatenate([g for g, _ in found] or [np.zeros(0, np.uint64)])
         owner = np.concatenate([o for _, o in found] or [np.zeros(0, np.uint16)]).astype(np.int64)
@@ -212,22 +215,24 @@ def _collect(percent: int):
         grams, owner = grams[order].view(np.int64), owner[order]
         ends = np.cumsum(np.bincount(owner, minlength=len(rows)))
         sets = [grams[e - s : e] if ok else None for e, s, ok in zip(ends, np.diff(ends, prepend=0), enough)]
-        return pd.DataFrame({"row_id": rows, "size": sizes, "grams": sets})
+        return pd.DataFrame({"row_id": rows, "id": json.loads(ids.tobytes()), "size": sizes, "grams": sets})
 
     return run
 
 
 def gram_sets(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(row_id, size, grams) of ``rows`` (row_id, text): set size, and the n-grams that others share.
+    """(row_id, id, size, grams) of ``rows`` (row_id, id, text): set size, and the n-grams that others share.
 
-    ``grams`` is null where too few are shared for any link.
+    ``grams`` is null where too few are shared for any link. The ids travel with the sets,
+    as text, so that each row_id is read from ``rows`` in one scan only.
     """
     ship_package(rows.sparkSession)
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-volume // RANGE_BYTES))
-    sent = rows.select("row_id", "text").mapInPandas(_send(ranges, words), "kind int, part int, batch bigint, payload binary")
+    sent = rows.select("row_id", F.col("id").cast("string").alias("id"), "text").mapInPandas(_send(ranges, words), "kind int, part int, batch bigint, payload binary")
     met = sent.groupBy("part").applyInPandas(_meet, "kind int, batch bigint, payload binary")
-    return met.groupBy("batch").applyInPandas(_collect(percent), "row_id bigint, size bigint, grams array<bigint>")
+    sets = met.groupBy("batch").applyInPandas(_collect(percent), "row_id bigint, id string, size bigint, grams array<bigint>")
+    return sets.withColumn("id", F.col("id").cast(rows.schema["id"].dataType))
 
 
 def tree_links(left: list[np.ndarray], left_sizes: np.ndarray, right: list[np.ndarray], right_sizes: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
@@ -404,7 +409,6 @@ def near_duplicates(rows: DataFrame, words: int = WORDS, percent: int = PERCENT)
     row_id. Rows without a word have size 0 and stand alone.
     """
     sets = settled(gram_sets(rows, words, percent), "sets")
-    sets = sets.join(rows.select("row_id", "id"), "row_id")
     candidates = sets.where("grams is not null")
     # Equal sets, all of whose n-grams are shared, are one class.
     whole = F.size("grams") == F.col("size")
@@ -430,9 +434,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     100 times the intersection is at least ``percent`` times the union. Null and empty texts
     have no set and link with nothing. A null ``doc_id`` never names a component that has
     another id; rows that repeat a ``doc_id`` are rows of their own. N-grams are compared by
-    64-bit hashes. ``docs`` must give the same rows in the same order whenever it is read, as
-    scans of files do.
+    64-bit hashes.
     """
-    rows = row_ids(docs, F.col("doc_id").alias("id"), F.col("text"))
+    rows = numbered(docs, F.col("doc_id").alias("id"), F.col("text"))
     found = near_duplicates(rows, words, percent)
     return found.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), "component_id")

@@ -141,7 +141,8 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, shard_rows: int = S
     """
     ship_package(vectors.sparkSession)
     v = F.col("v")
-    rows = row_ids(vectors, F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    rows = row_ids(vectors, F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").alias("v"))
+    rows = rows.withColumn("v", v.cast("array<double>"))
     whole = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(v.isNotNull() & (F.size(v) > 0) & whole)
     total = rows.count()
