@@ -5,7 +5,8 @@ a secret key, so that every mention of an entity, in any text and any notation,
 same one. Digits become digits, letters become letters of the same script, case and kind
 (vowel or consonant); given names become other names of the same gender; card numbers keep
 a right or wrong check digit; addresses keep their shape. Surrogates that two entities
-share, or that occur as an entity themselves, are drawn again until none is left.
+share, or that occur as an entity themselves, are drawn again until none is left; forms
+with too few surrogates of their own shape get longer ones.
 """
 
 from __future__ import annotations
@@ -43,7 +44,14 @@ ALPHABETS = (
     "àáâãäåæèéêëìíîïòóôõöøùúûü", "çñß", "ÀÁÂÃÄÅÆÈÉÊËÌÍÎÏÒÓÔÕÖØÙÚÛÜ", "ÇÑ",
     "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "АЕИОУЭЮЯ", "БВГДЖЗКЛМНПРСТФХЦЧШЩ",
     "αεηιουω", "βγδζθκλμνξπρστφχψ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ",
+    "āăąēĕėęěĩīĭįōŏőũūŭůűųýÿ", "ćĉċčďđĝğġģĥħĵķĺļľłńņňŕŗřśŝşšţťŵźżž", "ĀĂĄĒĔĖĘĚĨĪĬĮŌŎŐŨŪŬŮŰŲÝŸ", "ĆĈĊČĎĐĜĞĠĢĤĦĴĶĹĻĽŁŃŅŇŔŖŘŚŜŞŠŢŤŴŹŻŽ",
+    "ёєії", "ёєії".upper(), "άέήίόύώ", "ΆΈΉΊΌΎΏ",
 )
+# Other letters become one of these, by case.
+FALLBACK = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# From this attempt on a surrogate gets one more keyed sign per attempt, of 16 by script. Fixed values.
+WIDEN = 3
+EXTRA = {"digit": "0123456789012345", "latin": "aeioubcdlmnprstv", "cyrillic": "аеиоубвдклмнпрст", "greek": "αεηιοβγδκλμνπρστ"}
 
 
 def _kind(mention: Column) -> Column:
@@ -86,12 +94,22 @@ def _letters(text: Column, digest: Column, first: int | Column = 0) -> Column:
         out = F.when(c.rlike(r"\A[0-9]\z"), _draw(digest, i, 10).cast("string"))
         for row in ALPHABETS:
             out = out.when(F.lit(row).contains(c), F.substring(F.lit(row), _draw(digest, i, len(row)) + 1, F.lit(1)))
+        for kind, row in zip((r"\A\p{Lu}\z", r"\A\p{L}\z"), FALLBACK):
+            out = out.when(c.rlike(kind), F.substring(F.lit(row), _draw(digest, i, len(row)) + 1, F.lit(1)))
         return out.otherwise(c)
 
     chars = F.filter(F.split(text, ""), lambda c: c != "")
     return F.array_join(F.transform(chars, one), "")
 
 
+def _extra(kind: Column, norm: Column, digest: Column, attempt: Column) -> Column:
+    """What makes a surrogate longer, so that there are more of them: nothing before attempt ``WIDEN``."""
+    hexed = F.substring(F.sha2(F.concat(digest, F.lit("+")), 256), F.lit(1), F.greatest(attempt - (WIDEN - 1), F.lit(0)))
+    signs = {script: F.translate(hexed, "0123456789abcdef", row) for script, row in EXTRA.items()}
+    named = F.when(norm.rlike(r"\p{IsCyrillic}"), signs["cyrillic"]).when(norm.rlike(r"\p{IsGreek}"), signs["greek"]).otherwise(signs["latin"])
+    return F.when(kind == "person", named).when(kind == "email", signs["latin"]).otherwise(signs["digit"])
+
+
 def _luhn_sum(digits: Column) -> Column:
     """Check sum of digits that lack the check digit in last place."""
     chars = F.reverse(F.filter(F.split(digits, ""), lambda c: c != ""))
@@ -117,7 +135,8 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     top = F.substring_index(domain, ".", -1)
     hosts = F.regexp_replace(domain, r"\.[^.]+\z", "")
-    email = F.concat(_letters(local, digest), F.lit("@"), _letters(hosts, digest, 100), F.lit("."), top)
+    extra = _extra(kind, norm, digest, attempt)
+    email = F.concat(_letters(local, digest), extra, F.lit("@"), _letters(hosts, digest, 100), F.lit("."), top)
     octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_draw(digest, i.cast("bigint") * 7, 254) + 1).cast("string"))
     body = F.substring(norm, 1, 15)
     drawn = F.concat(F.substring(norm, 1, 1), F.substring(_letters(body, digest), 2, 14))
@@ -134,12 +153,12 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     return (
         F.when(kind == "email", email).when(kind == "ip", F.array_join(octets, "."))
         .when(kind == "card", F.concat(drawn, check.cast("string"))).when(kind == "iban", country)
-        .when(kind == "person", person).otherwise(other)
+        .when(kind == "person", F.concat(person, extra)).otherwise(F.concat(other, extra))
     )
 
 
 def in_notation(kind: Column, mention: Column, stand_in: Column) -> Column:
-    """``stand_in`` written as ``mention`` is: separators, titles and capitals in their places."""
+    """``stand_in`` written as ``mention`` is: separators, titles and capitals in their places, longer ones whole."""
     chars = F.filter(F.split(mention, ""), lambda c: c != "")
     new = F.filter(F.split(stand_in, ""), lambda c: c != "")
     signs = F.transform(chars, lambda c: F.when(c.rlike(r"\A[0-9A-Za-z]\z"), F.lit(1)).otherwise(F.lit(0)))
@@ -152,6 +171,10 @@ def in_notation(kind: Column, mention: Column, stand_in: Column) -> Column:
         return F.struct(F.concat(acc["out"], F.when(x["s"] == 1, shown).otherwise(x["c"])).alias("out"), at.alias("at"))
 
     spread = F.aggregate(F.zip_with(chars, signs, lambda c, s: F.struct(c.alias("c"), s.alias("s"))), start, step, lambda acc: acc["out"])
+    spread = F.concat(spread, F.substring(stand_in, F.aggregate(signs, F.lit(1), lambda n, s: n + s), F.length(stand_in)))
+    # A longer address has its additional letters before the @, as many as it is longer.
+    local, host = F.substring_index(mention, "@", 1), F.substring_index(mention, "@", -1)
+    chars = F.when(kind == "email", F.filter(F.split(F.concat(local, F.repeat(F.lit("."), F.greatest(F.length(stand_in) - F.length(mention), F.lit(0))), F.lit("@"), host), ""), lambda c: c != "")).otherwise(chars)
     cased = F.array_join(F.zip_with(chars, new, lambda c, n: F.when(c.rlike(r"\A\p{Lu}\z"), F.upper(n)).otherwise(n)), "")
     return F.when(kind == "person", F.concat(_title(mention), stand_in)).when(kind == "email", cased).when(kind == "ip", stand_in).otherwise(spread)
 

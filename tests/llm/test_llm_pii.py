@@ -80,3 +80,17 @@ def test_key_changes_surrogates_and_nothing_else_does(spark):
     texts = lambda key: [r["text"] for r in pii.replace_pii(docs, key=key).orderBy("doc_id").collect()]
     assert texts("a") == texts("a") != texts("b") and texts("a")[1:] == [None, ""]
     assert pii.replace_pii(docs).where(F.col("n_entities") > 0).count() == 1
+
+
+def test_forms_with_few_surrogates_of_their_own(spark):
+    names = ["Žo", "Ło", "Ёж", "Աննա", "Ｂｏ", "Al", "El", "Ol", "Il", "Ul"]
+    norms = [("person", n) for n in names] + [("email", "--@--.com"), ("phone", "77")] + [("phone", f"7{i}") for i in range(7)]
+    entities = spark.createDataFrame(sorted(set(norms)), "kind string, norm string")
+    got = {(r["kind"], r["norm"]): r["stand_in"] for r in pii._distinct_surrogates(entities, "k").collect()}
+    assert set(got) == set(norms) and len({(k, v) for (k, _), v in got.items()}) == len(got)
+    assert not {(k, v) for (k, _), v in got.items()} & set(got)
+    texts = [f"Mr {n} came" for n in names] + ["write to --@--.com or --@--.COM"]
+    new = replaced(spark, texts)
+    assert len(set(new[:-1])) == len(names) and not set(new) & set(texts)
+    first, second = re.fullmatch(r"write to (\S+) or (\S+)", new[-1]).groups()
+    assert first.lower() == second.lower() and re.fullmatch(pii.KINDS["email"], first)
