@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat_format, decontaminate, jaccard_join, language_id, line_dedup, pii, secret_scan, source_mixing, topk_search, toxicity
+from plumbline.llm import chat_format, decontaminate, jaccard_join, language_id, line_dedup, merkle_manifest, pii, secret_scan, source_mixing, topk_search, toxicity
 from plumbline.llm.common import read_table
 
 
@@ -56,9 +56,14 @@ def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.nearest(read_table(spark, folder, "embeddings"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.verified_manifest(read_table(spark, folder, "documents"))
+
+
 QUERIES = (
     op1_line_dedup, op2_language_id, op3_toxicity, op4_secret_scan, op5_decontaminate,
     op6_source_mixing, op7_jaccard_join, op8_chat_format, op9_pii, op10_topk_search,
+    op11_merkle_manifest,
 )
 
 
@@ -72,4 +77,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_source_mixing": source_mixing.oracle(),
         "op8_chat_format": chat_format.ORACLE,
         "op10_topk_search": topk_search.ORACLE,
+        "op11_merkle_manifest": merkle_manifest.oracle(),
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.session import scratch_table_path
@@ -42,6 +42,26 @@ def row_ids(docs: DataFrame, *columns: Column) -> DataFrame:
     return settled(numbered(docs, *columns), "rows")
 
 
+def ranked(rows: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
+    """``rows`` with ``rank``, from 0 within each group by ``order``, and ``size``, the rows of the group; settled.
+
+    ``groups`` hold no nulls; nulls in ``order`` come first, equal rows in any order. The
+    rows are range partitioned by both, so that a group of any size spreads over tasks. A
+    rank is the place within its partition, plus what earlier partitions hold of the group.
+    """
+    keys = [*groups, *order]
+    cut = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*keys, "tie").sortWithinPartitions(*keys, "tie")
+    cut = settled(cut.drop("tie").withColumn("place", F.monotonically_increasing_id()), "places")
+    part = F.shiftright("place", 33)
+    pieces = cut.groupBy(*groups, part.alias("part")).agg(F.min("place").alias("start"), F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(*groups, "part", (F.col("start") - F.coalesce(F.sum("n").over(before), F.lit(0))).alias("origin"), F.sum("n").over(whole).alias("size"))
+    pieces = small(settled(pieces, "pieces"))
+    found = cut.withColumn("part", part).join(pieces, [*groups, "part"])
+    return found.select(*rows.columns, (F.col("place") - F.col("origin")).alias("rank"), "size")
+
+
 def running_total(values: Column) -> Column:
     """Inclusive running sums of an array of longs, in blocks so that long arrays stay cheap."""
     block = 256
@@ -62,3 +82,11 @@ def running_total(values: Column) -> Column:
 
 def as_longs(values: Column) -> Column:
     return values.cast("array<bigint>")
+
+
+def crc32_sql(number: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of an integer's decimal text."""
+    text = f"({number})::VARCHAR"
+    shifted = "list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[], lambda crc, i: xor(crc >> 1, 3988292384 * (crc & 1)), xor(state, byte))"
+    codes = f"list_transform(range(1, strlen({text}) + 1), lambda i: ascii(substr({text}, i::INT, 1))::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda state, byte: {shifted}, 4294967295::BIGINT), 4294967295)"
