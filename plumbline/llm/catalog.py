@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat_format, decontaminate, jaccard_join, language_id, line_dedup, merkle_manifest, pii, secret_scan, source_mixing, topk_search, toxicity
+from plumbline.llm import chat_format, decontaminate, jaccard_join, language_id, line_dedup, merkle_manifest, pii, prefix_trie, secret_scan, source_mixing, topk_search, toxicity
 from plumbline.llm.common import read_table
 
 
@@ -60,10 +60,14 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest.verified_manifest(read_table(spark, folder, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.positions(read_table(spark, folder, "conversations"))))
+
+
 QUERIES = (
     op1_line_dedup, op2_language_id, op3_toxicity, op4_secret_scan, op5_decontaminate,
     op6_source_mixing, op7_jaccard_join, op8_chat_format, op9_pii, op10_topk_search,
-    op11_merkle_manifest,
+    op11_merkle_manifest, op12_prefix_trie,
 )
 
 
@@ -78,4 +82,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_chat_format": chat_format.ORACLE,
         "op10_topk_search": topk_search.ORACLE,
         "op11_merkle_manifest": merkle_manifest.oracle(),
+        "op12_prefix_trie": prefix_trie.ORACLE,
     }
