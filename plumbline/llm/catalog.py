@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat_format, decontaminate, jaccard_join, language_id, line_dedup, merkle_manifest, pii, prefix_trie, secret_scan, source_mixing, topk_search, toxicity
+from plumbline.llm import chat_format, decontaminate, jaccard_join, language_id, line_dedup, merkle_manifest, pii, pq_dedup, prefix_trie, secret_scan, source_mixing, topk_search, toxicity
 from plumbline.llm.common import read_table
 
 
@@ -64,10 +64,14 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.positions(read_table(spark, folder, "conversations"))))
 
 
+def op13_pq_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return pq_dedup.near_duplicates(read_table(spark, folder, "embeddings"))
+
+
 QUERIES = (
     op1_line_dedup, op2_language_id, op3_toxicity, op4_secret_scan, op5_decontaminate,
     op6_source_mixing, op7_jaccard_join, op8_chat_format, op9_pii, op10_topk_search,
-    op11_merkle_manifest, op12_prefix_trie,
+    op11_merkle_manifest, op12_prefix_trie, op13_pq_dedup,
 )
 
 
@@ -83,4 +87,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_topk_search": topk_search.ORACLE,
         "op11_merkle_manifest": merkle_manifest.oracle(),
         "op12_prefix_trie": prefix_trie.ORACLE,
+        "op13_pq_dedup": pq_dedup.ORACLE,
     }
