@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -94,6 +97,36 @@ def remove_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Collects the scratch tables made within, for :func:`drop_scratch` once what reads them is written."""
+    made: list[str] = []
+    known = set(_scratch.get(spark.sparkContext.applicationId, ()))
+    try:
+        yield made
+    finally:
+        made += [path for path in _scratch.get(spark.sparkContext.applicationId, ()) if path not in known]
+
+
+def drop_scratch(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete these scratch tables; no frame that reads one may be run again."""
+    registered = _scratch.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_path(spark, path)
+        if path in registered:
+            registered.remove(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nobody holds any more.
+
+    It does so when the driver collects garbage, which a large heap may put off until the
+    executors' disks are full. Call it after a table is settled that took a large shuffle.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete all scratch tables of this application; call it once results are written. Returns their number."""
     paths = _scratch.pop(spark.sparkContext.applicationId, [])

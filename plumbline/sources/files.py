@@ -6,12 +6,16 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from plumbline.operators.cleaning import dedupe
 
+# A row number holds the place in the file below the file's number.
+ROW_BITS = 40
+MOST_BROADCAST_FILES = 100_000
+
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """(path, size) of the files of a folder whose names fit; their content is not read."""
@@ -56,6 +60,41 @@ def read_parquet_without(
     return spark.read.option("mergeSchema", merge_schema).parquet(*paths), listing.where(named)
 
 
+def file_order() -> list[Column]:
+    """Where a row of a Parquet table lies: its file and its place in it, the order in which one reader sees the rows.
+
+    Only columns of the table as it was read have it, before any join or aggregation.
+    """
+    return [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+
+
+def has_file_order(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` still know their place in a Parquet file."""
+    try:
+        df.select(*file_order())
+        return True
+    except AnalysisException as error:
+        if (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            return False
+        raise
+
+
+def with_row_number(df: DataFrame, name: str) -> DataFrame:
+    """A Parquet table as read, with a number for each row that is the same in every scan.
+
+    It is made of the file's number by path and the row's place in the file, so neither the
+    cut of a scan into tasks nor lost executors change it, and nothing has to be written.
+    """
+    path, place = file_order()
+    paths = df.select(path.alias("path")).distinct()
+    numbers = paths.select(F.col("path").alias(f"{name}_path"), F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("path")).cast("bigint").alias(f"{name}_file"))
+    # One short row per file; a table of very many files is left to Spark to join.
+    numbers = F.broadcast(numbers) if paths.count() <= MOST_BROADCAST_FILES else numbers
+    found = df.select("*", path.alias(f"{name}_at"), place.alias(f"{name}_place")).join(numbers, F.col(f"{name}_at") == F.col(f"{name}_path"))
+    number = F.shiftleft(f"{name}_file", ROW_BITS).bitwiseOR(F.col(f"{name}_place"))
+    return found.withColumn(name, number).drop(*[f"{name}_{c}" for c in ("at", "place", "path", "file")])
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV files with a header line; without a schema all columns are text, for the cleaner to type."""
     reader = spark.read.option("header", True)
