@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import round_up_half, to_double
+from plumbline.session import ship_package
 
 OUTPUT_DIGITS = 6
 # Determinants up to this share of the product of variances count as zero; more where
@@ -64,6 +67,69 @@ def ols(df: DataFrame, y: str, x: Sequence[str]) -> DataFrame:
     return fit.select(intercept.alias("intercept"), *names, r_squared.alias("r_squared"), "n")
 
 
+def _solve(means: np.ndarray, moments: np.ndarray, with_y: np.ndarray, y_mean: float, y_var: float) -> tuple[float, np.ndarray, float, int]:
+    """Intercept, coefficients, r squared and rank from centred moments: of all least-squares solutions the shortest."""
+    deviation = np.sqrt(np.diag(moments))
+    far = 1 + (np.abs(means) / np.where(deviation > 0, deviation, np.inf)).sum()
+    moving = np.flatnonzero(deviation > 0)
+    scale = deviation[moving]
+    values, vectors = np.linalg.eigh(moments[np.ix_(moving, moving)] / np.outer(scale, scale))
+    full = values > len(means) * max(COLLINEAR, ROUNDING * far)
+    coefs = np.zeros(len(means))
+    along = vectors[:, full]
+    coefs[moving] = along @ ((along.T @ (with_y[moving] / scale)) / values[full]) / scale
+    # Directions that change no fitted value: sums of regressors that are constant, the intercept making up for it.
+    free = np.zeros((len(means), len(means) - int(full.sum())))
+    free[moving, : (~full).sum()] = vectors[:, ~full] / scale[:, None]
+    free[np.flatnonzero(deviation == 0), (~full).sum() + np.arange((deviation == 0).sum())] = 1.0
+    intercept = y_mean - means @ coefs
+    if free.shape[1]:
+        moves = np.vstack([free, -(means @ free)])
+        shift = np.linalg.lstsq(moves, -np.append(coefs, intercept), rcond=None)[0]
+        coefs, intercept = coefs + free @ shift, intercept - means @ free @ shift
+    explained = float(coefs @ with_y)
+    return intercept, coefs, min(1.0, max(0.0, explained / y_var)) if y_var > 0 else 0.0, int(full.sum())
+
+
+def least_squares(df: DataFrame, y: str, x: Sequence[str]) -> DataFrame:
+    """Least squares of ``y`` on any number of regressors with intercept, as one row.
+
+    Columns: intercept, ``coef_<x>`` each, r_squared, rank, n. Rows with a null or NaN do
+    not count. All means, variances and covariances, n(n+1)/2 of them, come from one
+    aggregation; only that row is solved outside the JVM. Where regressors are constant or
+    depend on each other (``rank`` below their number), of all best solutions the one with
+    the least sum of squares of intercept and coefficients is given. Without rows
+    everything but r_squared, rank and n is null; r_squared is zero when ``y`` is constant.
+    """
+    if not x:
+        raise ValueError("no regressors")
+    ship_package(df.sparkSession)
+    names = [f"v{i}" for i in range(len(x))]
+    rows = df.select(to_double(y).alias("y"), *[to_double(c).alias(n) for n, c in zip(names, x)]).dropna()
+    pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
+    fit = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.avg("y").alias("y_mean"), F.var_pop("y").alias("y_var"), F.array(*[F.avg(n) for n in names]).alias("means"),
+        F.array(*[F.covar_pop(names[i], names[j]) for i, j in pairs]).alias("moments"), F.array(*[F.covar_pop(n, "y") for n in names]).alias("with_y"),
+    )
+
+    def solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                if not row.n:
+                    out.append((None, [None] * len(x), 0.0, 0, 0))
+                    continue
+                moments = np.zeros((len(x), len(x)))
+                for (i, j), value in zip(pairs, row.moments):
+                    moments[i, j] = moments[j, i] = value
+                intercept, coefs, share, rank = _solve(np.array(row.means), moments, np.array(row.with_y), row.y_mean, row.y_var)
+                out.append((intercept, coefs.tolist(), share, rank, row.n))
+            yield pd.DataFrame(out, columns=["intercept", "coefs", "r_squared", "rank", "n"])
+
+    found = fit.mapInPandas(solved, "intercept double, coefs array<double>, r_squared double, rank int, n bigint")
+    return found.select("intercept", *[F.col("coefs")[i].alias(f"coef_{c}") for i, c in enumerate(x)], "r_squared", "rank", "n")
+
+
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     """Count, minimum, maximum, mean and population deviation; an empty column is an error."""
     value = to_double(column)

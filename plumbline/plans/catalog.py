@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from plumbline.functions import texts
 from plumbline.functions.distance import grid_distance
 from plumbline.operators import cleaning, graph, pages, sales, stats, trips
+from plumbline.operators.sampling import bottom_k
 from plumbline.plans import reports
 from plumbline.session import scratch_table_path
 from plumbline.sources import bindings, files
 from plumbline.streaming.append import append_new_pages
 
 DIGITS = 6
+MANY_REGRESSORS = ["trip_distance", "trip_duration_mins", "hour_of_day", "cost_per_mile"]
+SAMPLED_TRIPS = 2_000
 CATALOG_SITE = "http://catalog.example.com"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -242,6 +245,19 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
+def _collinear_fit(trips: DataFrame) -> DataFrame:
+    """Fares on distance in miles and in kilometres: the coefficients share what one of them would have alone."""
+    both = trips.withColumn("trip_km", F.col("trip_distance") * 2.0)
+    return _rounded(stats.least_squares(both, "fare_amount", ["trip_distance", "trip_km"]), 5)
+
+
+def _sampled_fit(trips: DataFrame) -> DataFrame:
+    """The fit over a sample of trips, drawn by a hash of their pickup time."""
+    key = F.unix_micros(F.col("tpep_pickup_datetime").cast("timestamp"))
+    chosen = bottom_k(trips, SAMPLED_TRIPS, key, ties=["fare_amount", "trip_distance", "trip_duration_mins"])
+    return _rounded(stats.least_squares(chosen, "fare_amount", ["trip_distance", "trip_duration_mins"]), 5)
+
+
 def queries() -> dict[str, Query]:
     t, s, shown = bindings.trips, bindings.sales, bindings.sales_with_product
     pages_of = bindings.catalog_pages
@@ -283,6 +299,9 @@ def queries() -> dict[str, Query]:
         # Statistics
         "ols_multi": _over(t, lambda df: _rounded(stats.ols(df, "fare_amount", ["trip_distance", "trip_duration_mins"]))),
         "ols_simple": _over(s, lambda df: _rounded(stats.ols(df, "revenue", ["quantity"]), 4)),
+        "ols_many": _over(t, lambda df: _rounded(stats.least_squares(df, "fare_amount", MANY_REGRESSORS), 5)),
+        "ols_collinear": _over(t, _collinear_fit),
+        "ols_sampled": _over(t, _sampled_fit),
         "minmax_normalize": _normalized(stats.minmax_normalize),
         "zscore_normalize": _normalized(stats.zscore_normalize),
         "minmax_normalize_array": _normalized_array(stats.minmax_normalize_array),

@@ -42,6 +42,23 @@ def averaged(x: str) -> str:
     return f"({added(x)} / COUNT({x}))"
 
 
+def normal_equations(source: str, y: str, xs: list[str], digits: int) -> str:
+    """CTEs and a final SELECT that fit ``y`` on ``xs`` over ``source`` by eliminating the covariances."""
+    n = len(xs)
+    cells = [(i, j) for i in range(n) for j in range(n + 1)]
+    columns = [*xs, y]
+    steps = [f"g0 AS (SELECT {', '.join(f'covar_pop({columns[i]}, {columns[j]}) AS a{i}{j}' for i, j in cells)} FROM {source})"]
+    for k in range(n):
+        new = [f"a{i}{j} / a{k}{k} AS a{i}{j}" if i == k else f"a{i}{j} - a{i}{k} * a{k}{j} / a{k}{k} AS a{i}{j}" for i, j in cells]
+        steps.append(f"g{k + 1} AS (SELECT {', '.join(new)} FROM g{k})")
+    fitted = " + ".join(f"a{i}{n} * {x}" for i, x in enumerate(xs))
+    means = " + ".join(f"a{i}{n} * m{i}" for i in range(n))
+    shown = ", ".join(f"{half_up(f'a{i}{n}', digits)} AS coef_{x}" for i, x in enumerate(xs))
+    totals = f"t AS (SELECT {', '.join(f'avg({x}) AS m{i}' for i, x in enumerate(xs))}, avg({y}) AS ym, var_pop({y}) AS yv, count(*) AS n FROM {source})"
+    return f"""{", ".join(steps)}, {totals}, e AS (SELECT var_pop({y} - ({fitted})) AS rest FROM {source} CROSS JOIN g{n})
+SELECT {half_up(f"ym - ({means})", digits)} AS intercept, {shown}, {half_up("1 - rest / yv", digits)} AS r_squared, {n} AS rank, n FROM g{n} CROSS JOIN t CROSS JOIN e"""
+
+
 TRIPS = f"""
 raw AS (
   SELECT ts AS tpep_pickup_datetime,
@@ -269,6 +286,13 @@ SELECT {half_up("y - ca * a - cb * b", 6)} AS intercept, {half_up("ca", 6)} AS c
   {half_up("(ca * ay + cb * by_) / yy", 6)} AS r_squared, n FROM c""",
         "ols_simple": f"""WITH {SALES} SELECT {half_up("regr_intercept(revenue, quantity)", 4)} AS intercept, {half_up("regr_slope(revenue, quantity)", 4)} AS coef_quantity,
   {half_up("regr_r2(revenue, quantity)", 4)} AS r_squared, COUNT(*) AS n FROM sales""",
+        "ols_many": f"WITH {TRIPS}, {normal_equations('trips', 'fare_amount', ['trip_distance', 'trip_duration_mins', 'hour_of_day', 'cost_per_mile'], 5)}",
+        "ols_collinear": f"""WITH {TRIPS}, s AS (SELECT regr_slope(fare_amount, trip_distance) AS b, regr_intercept(fare_amount, trip_distance) AS a,
+  regr_r2(fare_amount, trip_distance) AS r, COUNT(*) AS n FROM trips)
+SELECT {half_up("a", 5)} AS intercept, {half_up("b / 5", 5)} AS coef_trip_distance, {half_up("2 * b / 5", 5)} AS coef_trip_km, {half_up("r", 5)} AS r_squared, 1 AS rank, n FROM s""",
+        "ols_sampled": f"""WITH {TRIPS}, chosen AS (
+  SELECT * FROM trips ORDER BY md5('42:' || epoch_us(tpep_pickup_datetime)), fare_amount, trip_distance, trip_duration_mins LIMIT 2000),
+{normal_equations("chosen", "fare_amount", ["trip_distance", "trip_duration_mins"], 5)}""",
         "minmax_normalize": value_scale.format(six("CASE WHEN hi = lo THEN 0 ELSE (value - lo) / (hi - lo) END")),
         "zscore_normalize": value_scale.format(six("CASE WHEN sd = 0 THEN 0 ELSE (value - m) / sd END")),
         "minmax_normalize_array": _arrays("list_min(e)", "list_max(e) - list_min(e)"),

@@ -91,3 +91,42 @@ def test_collinear_regressors_give_null(spark, factor, offset):
 def test_r_squared_stays_within_bounds(spark):
     df = spark.createDataFrame([(float(x), 0.1 * x + 0.3) for x in range(40)], "x double, y double")
     assert 0.0 <= stats.ols(df, "y", ["x"]).first().r_squared <= 1.0
+
+
+def design_of(columns):
+    return np.column_stack([np.ones(len(columns[0])), *columns])
+
+
+@pytest.mark.parametrize("width", [1, 2, 5, 9])
+def test_least_squares_with_any_number_of_regressors(spark, width):
+    rng = np.random.default_rng(width)
+    x = [rng.normal(10 * i, 1 + i, 200) for i in range(width)]
+    y = sum((i - 1.5) * c for i, c in enumerate(x)) + rng.normal(0, 1, 200) + 3
+    rows = [tuple(map(float, r)) for r in zip(*x, y)] + [(None,) * width + (1.0,)]
+    names = [f"x{i}" for i in range(width)]
+    got = stats.least_squares(spark.createDataFrame(rows, [*names, "y"]), "y", names).first()
+    want = np.linalg.lstsq(design_of(x), y, rcond=None)[0]
+    assert [got.intercept, *[got[f"coef_{n}"] for n in names]] == pytest.approx(want, rel=1e-7)
+    assert (got.n, got["rank"]) == (200, width) and 0 < got.r_squared <= 1
+
+
+@pytest.mark.parametrize("dependent", ["double", "sum", "constant", "all constant", "zero"])
+def test_dependent_regressors_get_the_shortest_solution(spark, dependent):
+    rng = np.random.default_rng(5)
+    a, b = rng.uniform(1, 9, 60), rng.uniform(-4, 4, 60)
+    third = {"double": 2 * a, "sum": a + b - 3, "constant": np.full(60, 7.0), "all constant": np.full(60, 7.0), "zero": np.zeros(60)}[dependent]
+    if dependent == "all constant":
+        a, b = np.full(60, 2.0), np.full(60, -1.0)
+    y = 3 * a - b + rng.normal(0, 1, 60)
+    frame = spark.createDataFrame([tuple(map(float, r)) for r in zip(a, b, third, y)], "a double, b double, c double, y double")
+    got = stats.least_squares(frame, "y", ["a", "b", "c"]).first()
+    want = np.linalg.lstsq(design_of([a, b, third]), y, rcond=None)[0]
+    assert [got.intercept, got.coef_a, got.coef_b, got.coef_c] == pytest.approx(want, rel=1e-6, abs=1e-8)
+    assert got["rank"] == (0 if dependent == "all constant" else 2)
+
+
+def test_least_squares_of_nothing(spark):
+    empty = spark.createDataFrame([], "x double, y double")
+    assert tuple(stats.least_squares(empty, "y", ["x"]).first()) == (None, None, 0.0, 0, 0)
+    with pytest.raises(ValueError):
+        stats.least_squares(empty, "y", [])
