@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import numbers, texts, times
@@ -24,6 +24,34 @@ DISTANCE_FLOOR = 0.1
 SALES_NUMBERS = ("quantity", "unit_price", "discount_pct", "revenue")
 
 
+class RuleCounts:
+    """How many rows each rule of a cleaning drops, counted in the pass that cleans.
+
+    Hand one to :func:`clean_trips` or :func:`clean_sales`; when an action over the result
+    has finished, :meth:`result` has the figures. Rows are counted at each rule, so range
+    filters no longer reach the file scan. A lost task that runs again may count twice.
+    """
+
+    def __init__(self) -> None:
+        self._stages: list[tuple[str, Observation]] = []
+
+    def after(self, rule: str, df: DataFrame) -> DataFrame:
+        """``df`` as it is left by ``rule``; the first call gives the rows before any rule."""
+        seen = Observation()
+        self._stages.append((rule, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def result(self) -> dict[str, int]:
+        """Rows ``before``, dropped by each rule in their order, and ``after``; before is the sum of the others."""
+        rows = [(rule, seen.get["rows"]) for rule, seen in self._stages]
+        dropped = {rule: earlier - left for (_, earlier), (rule, left) in zip(rows, rows[1:])}
+        return {"before": rows[0][1], **dropped, "after": rows[-1][1]}
+
+
+def _counted(counts: RuleCounts | None, rule: str, df: DataFrame) -> DataFrame:
+    return df if counts is None else counts.after(rule, df)
+
+
 class MissingColumns(ValueError):
     """A table lacks columns that the operator needs."""
 
@@ -109,18 +137,26 @@ def clean_trips(
     aliases: Mapping[str, Sequence[str]] = TRIP_ALIASES,
     ranges: Mapping[str, tuple[float, float]] = TRIP_RANGES,
     default_payment_type: str | None = None,
+    counts: RuleCounts | None = None,
 ) -> DataFrame:
     """Raw trips to typed, range-checked trips with derived columns.
 
     One chain of projections and filters without a shuffle. Rows with a missing
     or unreadable required value or a value out of range go; durations are
-    clipped, not filtered. ``default_payment_type`` fills in a missing column.
+    clipped, not filtered. ``default_payment_type`` fills in a missing column. ``counts``
+    takes the number of rows that each rule drops.
     """
-    trips = resolve_aliases(normalize_columns(raw), aliases)
+    trips = resolve_aliases(normalize_columns(_counted(counts, "before", raw)), aliases)
     require_columns(trips, aliases)
     start, end = "tpep_pickup_datetime", "tpep_dropoff_datetime"
     trips = coerce_double(coerce_timestamp(trips, [start, end]), ["fare_amount", "trip_distance"])
-    trips = between_filter(drop_nulls(trips, list(aliases)), ranges)
+    if counts is None:
+        trips = between_filter(drop_nulls(trips, list(aliases)), ranges)
+    else:
+        for name in aliases:
+            trips = counts.after(f"no_{name}", drop_nulls(trips, [name]))
+        for name, limits in ranges.items():
+            trips = counts.after(f"{name}_out_of_range", between_filter(trips, {name: limits}))
     kind = F.col("payment_type") if "payment_type" in trips.columns else F.lit(default_payment_type)
     return add_trip_features(trips).withColumn("payment_type", kind.cast("string"))
 
@@ -138,24 +174,29 @@ def add_trip_features(trips: DataFrame) -> DataFrame:
     )
 
 
-def clean_sales(raw: DataFrame, keys: Sequence[str] = ("order_id",), order: Sequence[str | Column] = ()) -> DataFrame:
+def clean_sales(
+    raw: DataFrame, keys: Sequence[str] = ("order_id",), order: Sequence[str | Column] = (), counts: RuleCounts | None = None
+) -> DataFrame:
     """Raw orders to typed orders, one per order id, with ``year_month``.
 
     Deduplication comes before the null filter: an order whose first copy lacks
     its revenue is gone, even if a later copy has one. ``order`` says which copy
     is first; by default the remaining columns decide, in table order.
+    :func:`plumbline.sources.files.file_order` makes it the first as read from Parquet files.
+    ``counts`` takes the number of rows that each rule drops.
     """
     sales = normalize_columns(raw, blank_to="_")
     order = list(order) or [c for c in sales.columns if c not in keys]
-    return finish_sales(dedupe(sales, keys, order))
+    first = dedupe(_counted(counts, "before", sales), keys, order)
+    return finish_sales(_counted(counts, "duplicates", first), counts)
 
 
-def finish_sales(sales: DataFrame) -> DataFrame:
+def finish_sales(sales: DataFrame, counts: RuleCounts | None = None) -> DataFrame:
     """Everything in :func:`clean_sales` after the deduplication; no shuffle."""
-    sales = drop_nulls(sales, ["revenue", "region"])
+    sales = _counted(counts, "no_revenue_or_region", drop_nulls(sales, ["revenue", "region"]))
     sales = coerce_double(sales, [c for c in SALES_NUMBERS if c in sales.columns])
-    sales = drop_nulls(sales, ["revenue"])
-    sales = drop_nulls(coerce_timestamp(sales, ["date"]), ["date"])
+    sales = _counted(counts, "unreadable_revenue", drop_nulls(sales, ["revenue"]))
+    sales = _counted(counts, "unreadable_date", drop_nulls(coerce_timestamp(sales, ["date"]), ["date"]))
     return sales.withColumn("year_month", times.year_month("date"))
 
 

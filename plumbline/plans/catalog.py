@@ -165,6 +165,66 @@ def _site_dataset(spark: SparkSession, folder: str) -> DataFrame:
     return _flat_records(files.read_jsonl(spark, path, pages.parse_pages(crawl).schema))
 
 
+def _checked_lines(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """A JSON-lines store of the pages, each fifth line cut off and each seventh blank, and its schema."""
+    path = scratch_table_path(spark, "store")
+    pages = bindings.table(spark, folder, "pages").select("page_id", "url")
+    line = F.to_json(F.struct("page_id", "url"))
+    line = F.when(F.col("page_id") % 7 == 0, F.lit("  ")).when(F.col("page_id") % 5 == 0, F.expr("left(url, 20)")).otherwise(line)
+    pages.select(line.alias("value")).write.text(path)
+    return path, "page_id bigint, url string"
+
+
+def _quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    """The good lines of the store beside the rejects of its side table, told apart by ``kind``."""
+    path, schema = _checked_lines(spark, folder)
+    rejects = f"{path}-rejects"
+    good = files.quarantine_jsonl(spark, path, schema, rejects)
+    bad = spark.read.parquet(rejects).select(F.lit("bad").alias("kind"), F.lit(None).cast("bigint").alias("page_id"), F.col("line").alias("content"))
+    return good.select(F.lit("good").alias("kind"), "page_id", F.col("url").alias("content")).unionByName(bad)
+
+
+def _line_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the store in all: good, bad and blank."""
+    _, _, counts = files.read_jsonl_checked(spark, *_checked_lines(spark, folder))
+    return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("lines", "good", "bad", "blank")])
+
+
+def _sales_in_file_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw sales stored largest quantity first over several files; the copy stored first stays."""
+    path = scratch_table_path(spark, "stored-sales")
+    stored = bindings.raw_sales(spark, folder).orderBy(*[F.desc(c) for c in bindings.SALES_ORDER], "order_key", "line_no")
+    stored.write.parquet(path)
+    cleaned = cleaning.clean_sales(files.read_parquet(spark, path), ("order_key", "line_no"), files.file_order())
+    return cleaned.select("order_key", "line_no", *bindings.SALES_ORDER, "region", "year_month")
+
+
+def _dropped(spark: SparkSession, clean: Callable[[cleaning.RuleCounts], DataFrame]) -> DataFrame:
+    counts = cleaning.RuleCounts()
+    clean(counts).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(counts.result().items()), "rule string, rows bigint")
+
+
+def _trip_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips before cleaning, dropped by each rule, and after; one pass."""
+    return _dropped(spark, lambda counts: cleaning.clean_trips(bindings.raw_trips(spark, folder), counts=counts))
+
+
+def _sales_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales before cleaning, dropped by each rule, and after; one pass."""
+    raw = bindings.raw_sales(spark, folder)
+    return _dropped(spark, lambda counts: cleaning.clean_sales(raw, ("order_key", "line_no"), bindings.SALES_ORDER, counts))
+
+
+def _rebuilt_parquet(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned trips written, then cut down as by a job that died, then asked for again: the table is whole."""
+    path = scratch_table_path(spark, "trips")
+    cleaned = bindings.trips(spark, folder)
+    files.write_cleaned(cleaned, path)
+    cleaned.where("hour_of_day < 5").write.mode("overwrite").parquet(path)
+    return trips.hourly_revenue(files.write_cleaned(cleaned, path), digits=DIGITS)
+
+
 def _inventory(spark: SparkSession, folder: str) -> DataFrame:
     return files.file_inventory(spark, folder).select("file_name", "row_count")
 
@@ -328,7 +388,13 @@ def queries() -> dict[str, Query]:
         "report_key_figures": _reported,
         "jsonl_line_count": _line_count,
         "csv_round_trip": _csv_round_trip,
+        "jsonl_quarantine": _quarantined,
+        "jsonl_line_kinds": _line_kinds,
+        "clean_sales_file_order": _sales_in_file_order,
+        "clean_trips_counts": _trip_counts,
+        "clean_sales_counts": _sales_counts,
         "cleaned_parquet_reuse": _reused_parquet,
+        "cleaned_parquet_rebuilt": _rebuilt_parquet,
         "read_parquet_folder": _parquet_folder,
         "file_inventory": _inventory,
         # Grids and graphs

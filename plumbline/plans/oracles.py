@@ -332,6 +332,30 @@ UNION ALL SELECT url, 2, 'http://cdn.example.com/' || p_partkey || '.png', 'fron
 COUNT(DISTINCT customer_id) AS unique_customers, COUNT(DISTINCT product) AS unique_products FROM sales""",
         "jsonl_line_count": "SELECT COUNT(*) AS line_count FROM pages",
         "csv_round_trip": "SELECT o_orderkey, o_orderdate, o_totalprice, o_orderpriority FROM orders",
+        "jsonl_quarantine": """SELECT CASE WHEN page_id % 5 = 0 THEN 'bad' ELSE 'good' END AS kind, CASE WHEN page_id % 5 <> 0 THEN page_id END AS page_id,
+  CASE WHEN page_id % 5 = 0 THEN left(url, 20) ELSE url END AS content FROM pages WHERE page_id % 7 <> 0""",
+        "jsonl_line_kinds": """SELECT COUNT(*) AS lines, COUNT(*) FILTER (page_id % 7 <> 0 AND page_id % 5 <> 0) AS good,
+  COUNT(*) FILTER (page_id % 7 <> 0 AND page_id % 5 = 0) AS bad, COUNT(*) FILTER (page_id % 7 = 0) AS blank FROM pages""",
+        "clean_sales_file_order": """WITH first AS (
+  SELECT *, l_extendedprice / l_quantity AS unit_price FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity DESC, l_extendedprice / l_quantity DESC, l_discount DESC, l_partkey DESC) = 1)
+SELECT l_orderkey AS order_key, l_linenumber AS line_no, l_quantity AS quantity, unit_price, l_discount AS discount_pct, l_partkey AS part_key,
+  r_name AS region, strftime(o_orderdate, '%Y-%m') AS year_month
+FROM first, orders, customer, nation, region
+WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey AND c_nationkey = n_nationkey AND n_regionkey = r_regionkey AND r_name <> 'ASIA'""",
+        "clean_trips_counts": """WITH r AS (SELECT ts, value, CAST(0.05 AS DOUBLE) + CAST(event_id % 400 AS DOUBLE) / CAST(10 AS DOUBLE) AS d FROM events),
+k AS (SELECT *, ts IS NOT NULL AS a, ts IS NOT NULL AND value IS NOT NULL AS b, value >= 1 AND value <= 500 AS c, d >= 0.1 AND d <= 100 AS e FROM r),
+n AS (SELECT COUNT(*) AS n0, COUNT(*) FILTER (a) AS n1, COUNT(*) FILTER (b) AS n2, COUNT(*) FILTER (b AND c) AS n3, COUNT(*) FILTER (b AND c AND e) AS n4 FROM k)
+SELECT unnest(['before', 'no_tpep_pickup_datetime', 'no_tpep_dropoff_datetime', 'no_fare_amount', 'no_trip_distance', 'fare_amount_out_of_range', 'trip_distance_out_of_range', 'after']) AS rule,
+  unnest([n0, n0 - n1, 0, n1 - n2, 0, n2 - n3, n3 - n4, n4]) AS rows FROM n""",
+        "clean_sales_counts": """WITH l AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN r_name <> 'ASIA' THEN r_name END AS region
+  FROM lineitem, orders, customer, nation, region
+  WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey AND c_nationkey = n_nationkey AND n_regionkey = r_regionkey),
+f AS (SELECT l_orderkey, l_linenumber, any_value(region) AS region FROM l GROUP BY 1, 2),
+n AS (SELECT (SELECT COUNT(*) FROM l) AS n0, COUNT(*) AS n1, COUNT(region) AS n2 FROM f)
+SELECT unnest(['before', 'duplicates', 'no_revenue_or_region', 'unreadable_revenue', 'unreadable_date', 'after']) AS rule, unnest([n0, n0 - n1, n1 - n2, 0, 0, n2]) AS rows FROM n""",
+        "cleaned_parquet_rebuilt": f"WITH {TRIPS} SELECT hour_of_day, {avg_fare}, {trip_count}, {fare_total} FROM trips GROUP BY hour_of_day",
         "cleaned_parquet_reuse": f"WITH {TRIPS} SELECT hour_of_day, {avg_fare}, {trip_count}, {fare_total} FROM trips GROUP BY hour_of_day",
         "read_parquet_folder": "SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN true END AS late FROM orders",
         "file_inventory": " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, COUNT(*) AS row_count FROM {t}" for t in TABLES),

@@ -8,13 +8,16 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 from plumbline.operators.cleaning import dedupe
+from plumbline.session import remove_path
 
 # A row number holds the place in the file below the file's number.
 ROW_BITS = 40
 MOST_BROADCAST_FILES = 100_000
+BAD_LINE = "_bad_line"
+MANIFEST = "version string, files bigint, bytes bigint, marks bigint, rows bigint"
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -115,14 +118,49 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def write_cleaned(df: DataFrame, path: str, force_refresh: bool = False) -> DataFrame:
-    """The cleaned table at ``path``: reused if it is there, else written from ``df``."""
+def _made_from(df: DataFrame, version: str) -> dict[str, object]:
+    """What a table made from ``df`` depends on: the files read, by path, size and time, and the version of the code."""
+    spark, paths = df.sparkSession, df.inputFiles()
+    found = {"files": 0, "bytes": 0, "marks": 0}
+    if paths:
+        listing = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+        found = listing.agg(
+            F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("marks")
+        ).first().asDict()
+    return {"version": version, **found}
+
+
+def _manifest_of(path: str) -> str:
+    return f"{path.rstrip('/')}-manifest"
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict[str, object] | None:
+    """The manifest of the table at ``path``, or None if it was never finished."""
+    rows = read_jsonl(spark, _manifest_of(path), MANIFEST).collect()
+    return rows[0].asDict() if len(rows) == 1 else None
+
+
+def write_cleaned(df: DataFrame, path: str, force_refresh: bool = False, version: str = "") -> DataFrame:
+    """The cleaned table at ``path``: reused if it was finished and is still up to date, else written from ``df``.
+
+    A manifest beside the table, written last, says which files it was made from (number,
+    bytes and a hash over paths, sizes and times), by which ``version`` of the caller's
+    code, and how many rows it has. A table without one, with other inputs, another version
+    or another number of rows is written again. Inputs that are no files do not count.
+    """
     spark = df.sparkSession
-    found = None if force_refresh else read_or_none(spark, path)
-    if found is not None:
-        return found
+    wanted = _made_from(df, version)
+    held = None if force_refresh else read_manifest(spark, path)
+    if held is not None and {k: held[k] for k in wanted} == wanted:
+        found = read_or_none(spark, path)
+        if found is not None and found.count() == held["rows"]:
+            return found
+    remove_path(spark, _manifest_of(path))
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    manifest = spark.createDataFrame([(wanted["version"], wanted["files"], wanted["bytes"], wanted["marks"], table.count())], MANIFEST)
+    write_jsonl(manifest, _manifest_of(path), mode="overwrite")
+    return table
 
 
 def load_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,6 +207,40 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
         return spark.createDataFrame([], schema)
 
 
+def read_jsonl_checked(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """JSON lines in three tables: the rows, the lines that are malformed, and the counts of each file.
+
+    Rows are those :func:`read_jsonl` gives. Rejects are (file, line), for a table of their
+    own. Counts are (file, lines, good, bad, blank), and good, bad and blank add up to
+    lines. A line is bad if it is no JSON object or a value does not fit the schema; it is
+    kept whole. A missing path gives three empty tables. Each table is one scan.
+    """
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    with_bad = StructType([*fields.fields, StructField(BAD_LINE, StringType())])
+    try:
+        lines = spark.read.text(path).select("value", _read_from().alias("file"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = spark.createDataFrame([], "value string, file string")
+    parsed = F.from_json("value", with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE})
+    lines = lines.select("file", "value", (F.trim("value") == "").alias("blank"), parsed.alias("row"))
+    bad = F.col("row").isNull() | F.col("row")[BAD_LINE].isNotNull()
+    rows = lines.where(~F.col("blank") & ~bad).select(*[F.col("row")[f.name].alias(f.name) for f in fields.fields])
+    rejects = lines.where(~F.col("blank") & bad).select("file", F.col("value").alias("line"))
+    counts = lines.groupBy("file").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(~F.col("blank") & ~bad).alias("good"), F.count_if(~F.col("blank") & bad).alias("bad"), F.count_if("blank").alias("blank")
+    )
+    return rows, rejects, counts
+
+
+def quarantine_jsonl(spark: SparkSession, path: str, schema: StructType | str, rejects_path: str) -> DataFrame:
+    """The good rows of JSON lines; malformed lines are added to a Parquet table (file, line) at ``rejects_path``."""
+    rows, rejects, _ = read_jsonl_checked(spark, path, schema)
+    rejects.write.mode("append").parquet(rejects_path)
+    return rows
+
+
 def jsonl_line_count(spark: SparkSession, path: str) -> DataFrame:
     """Number of lines that are not blank, malformed ones included, as one row."""
     try:

@@ -150,3 +150,29 @@ def test_dedupe_keeps_one_row_of_a_hot_key(spark):
     got = cleaning.dedupe(df, ["k"], ["id"])
     assert got.count() == df.select("k").distinct().count()
     assert got.where("k = 0").first().id == 0
+
+
+def test_drops_of_each_rule_add_up(spark):
+    rows = [("1", "2024-01-01", "5", "EU"), ("1", "2024-01-01", "6", "EU"), ("2", "2024-01-01", None, "EU"), ("3", "never", "5", "EU"), ("4", "2024-01-01", "much", "EU"), ("5", "2024-02-01", "1", None)]
+    raw = spark.createDataFrame(rows, "order_id string, date string, revenue string, region string")
+    counts = cleaning.RuleCounts()
+    cleaned = cleaning.clean_sales(raw, counts=counts)
+    assert [r.order_id for r in cleaned.collect()] == ["1"]
+    found = counts.result()
+    assert found == {"before": 6, "duplicates": 1, "no_revenue_or_region": 2, "unreadable_revenue": 1, "unreadable_date": 1, "after": 1}
+    assert found["before"] == sum(v for k, v in found.items() if k != "before")
+    assert cleaned.exceptAll(cleaning.clean_sales(raw)).isEmpty()
+
+
+def test_drops_of_trips_are_counted_in_the_same_pass(spark):
+    rows = [("2024-01-01 08:00:00", "2024-01-01 08:10:00", f, d) for f, d in ((10.0, 1.0), (0.5, 1.0), (None, 1.0), (20.0, 500.0), (1.0, 0.1))]
+    raw = spark.createDataFrame(rows, "pickup_datetime string, dropoff_datetime string, fare double, distance double")
+    counts = cleaning.RuleCounts()
+    cleaned = cleaning.clean_trips(raw, counts=counts)
+    text = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LogicalRDD") + text.count("LocalRelation") == 1
+    assert cleaned.count() == 2
+    assert counts.result() == {
+        "before": 5, "no_tpep_pickup_datetime": 0, "no_tpep_dropoff_datetime": 0, "no_fare_amount": 1, "no_trip_distance": 0,
+        "fare_amount_out_of_range": 1, "trip_distance_out_of_range": 1, "after": 2,
+    }

@@ -4,7 +4,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import trips
+from plumbline import session
+from plumbline.operators import cleaning, trips
 from plumbline.sources import files, synthetic
 from plumbline.streaming.append import append_new_pages
 
@@ -198,3 +199,73 @@ def test_register(spark):
 def test_union_of_files_feeds_the_reports(spark, three_files):
     df = files.read_parquet(spark, three_files).select((F.col("id") % 24).cast("int").alias("hour_of_day"), F.col("square").cast("double").alias("fare_amount"))
     assert trips.hourly_revenue(df).agg(F.sum("trip_count")).first()[0] == 35
+
+
+def test_malformed_lines_are_kept_and_all_lines_are_counted(spark, folder):
+    target = Path(folder) / "store"
+    target.mkdir()
+    (target / "a.json").write_text('{"id": 1, "name": "x"}\n\n{"id": 2\n   \n{"id": "three", "name": "y"}\n')
+    (target / "b.json").write_text('plain text\n{"id": 4}\n{"name": null, "other": 5}\n')
+    rows, rejects, counts = files.read_jsonl_checked(spark, str(target), "id bigint, name string")
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted([(1, "x"), (4, None), (None, None)], key=str)
+    assert {(r.file.rsplit("/", 1)[1], r.line) for r in rejects.collect()} == {("a.json", '{"id": 2'), ("a.json", '{"id": "three", "name": "y"}'), ("b.json", "plain text")}
+    got = {r.file.rsplit("/", 1)[1]: (r.lines, r.good, r.bad, r.blank) for r in counts.collect()}
+    assert got == {"a.json": (5, 1, 2, 2), "b.json": (3, 2, 1, 0)}
+    same = files.read_jsonl(spark, str(target), "id bigint, name string")
+    assert same.exceptAll(rows).isEmpty() and rows.exceptAll(same).isEmpty()
+
+
+def test_quarantine_adds_to_the_side_table(spark, folder):
+    Path(folder, "x.json").write_text('{"id": 1}\nbroken\n')
+    for run in (1, 2):
+        assert files.quarantine_jsonl(spark, f"{folder}/x.json", "id bigint", f"{folder}/rejects").count() == 1
+        assert [r.line for r in spark.read.parquet(f"{folder}/rejects").collect()] == ["broken"] * run
+    rows, rejects, counts = files.read_jsonl_checked(spark, f"{folder}/nowhere", "id bigint")
+    assert rows.count() == rejects.count() == counts.count() == 0
+
+
+def test_an_unfinished_or_outdated_table_is_built_again(spark, folder):
+    source, path = f"{folder}/source", f"{folder}/clean"
+    numbers(spark, 0, 5).write.parquet(source)
+
+    def write(version=""):
+        return files.write_cleaned(spark.read.parquet(source), path, version=version).count()
+
+    assert write() == 5 and files.read_manifest(spark, path)["rows"] == 5
+    numbers(spark, 0, 3).write.mode("overwrite").parquet(path)
+    assert write() == 5, "a table with other rows than its manifest says"
+    session.remove_path(spark, f"{path}-manifest")
+    numbers(spark, 50, 55).write.mode("overwrite").parquet(path)
+    assert files.read_manifest(spark, path) is None
+    assert write() == 5 and spark.read.parquet(path).agg(F.max("id")).first()[0] == 4, "a table without a manifest"
+    numbers(spark, 5, 7).write.mode("append").parquet(source)
+    assert write() == 7, "new input files"
+    before = {f.name for f in Path(path).glob("part-*")}
+    assert write() == 7 and {f.name for f in Path(path).glob("part-*")} == before, "reused"
+    assert write("2") == 7 and {f.name for f in Path(path).glob("part-*")} != before, "another version"
+
+
+def test_first_copy_in_file_order(spark, folder):
+    for name, rows in {"b": [(1, "late"), (2, "only b")], "a": [(3, "x"), (1, "early"), (1, "again"), (3, "y")]}.items():
+        spark.createDataFrame(rows, "order_id int, region string").coalesce(1).write.parquet(f"{folder}/{name}")
+        part = next(Path(folder, name).glob("part-*.parquet"))
+        (Path(folder) / "all").mkdir(exist_ok=True)
+        (Path(folder) / "all" / f"{name}.parquet").write_bytes(part.read_bytes())
+    raw = files.read_parquet(spark, f"{folder}/all").withColumn("revenue", F.lit(1.0)).withColumn("date", F.lit("2024-01-02"))
+    cleaned = cleaning.clean_sales(raw, order=files.file_order())
+    assert {(r.order_id, r.region) for r in cleaned.collect()} == {(1, "early"), (2, "only b"), (3, "x")}
+
+
+def test_row_numbers_stay_when_a_scan_is_cut_otherwise(spark, folder):
+    spark.range(20_000).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(3).write.parquet(f"{folder}/t")
+    table = spark.read.parquet(f"{folder}/t")
+    seen = {r.id: r.n for r in files.with_row_number(table, "n").select("id", "n").collect()}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        again = files.with_row_number(table, "n")
+        assert {r.id: r.n for r in again.select("id", "n").collect()} == seen and len(set(seen.values())) == 20_000
+        assert again.columns == ["id", "x", "n"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert files.has_file_order(table) and not files.has_file_order(spark.range(3))
