@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,11 +30,29 @@ EVIDENCE = 20
 # Words kept in a worker's memory; texts of junk must not make it grow.
 REMEMBERED = 300_000
 
-_word = re.compile(r"[^\W\d_]+")
+
+def _signs(*categories: str) -> frozenset[str]:
+    return frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in categories)
+
+
+def _inside(signs: frozenset[str]) -> str:
+    """``signs`` as the inside of a character class."""
+    codes = sorted(map(ord, signs))
+    ends = [i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1]
+    return "".join(f"\\U{codes[a]:08x}-\\U{codes[b - 1]:08x}" for a, b in zip([0, *ends], [*ends, len(codes)]))
+
+
+# A word is letters and the marks on them; numerals such as fractions and Roman numbers are no letters.
+_numerals, _marks = _signs("Nl", "No"), _signs("Mn", "Mc")
+_letter = rf"[^\W\d_{_inside(_numerals)}]"
+_word = re.compile(rf"{_letter}+(?:[{_inside(_marks)}]+{_letter}*)*")
+# Texts without marks and such numerals, most of all, are cut by a far cheaper pattern into the same words.
+_rare, _plain_word = _numerals | _marks, re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _word.findall(text.lower())
+    text = text.lower()
+    return (_plain_word if text.isascii() or _rare.isdisjoint(set(text)) else _word).findall(text)
 
 
 def held_out(doc_id: Column) -> Column:

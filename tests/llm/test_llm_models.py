@@ -71,3 +71,15 @@ def test_one_class_only(spark, toxic):
     labels = spark.createDataFrame([(i, toxic) for i in range(20)], "doc_id bigint, toxic int")
     model = toxicity.learn(docs, labels)
     assert abs(model.score("anything") - toxic) < 0.01 and abs(model.score(None) - toxic) < 0.01
+
+
+def test_numerals_are_no_letters_and_marks_belong_to_words():
+    assert language_id.words_of("½ ² ①② Ⅷ 12 _") == []
+    assert language_id.words_of("नमस्ते दुनिया") == ["नमस्ते", "दुनिया"]
+    assert language_id.words_of("étude naïve x²y ab1c") == ["étude", "naïve", "x", "y", "ab", "c"]
+
+
+def test_texts_without_a_letter_are_undetermined(spark):
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(["½ ²", "①②", "Ⅷ", None, "", "12 !?"])], "doc_id bigint, text string, lang string, source string")
+    model = language_id.learn(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    assert {r["lang_pred"] for r in language_id.identify(docs, model).collect()} == {"und"}
