@@ -10,8 +10,16 @@ from plumbline.session import enable_checkpoints, scratch_table_path
 
 # The four neighbours of a cell as (row, col) steps.
 NEIGHBOURS = ((-1, 0), (1, 0), (0, -1), (0, 1))
-# Parts that the edges of each source are cut into.
-PARTS = 4
+# Ways of one source in one partition.
+HUB_WAYS = 200_000
+# Nodes with more ways, in and out, are not contracted.
+MOST_WAYS = 24
+# Chosen nodes up to which each executor gets them all.
+BROADCAST_NODES = 200_000
+# Nodes of a frontier up to which a round takes all its steps.
+SMALL_FRONTIER = 20_000
+# Whole numbers below this are exact as doubles.
+EXACT = 2**53
 
 
 class BlockedCell(ValueError):
@@ -65,18 +73,74 @@ def require_open(cells: DataFrame, points: list[tuple[int, int]]) -> None:
             raise BlockedCell(f"cell {point} is a wall or outside the grid")
 
 
-def require_weights(edges: DataFrame) -> None:
-    """Raise if a weight is null, NaN or negative, with the number of such edges."""
+def require_weights(edges: DataFrame) -> bool:
+    """Raise if a weight is null, NaN or negative, with the number of such edges; else whether sums of weights are exact.
+
+    They are for whole numbers with a total that a double holds exactly.
+    """
     weight = F.col("weight").cast("double")
     counts = edges.agg(
-        F.count_if(weight.isNull() | F.isnan(weight)).alias("missing"), F.count_if(weight < 0).alias("negative")
-    ).first()
+        F.count_if(weight.isNull() | F.isnan(weight)).alias("missing"), F.count_if(weight < 0).alias("negative"),
+        F.count_if(weight != F.floor(weight)).alias("broken"), F.sum(weight).alias("total"),
+    ).first()
     if counts.missing or counts.negative:
         raise ValueError(f"{counts.missing} edges have no weight and {counts.negative} a negative one")
+    return counts.broken == 0 and (counts.total or 0) < EXACT
+
+
+def _settled(frame: DataFrame, name: str) -> DataFrame:
+    path = scratch_table_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _least(ways: DataFrame) -> DataFrame:
+    """The cheapest way from each node to each other, with the fewest hops at that cost."""
+    best = ways.where("src != dst").groupBy("src", "dst").agg(F.min(F.struct("weight", "hop")).alias("way"))
+    return best.select("src", "dst", "way.weight", "way.hop")
+
+
+def _independent(ways: DataFrame, kept: DataFrame, round: int) -> DataFrame:
+    """Nodes of few ways, no two of them neighbours, none of ``kept``: those that come before all their neighbours."""
+    ends = ways.select(F.col("src").alias("node"), F.col("dst").alias("other")).unionByName(ways.select(F.col("dst").alias("node"), F.col("src").alias("other")))
+    degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    first = lambda node: F.struct("degree", F.xxhash64(node, F.lit(round)).alias("mark"), F.col(node).alias("name"))
+    nearby = ends.join(degrees.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min(first("other")).alias("rival"))
+    chosen = degrees.where(F.col("degree") <= MOST_WAYS).join(nearby, "node").where(first("node") < F.col("rival"))
+    return chosen.select("node").join(kept, "node", "left_anti")
+
+
+def contracted(ways: DataFrame, kept: DataFrame, least_share: float = 0.15) -> tuple[DataFrame, list[DataFrame]]:
+    """A smaller graph with the same least costs between the nodes that remain, and what leads back to the others.
+
+    ``ways`` are (src, dst, weight, hop), ``kept(node)`` stay. A round takes away a set of
+    nodes of few ways, no two of them neighbours, and joins what led into each with what led
+    out. Nodes with more than :data:`MOST_WAYS` ways stay, so no node adds more than its
+    square. Rounds end when one takes away less than ``least_share`` of the nodes. The list
+    holds the ways into the nodes that each round took.
+    """
+    kept = kept.select("node").distinct()
+    taken: list[DataFrame] = []
+    ways = _settled(_least(ways), "ways")
+    nodes = ways.select(F.explode(F.array("src", "dst")).alias("node")).distinct().count()
+    while True:
+        chosen = _settled(_independent(ways, kept, len(taken)), "chosen")
+        size = chosen.count()
+        if size == 0 or size < least_share * nodes:
+            return ways, taken
+        nodes -= size
+        gone = F.broadcast(chosen) if size <= BROADCAST_NODES else chosen
+        leaves, enters = F.col("src") == F.col("node"), F.col("dst") == F.col("node")
+        into = ways.join(gone, enters, "left_semi")
+        out = ways.join(gone, leaves, "left_semi").select(F.col("src").alias("via"), F.col("dst").alias("end"), F.col("weight").alias("w"), F.col("hop").alias("h"))
+        through = into.join(out, F.col("dst") == F.col("via")).select("src", F.col("end").alias("dst"), (F.col("weight") + F.col("w")).alias("weight"), (F.col("hop") + F.col("h")).alias("hop"))
+        rest = ways.join(gone, leaves, "left_anti").join(gone, enters, "left_anti")
+        taken.append(into)
+        ways = _settled(_least(rest.unionByName(through)), "ways")
 
 
 def shortest_paths(
-    edges: DataFrame, sources: DataFrame, steps_per_round: int = 8, max_rounds: int | None = None
+    edges: DataFrame, sources: DataFrame, steps_per_round: int = 8, max_rounds: int | None = None, contract: bool | None = None
 ) -> DataFrame:
     """Lowest cost from the nearest source to every node that can be reached.
 
@@ -84,34 +148,68 @@ def shortest_paths(
     Result: node, cost, hops, where hops is the least number of edges at that cost.
     Nodes out of reach are absent.
 
-    Edges are dealt once by source, those of each source over :data:`PARTS` partitions,
-    so that a hub is no single task. A round sends only the nodes improved by the last
-    one over up to ``steps_per_round`` of their edges, keeps the best offer per target,
-    and drops offers that a known cost beats. What remains is written to the scratch
-    folder and is the next frontier: a round writes its improvements and never the whole
-    state again, and a lost executor's part is read from there. ``max_rounds`` is a
-    guard that raises when paths are longer than expected; it never shortens a result.
+    Where sums of weights are exact, the graph is first contracted (:func:`contracted`):
+    paths that would take hundreds of steps take a few dozen over what remains, and one
+    join per round leads back to the nodes taken away. Elsewhere regrouped sums would
+    differ in their last digits, and all nodes are reached step by step.
+
+    ``max_rounds`` is a guard that raises when paths are longer than expected; it never
+    shortens a result. As it is about paths over the edges themselves, nothing is contracted
+    where it is given, unless ``contract`` is true: then it is about what remains.
     """
-    require_weights(edges)
+    exact = require_weights(edges)
+    contract = max_rounds is None if contract is None else contract
+    ways = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(1).alias("hop"))
+    ways, taken = contracted(ways, sources) if contract and exact else (ways, [])
+    found = _relaxed(ways, sources, steps_per_round, max_rounds)
     spark = edges.sparkSession
-    part = F.pmod(F.hash("dst"), F.lit(PARTS)).alias("part")
-    ways = edges.select("src", part, "dst", F.col("weight").cast("double").alias("weight"), F.lit(1).alias("hop"))
+    log = scratch_table_path(spark, "paths-back")
+    read = spark.read.schema(found.schema)
+    found.write.parquet(f"{log}/round=0")
+    for k, into in enumerate(reversed(taken)):
+        known = read.parquet(*[f"{log}/round={i}" for i in range(k + 1)])
+        offers = into.join(known, F.col("src") == F.col("node")).select(
+            F.col("dst").alias("node"), (F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + F.col("hop")).alias("hops")
+        )
+        # Nodes taken in one round are no neighbours, so all that leads into them is known by now.
+        _best(offers).write.parquet(f"{log}/round={k + 1}")
+    return read.parquet(*[f"{log}/round={i}" for i in range(len(taken) + 1)])
+
+
+def _relaxed(ways: DataFrame, sources: DataFrame, steps_per_round: int, max_rounds: int | None) -> DataFrame:
+    """(node, cost, hops) of all nodes that can be reached, in rounds of steps from the nodes just improved.
+
+    Ways are dealt once by source; where one has more than :data:`HUB_WAYS` of them, those
+    of each source over several partitions, so that a hub is no single task. A round sends
+    only the nodes improved by the last one over up to ``steps_per_round`` of their ways,
+    fewer while there are many, keeps the best offer per target, and drops offers that a
+    known cost beats. What remains is written to the scratch folder and is the next
+    frontier: a round writes its improvements and never the whole state again, and a lost
+    executor's part is read from there.
+    """
+    spark = ways.sparkSession
+    most = ways.groupBy("src").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    parts = -(-most // HUB_WAYS) or 1
+    ways = ways.select("src", F.pmod(F.hash("dst"), F.lit(parts)).alias("part"), "dst", "weight", "hop")
     # A step to itself keeps a node's offer, so that several steps are one chain of joins.
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("src")).unionByName(sources.select(F.col("node").alias("src")))
+    ends = ways.select(F.explode(F.array("src", "dst")).alias("src")).unionByName(sources.select(F.col("node").alias("src")))
     stays = ends.distinct().select("src", F.lit(0).alias("part"), F.col("src").alias("dst"), F.lit(0.0).alias("weight"), F.lit(0).alias("hop"))
-    kept = ways.unionByName(stays).repartition("src", "part").persist()
+    key = ["src"] if parts == 1 else ["src", "part"]
+    # As many partitions as shuffles have: a step's result then meets the ways where it was made.
+    kept = ways.unionByName(stays).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *key).persist()
     log = scratch_table_path(spark, "paths")
     start = sources.select("node", F.lit(0.0).alias("cost"), F.lit(0).alias("hops")).where("node IS NOT NULL").distinct()
     read = spark.read.schema(start.schema)
     start.write.parquet(f"{log}/round=0")
     rounds, frontier = 0, read.parquet(f"{log}/round=0")
     try:
-        while not frontier.isEmpty():
+        while waiting := frontier.count():
             if max_rounds is not None and rounds >= max_rounds:
                 raise RuntimeError(f"no fixed point after {rounds} rounds")
             offers = frontier
-            for _ in range(steps_per_round):
-                offers = _best(_passed_on(offers, kept))
+            # Many steps save rounds while the frontier is small; a large one would pass on costs that soon improve.
+            for _ in range(steps_per_round if waiting <= SMALL_FRONTIER else max(1, steps_per_round // 4)):
+                offers = _best(_passed_on(offers, kept, parts))
             # Partitions of the log are rounds; its schema leaves their number out.
             known = read.parquet(*[f"{log}/round={i}" for i in range(rounds + 1)]).select(
                 F.col("node").alias("n"), F.col("cost").alias("c"), F.col("hops").alias("h")
@@ -125,11 +223,12 @@ def shortest_paths(
     return _best(read.parquet(*[f"{log}/round={i}" for i in range(rounds + 1)]))
 
 
-def _passed_on(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """What the frontier's nodes offer to the ends of their edges and to themselves."""
-    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
-    senders = frontier.select(F.col("node").alias("src"), "cost", "hops", parts)
-    return senders.join(edges, ["src", "part"]).select(
+def _passed_on(frontier: DataFrame, ways: DataFrame, parts: int) -> DataFrame:
+    """What the frontier's nodes offer to the ends of their ways and to themselves."""
+    senders = frontier.select(F.col("node").alias("src"), "cost", "hops")
+    if parts > 1:
+        senders = senders.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return senders.join(ways if parts > 1 else ways.drop("part"), ["src", "part"] if parts > 1 else "src").select(
         F.col("dst").alias("node"), (F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + F.col("hop")).alias("hops")
     )
 

@@ -142,3 +142,43 @@ def test_distances(spark):
     assert tuple(got) == (7.0, 5.0, 4.0)
     with pytest.raises(ValueError):
         grid_distance("r1", "c1", "r2", "c2", "other")
+
+
+def test_contraction_keeps_costs_and_hops(spark):
+    rng = random.Random(11)
+    rows = ["".join("#" if rng.random() < 0.2 and (r, c) != (0, 0) else "." for c in range(14)) for r in range(14)]
+    costs = [[rng.randint(0, 3) for _ in range(14)] for _ in range(14)]
+    edges = graph.grid_edges(grid(spark, rows, costs))
+    found = {tuple(r) for r in graph.shortest_paths(edges, point(spark, (0, 0))).collect()}
+    assert found == {tuple(r) for r in graph.shortest_paths(edges, point(spark, (0, 0)), contract=False).collect()}
+
+
+def test_contraction_takes_away_most_of_a_long_path(spark):
+    ways = spark.range(400).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit(2.0).alias("weight"), F.lit(1).alias("hop"))
+    left, taken = graph.contracted(ways, spark.createDataFrame([(0,), (400,)], "node bigint"))
+    assert left.count() < 40 and 5 <= len(taken) <= 14
+    total = left.where("src = 0 AND dst = 400").collect() or graph._relaxed(left, spark.createDataFrame([(0,)], "node bigint"), 8, None).where("node = 400").collect()
+    assert total[0][-2:] == (800.0, 400)
+    edges = ways.drop("hop")
+    # Without contraction 400 steps take 50 rounds of eight.
+    found = graph.shortest_paths(edges, spark.createDataFrame([(0,)], "node bigint"), max_rounds=8, contract=True)
+    assert {(r.node, r.cost, r.hops) for r in found.collect()} == {(i, 2.0 * i, i) for i in range(401)}
+
+
+def test_broken_weights_are_not_regrouped(spark):
+    edges = spark.createDataFrame([(i, i + 1, 0.1) for i in range(12)], "src bigint, dst bigint, weight double")
+    assert not graph.require_weights(edges) and graph.require_weights(edges.withColumn("weight", F.lit(3.0)))
+    found = graph.shortest_paths(edges, spark.createDataFrame([(0,)], "node bigint"))
+    want, total = {0: 0.0}, 0.0
+    for i in range(12):
+        total += 0.1
+        want[i + 1] = total
+    assert {r.node: r.cost for r in found.collect()} == want
+    assert graph.routes(edges, found, spark.createDataFrame([(12,)], "node bigint")).count() == 13
+
+
+def test_hubs_are_split(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HUB_WAYS", 50)
+    edges = spark.createDataFrame([(0, i, float(i)) for i in range(1, 301)] + [(i, 301, 0.5) for i in range(1, 301)], "src bigint, dst bigint, weight double")
+    found = {r.node: r.cost for r in graph.shortest_paths(edges, spark.createDataFrame([(0,)], "node bigint")).collect()}
+    assert found == {0: 0.0, **{i: float(i) for i in range(1, 301)}, 301: 1.5}
