@@ -21,16 +21,23 @@ PATTERNS = {
 }
 KINDS = [*PATTERNS, "entropy"]
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-# Character classes of candidates with the entropy, in bits per character, that a window must reach.
-HEX_BITS, OTHER_BITS = 3.2, 3.9
-# Candidates that are no secrets: without digits, only digits, runs of one separator, UUIDs, spelled-out placeholders.
+# A candidate is worth sliding over if it has a digit or letters of both cases.
+WORTH = r"[0-9]|[A-Z].*[a-z]|[a-z].*[A-Z]"
+# Signs of candidates by kind, in the order of their codes. Fixed values.
+SIGNS = {"digit": "0123456789", "hex_lower": "abcdef", "lower": "ghijklmnopqrstuvwxyz", "hex_upper": "ABCDEF", "upper": "GHIJKLMNOPQRSTUVWXYZ", "other": "+/_=-"}
+ALPHABET = "".join(SIGNS.values())
+# Bits by which a window may stay below the entropy expected of random signs of its class.
+SLACK = 0.15
+# Parts that are no secrets, looked for up to a window's width around them: only digits,
+# runs of one separator, UUIDs, spelled-out placeholders.
 ALLOWED = (
-    r"^[^0-9]*$",
     r"^[0-9]+$",
     r"^[-_=+/]+$",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"(?i)example|placeholder|changeme|dummy|sample",
 )
+# Counts of signs share longs, ten of six bits each; counts of kinds share one, of eight bits.
+_PER_LONG, _BITS, _KIND_BITS = 10, 6, 8
 
 
 def _matches(text: Column, kind: str) -> tuple[Column, Column]:
@@ -48,42 +55,105 @@ def _spans(found: Column, pieces: Column) -> Column:
     return F.zip_with(starts, found, lambda s, m: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("match")))
 
 
-def _count(window: Column, symbol: Column) -> Column:
-    return F.length(window) - F.length(F.replace(window, symbol, F.lit("")))
+def expected_entropy(symbols: int, width: int) -> float:
+    """Bits a character of ``width`` random signs out of ``symbols`` have on average."""
+    share = 1 / symbols
+    mean = sum(math.comb(width, k) * share**k * (1 - share) ** (width - k) * k * math.log2(k) for k in range(1, width + 1))
+    return math.log2(width) - symbols * mean / width
 
 
-def _weight(count: Column) -> Column:
-    return F.when(count > 1, count * F.log2(count)).otherwise(F.lit(0.0))
+def _shift(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftright", value, bits)
 
 
-def high_entropy_part(text: Column, width: int, needed: Column) -> Column:
-    """(first, last) window start with entropy of at least ``needed`` bits, or nulls.
+def _coded(signs: Column) -> Column:
+    """Per sign the long and the bits its count is held in, and the bits of its kind's count."""
+    kind_ends = [sum(len(v) for v in list(SIGNS.values())[: i + 1]) for i in range(len(SIGNS))]
 
-    The window slides by one character. Its sum of ``c * log2(c)`` is kept and changed
-    only by the counts of the character that leaves and of the one that enters.
+    def kind(code: Column) -> Column:
+        chosen = F.lit(1 << _KIND_BITS * (len(SIGNS) - 1))
+        for i in reversed(range(len(SIGNS) - 1)):
+            chosen = F.when(code < kind_ends[i], F.lit(1 << _KIND_BITS * i)).otherwise(chosen)
+        return chosen.cast("bigint")
+
+    codes = F.transform(signs, lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    return F.transform(
+        codes,
+        lambda c: F.struct(
+            F.floor(c / _PER_LONG).cast("int").alias("long"), (c % _PER_LONG * _BITS).cast("int").alias("shift"),
+            F.call_function("shiftleft", F.lit(1).cast("bigint"), (c % _PER_LONG * _BITS).cast("int")).alias("bit"), kind(c).alias("kind"),
+        ),
+    )
+
+
+def _is_secret(total: Column, kinds: Column, width: int) -> Column:
+    """Whether a window with this sum of ``c * log2(c)`` is as mixed as random signs of its class.
+
+    Digits and letters of one case: as 16 signs if all are hexadecimal, else as 32. With
+    letters of both cases, or with further signs, as 64.
+    """
+    number = dict(zip(SIGNS, [_shift(kinds, F.lit(_KIND_BITS * i)).bitwiseAND((1 << _KIND_BITS) - 1) for i in range(len(SIGNS))]))
+    limit = {m: (math.log2(width) - expected_entropy(m, width) + SLACK) * width + 1e-9 for m in (16, 32, 64)}
+    lower, upper = number["hex_lower"] + number["lower"], number["hex_upper"] + number["upper"]
+    both = (F.least(lower, upper) >= 3) & ((number["digit"] >= 1) | (F.least(lower, upper) >= 5))
+    one = (number["digit"] >= 2) & (lower + upper >= 2)
+    plain = (F.least(lower, upper) == 0) & (number["other"] == 0)
+    hexadecimal = number["lower"] + number["upper"] == 0
+    return (total <= max(limit.values())) & (both | one) & (total <= F.when(plain & hexadecimal, limit[16]).when(plain, limit[32]).otherwise(limit[64]))
+
+
+def high_entropy_parts(text: Column, width: int) -> Column:
+    """Array of (from, to): the parts of ``text`` that windows of ``width`` signs with high entropy cover.
+
+    The window slides by one sign. The counts of its signs and kinds, and the sum of
+    ``c * log2(c)`` over signs, change only by the sign that leaves and the one that enters;
+    time is linear in the text.
     """
-    # Entropy is log2(width) - sum / width, so the sum has to stay below a limit.
-    limit = (F.lit(math.log2(width)) - needed) * width + 1e-9
-    head = F.substring(text, 1, width)
-    symbols = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.substring(head, i, F.lit(1))))
-    total = F.aggregate(symbols, F.lit(0.0), lambda acc, s: acc + _weight(_count(head, s)))
-    none = F.lit(None).cast("int")
-    hit = lambda s, at: F.when(s <= limit, at)
-    start = F.struct(total.alias("sum"), hit(total, F.lit(0)).cast("int").alias("first"), hit(total, F.lit(0)).cast("int").alias("last"))
+    # What one more of a sign adds to the sum, by the count before.
+    weight = [c * math.log2(c) if c else 0.0 for c in range(width + 1)]
+    gain = F.array(*[F.lit(b - a) for a, b in zip(weight, weight[1:])])
+    none = F.struct(F.lit(0).alias("long"), F.lit(0).alias("shift"), F.lit(0).cast("bigint").alias("bit"), F.lit(0).cast("bigint").alias("kind"))
+    coded = _coded(F.filter(F.split(text, ""), lambda c: c != ""))
+    # One more step than signs, in which the last window is judged.
+    moves = F.zip_with(F.concat(F.array_repeat(none, width), coded), F.concat(coded, F.array(none)), lambda o, i: F.struct(o.alias("leaves"), i.alias("enters")))
+    moves = F.filter(moves, lambda m: m["enters"].isNotNull())
+    start = F.struct(
+        F.array_repeat(F.lit(0).cast("bigint"), -(-len(ALPHABET) // _PER_LONG)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).cast("bigint").alias("kinds"),
+        F.lit(0).alias("at"), F.lit(0).alias("from"), F.lit(-1).alias("to"), F.array().cast("array<struct<from:int,to:int>>").alias("done"),
+    )
+
+    def step(acc: Column, move: Column) -> Column:
+        leaves, enters, at = move["leaves"], move["enters"], acc["at"]
+        hit = (at >= width) & _is_secret(acc["sum"], acc["kinds"], width)
+        opens = (at - width > acc["to"]) & hit
+        count = lambda sign: _shift(F.element_at(acc["counts"], sign["long"] + 1), sign["shift"]).bitwiseAND((1 << _BITS) - 1).cast("int")
+        same = (leaves["long"] == enters["long"]) & (leaves["shift"] == enters["shift"]) & (leaves["bit"] > 0)
+        less = F.when(leaves["bit"] > 0, F.element_at(gain, count(leaves))).otherwise(0.0)
+        more = F.when(enters["bit"] > 0, F.element_at(gain, count(enters) + 1)).otherwise(0.0)
+        counts = F.transform(acc["counts"], lambda c, i: c - F.when(i == leaves["long"], leaves["bit"]).otherwise(0) + F.when(i == enters["long"], enters["bit"]).otherwise(0))
+        return F.struct(
+            F.when(same, acc["counts"]).otherwise(counts).alias("counts"), F.when(same, acc["sum"]).otherwise(acc["sum"] - less + more).alias("sum"),
+            (acc["kinds"] - leaves["kind"] + enters["kind"]).alias("kinds"), (at + 1).alias("at"),
+            F.when(opens, at - width).otherwise(acc["from"]).alias("from"), F.when(hit, at).otherwise(acc["to"]).alias("to"),
+            F.when(opens & (acc["to"] >= 0), F.concat(acc["done"], F.array(F.struct(acc["from"].alias("from"), acc["to"].alias("to"))))).otherwise(acc["done"]).alias("done"),
+        )
 
-    def step(acc: Column, i: Column) -> Column:
-        kept, leaves, enters = F.substring(text, i + 1, F.lit(width - 1)), F.substring(text, i, F.lit(1)), F.substring(text, i + width, F.lit(1))
-        out, into = _count(kept, leaves), _count(kept, enters)
-        s = acc["sum"] - _weight(out + 1) + _weight(out) - _weight(into) + _weight(into + 1)
-        return F.struct(s.alias("sum"), F.coalesce(acc["first"], hit(s, i)).cast("int").alias("first"), F.coalesce(hit(s, i), acc["last"]).cast("int").alias("last"))
+    last = lambda acc: F.when(acc["to"] >= 0, F.concat(acc["done"], F.array(F.struct(acc["from"].alias("from"), acc["to"].alias("to"))))).otherwise(acc["done"])
+    return F.aggregate(moves, start, step, last)
 
-    slides = F.when(F.length(text) > width, F.sequence(F.lit(1), F.length(text) - width)).otherwise(F.array().cast("array<int>"))
-    part = F.aggregate(slides, start, step)
-    return F.when(F.length(text) >= width, F.struct(part["first"].alias("first"), part["last"].alias("last"))).otherwise(F.struct(none.alias("first"), none.alias("last")))
 
+def _without(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of ``spans``, which are sorted by start."""
+    start = F.struct(F.array().cast("array<struct<sign:boolean,n:int>>").alias("runs"), F.lit(0).alias("at"))
 
-def _needed(text: Column) -> Column:
-    return F.when(text.rlike(r"^[0-9a-fA-F]+$"), F.lit(HEX_BITS)).otherwise(F.lit(OTHER_BITS))
+    def step(acc: Column, s: Column) -> Column:
+        runs = F.array(F.struct(F.lit(False).alias("sign"), F.greatest(s["start"].cast("int") - acc["at"], F.lit(0)).alias("n")), F.struct(F.lit(True).alias("sign"), F.greatest(s["end"].cast("int") - F.greatest(acc["at"], s["start"].cast("int")), F.lit(0)).alias("n")))
+        return F.struct(F.concat(acc["runs"], runs).alias("runs"), F.greatest(acc["at"], s["end"].cast("int")).alias("at"))
+
+    runs = F.aggregate(spans, start, step, lambda acc: acc["runs"])
+    hidden = F.flatten(F.transform(runs, lambda r: F.array_repeat(r["sign"], r["n"])))
+    chars = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.array_join(F.zip_with(chars, hidden, lambda c, h: F.when(h, F.lit(" ")).otherwise(c)), "")
 
 
 def find_secrets(docs: DataFrame, width: int = 20, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
@@ -91,21 +161,19 @@ def find_secrets(docs: DataFrame, width: int = 20, allowed: tuple[str, ...] = AL
 
     Base spans follow :data:`PATTERNS`, leftmost and non-overlapping per kind; ``assign``
     needs 12 characters in its value, ``access`` 18 and ``hex`` 16. ``entropy`` spans are
-    the parts of candidate runs that high-entropy windows of ``width`` characters cover;
-    candidates that ``allowed`` matches, or that touch a base span, add none.
+    the parts of candidate runs that windows of ``width`` characters cover whose entropy is
+    near that of random signs of their class (see :func:`high_entropy_parts`). Base spans
+    are cut out of runs before; what is left of a run is searched if still as long as a
+    window. A part that ``allowed`` matches, with up to ``width`` characters of the run on
+    each side, adds none. Letters of one case without digits are words to this scan.
 
     One row per input row. A null text counts as empty and has no spans; ``doc_id`` may
-    be null or repeat. Further columns of ``docs`` are left out.
+    be null or repeat; time is linear in one long run. Further columns of ``docs`` are left out.
     """
+    if not 2 <= width < 1 << _BITS:
+        raise ValueError(f"width must be between 2 and {(1 << _BITS) - 1}")
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    hints = {"assign": r"(?i)password|passwd|secret|token|api_?key", "access": "AKIA", "hex": r"[0-9a-f]{16}", "entropy": CANDIDATE}
-    empty = F.array().cast("array<string>")
-    for kind in KINDS:
-        there = F.col("t").contains("AKIA") if kind == "access" else F.col("t").rlike(hints[kind])
-        found, pieces = _matches(F.col("t"), kind)
-        rows = rows.withColumn(f"has_{kind}", there)
-        rows = rows.withColumn(f"found_{kind}", F.when(F.col(f"has_{kind}"), found).otherwise(empty)).withColumn(f"pieces_{kind}", F.when(F.col(f"has_{kind}"), pieces).otherwise(empty))
-    rows = rows.select("doc_id", *[_spans(F.col(f"found_{k}"), F.col(f"pieces_{k}")).alias(k) for k in KINDS])
+    hints = {"assign": r"(?i)password|passwd|secret|token|api_?key", "access": "AKIA", "hex": r"[0-9a-f]{16}"}
     value = lambda m: F.regexp_extract(m, PATTERNS["assign"], 2)
     keep = {
         "assign": lambda s: F.length(value(s["match"])) >= 12,
@@ -113,27 +181,40 @@ def find_secrets(docs: DataFrame, width: int = 20, allowed: tuple[str, ...] = AL
         "hex": lambda s: F.length(s["match"]) >= 16,
     }
     typed = lambda kind, rank: lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), s["end"].alias("end"), s["match"].alias("match"))
+
+    def search(rows: DataFrame, kind: str, text: str, there: Column) -> DataFrame:
+        found, pieces = _matches(F.col(text), kind)
+        empty = F.array().cast("array<string>")
+        rows = rows.withColumn("has", there)
+        rows = rows.withColumn("found", F.when(F.col("has"), found).otherwise(empty)).withColumn("pieces", F.when(F.col("has"), pieces).otherwise(empty))
+        return rows.withColumn(kind, _spans(F.col("found"), F.col("pieces"))).drop("has", "found", "pieces")
+
     for rank, (kind, test) in enumerate(keep.items()):
+        rows = search(rows, kind, "t", F.col("t").contains("AKIA") if kind == "access" else F.col("t").rlike(hints[kind]))
         rows = rows.withColumn(kind, F.transform(F.filter(F.col(kind), test), typed(kind, rank)))
-    rows = rows.withColumn("base", F.concat(*[F.col(k) for k in PATTERNS]))
-    suspicious = lambda s: ~F.exists(F.array(*[s["match"].rlike(p) for p in allowed]), lambda x: x) if allowed else F.lit(True)
-    free = lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    rows = rows.withColumn("entropy", F.filter(F.filter(F.col("entropy"), suspicious), free))
-
-    def part(s: Column) -> Column:
-        p = high_entropy_part(s["match"], width, _needed(s["match"]))
-        return F.struct(p["first"].alias("first"), p["last"].alias("last"), s["start"].alias("start"), s["match"].alias("match"))
-
-    parts = F.filter(F.transform(F.col("entropy"), part), lambda p: p["first"].isNotNull())
-    added = F.transform(
-        parts,
-        lambda p: F.struct(
-            (p["start"] + p["first"]).alias("start"), F.lit(3).alias("rank"), F.lit("entropy").alias("kind"),
-            (p["start"] + p["last"] + width).alias("end"), F.substring(p["match"], p["first"] + 1, p["last"] - p["first"] + width).alias("match"),
-        ),
-    )
-    rows = rows.select("doc_id", F.array_sort(F.concat(F.col("base"), added)).alias("spans"))
-    return rows.select("doc_id", F.transform(F.col("spans"), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"))).alias("spans"))
+    rows = rows.withColumn("base", F.array_sort(F.concat(*[F.col(k) for k in PATTERNS])))
+    rows = rows.withColumn("left", F.when((F.size("base") > 0) & F.col("t").rlike(CANDIDATE), _without(F.col("t"), F.col("base"))).otherwise(F.col("t")))
+    rows = search(rows, "entropy", "left", F.col("left").rlike(CANDIDATE)).select("doc_id", "base", "entropy")
+    runs = F.filter("entropy", lambda s: s["match"].rlike(WORTH))
+    parts = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), s["match"].alias("match"), high_entropy_parts(s["match"], width).alias("parts")))
+
+    def shown(s: Column) -> Column:
+        cut = lambda at, to: F.substring(s["match"], at + 1, to - at)
+        held = F.transform(
+            s["parts"],
+            lambda p: F.struct(
+                (s["start"] + p["from"]).alias("start"), F.lit(3).alias("rank"), F.lit("entropy").alias("kind"), (s["start"] + p["to"]).alias("end"),
+                cut(p["from"], p["to"]).alias("match"), cut(F.greatest(p["from"] - width, F.lit(0)), p["to"] + width).alias("near"),
+            ),
+        )
+        harmless = lambda p: F.exists(F.array(*[p["near"].rlike(a) for a in allowed]), lambda x: x) if allowed else F.lit(False)
+        return F.transform(F.filter(held, lambda p: ~harmless(p)), lambda p: F.struct(*[p[c].alias(c) for c in ("start", "rank", "kind", "end", "match")]))
+
+    rows = rows.withColumn("parts", parts).withColumn("added", F.flatten(F.transform("parts", shown)))
+    rows = rows.select("doc_id", F.array_sort(F.concat("base", "added")).alias("spans"))
+    spans = F.transform("spans", lambda s: F.struct(*[s[c].alias(c) for c in ("kind", "start", "end", "match")]))
+    # One array per row, as a generator: a filter on ``spans`` is not pushed into what finds them, which would repeat it many times.
+    return rows.select("doc_id", F.explode(F.array(spans)).alias("spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -2,13 +2,17 @@
 
 import hashlib
 import math
+import random
 import re
+import string
+import time
 from collections import Counter
 
 from fixtures_llm import documents, odd_rows
 
 from plumbline.llm import catalog, secret_scan
 
+LETTERS = string.ascii_letters
 FOLDER = "/root/testdata/sf0.01"
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 TESTS = {
@@ -22,17 +26,33 @@ def entropy(window):
     return -sum(c / len(window) * math.log2(c / len(window)) for c in Counter(window).values())
 
 
+def suspicious(window):
+    lower, upper, digits = (sum(map(f, window)) for f in (str.islower, str.isupper, str.isdigit))
+    if not (min(lower, upper) >= 3 and (digits or min(lower, upper) >= 5) or digits >= 2 and lower + upper >= 2):
+        return False
+    plain = min(lower, upper) == 0 and window.isalnum()
+    symbols = 64 if not plain else 16 if re.fullmatch("[0-9a-fA-F]+", window) else 32
+    return entropy(window) >= secret_scan.expected_entropy(symbols, 20) - secret_scan.SLACK - 1e-9
+
+
 def brute(text):
     text = text or ""
     base = [(m.start(), r, k, m.end()) for r, (k, (p, ok)) in enumerate(TESTS.items()) for m in p.finditer(text) if ok(m)]
+    left = list(text)
+    for s, _, _, e in base:
+        left[s:e] = " " * (e - s)
     added = []
-    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
-        if any(re.search(p, m[0]) for p in secret_scan.ALLOWED) or any(s < m.end() and m.start() < e for s, _, _, e in base):
-            continue
-        bits = secret_scan.HEX_BITS if re.fullmatch("[0-9a-fA-F]+", m[0]) else secret_scan.OTHER_BITS
-        hits = [i for i in range(len(m[0]) - 19) if entropy(m[0][i : i + 20]) >= bits - 1e-9]
-        if hits:
-            added.append((m.start() + hits[0], 3, "entropy", m.start() + hits[-1] + 20))
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", "".join(left)):
+        parts = []
+        for i in range(len(m[0]) - 19):
+            if suspicious(m[0][i : i + 20]):
+                if parts and i <= parts[-1][1]:
+                    parts[-1][1] = i + 20
+                else:
+                    parts.append([i, i + 20])
+        for s, e in parts:
+            if not any(re.search(p, m[0][max(0, s - 20) : e + 20]) for p in secret_scan.ALLOWED):
+                added.append((m.start() + s, 3, "entropy", m.start() + e))
     show = lambda spans: ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(spans))
     counts = [sum(x[2] == k for x in base) for k in TESTS]
     return (*counts, hashlib.sha256(show(base).encode()).hexdigest(), show(base + added))
@@ -65,3 +85,34 @@ def test_allow_list_keeps_base_spans(spark):
     frame = documents(spark, [(1, f"{key} token={key}")])
     spans = lambda allowed: [s["kind"] for s in secret_scan.find_secrets(frame, allowed=allowed).first()["spans"]]
     assert spans(()) == ["entropy", "assign"] and spans((f"^{key}$",)) == ["assign"]
+
+
+RANDOM = {"hex": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "one case": "abcdefghijklmnopqrstuvwxyz0123456789", "letters": LETTERS, "base64": LETTERS + "0123456789+/"}
+
+
+def test_random_secrets_of_each_class_are_found(spark):
+    draw = random.Random(7)
+    rows = [(f"{name}:{i}", name, "see key-" + "".join(draw.choices(signs, k=32)) + " there") for name, signs in RANDOM.items() for i in range(300)]
+    found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id string, name string, text string"))
+    hit = Counter(r["doc_id"].split(":")[0] for r in found.where("size(spans) > 0").collect())
+    assert all(hit[name] >= 270 for name in RANDOM), hit
+
+
+def test_words_and_names_are_left_alone(spark):
+    rows = ["internationalization-of-the-state-of-the-art", "AbstractSingletonProxyFactoryBean", "some/path/to/another/page/index", "2024-01-15_2024-02-15_2024-03-15", "x" * 400, "https://host.example.net/docs/getting_started/installation"]
+    assert secret_scan.find_secrets(documents(spark, list(enumerate(rows)))).where("size(spans) > 0").count() == 0
+
+
+def test_base_spans_are_cut_out_and_placeholders_count_nearby_only(spark):
+    key = "kJ8s0Qz7LmP2xV5bN9tR4wY6"
+    rows = ["0123456789abcdef/" + key, "sample/" + "-" * 60 + key, "sample/" + key]
+    spans = [[s["kind"] for s in r["spans"]] for r in secret_scan.find_secrets(documents(spark, list(enumerate(rows)))).orderBy("doc_id").collect()]
+    assert spans == [["hex", "entropy"], ["entropy"], []]
+
+
+def test_one_run_of_a_million_characters(spark):
+    draw = random.Random(3)
+    run = "".join(draw.choices(RANDOM["base64"], k=1_000_000))
+    began = time.monotonic()
+    spans = secret_scan.find_secrets(documents(spark, [(1, run)])).first()["spans"]
+    assert time.monotonic() - began < 300 and sum(s["end"] - s["start"] for s in spans if s["kind"] == "entropy") > 900_000
