@@ -94,3 +94,15 @@ def test_forms_with_few_surrogates_of_their_own(spark):
     assert len(set(new[:-1])) == len(names) and not set(new) & set(texts)
     first, second = re.fullmatch(r"write to (\S+) or (\S+)", new[-1]).groups()
     assert first.lower() == second.lower() and re.fullmatch(pii.KINDS["email"], first)
+
+
+def test_addresses_side_by_side(spark):
+    texts = ["x@y.com-z@w.org", "1.2.3.4a@b.com", "--ab@cd.org,ef@cd.org"]
+    for old, new in zip(texts, replaced(spark, texts)):
+        assert shape(old) == shape(new) and not set(re.findall(r"[\w.-]+@\w+", old)) & set(re.findall(r"[\w.-]+@\w+", new))
+
+
+def test_very_long_runs(spark):
+    texts = ["a" * 1_000_000, "a.1-" * 250_000 + " ab@cd.org", "7" * 1_000_000]
+    new = replaced(spark, texts)
+    assert new[0] == texts[0] and new[2] == texts[2] and "ab@cd.org" not in new[1] and len(new[1]) == len(texts[1])
