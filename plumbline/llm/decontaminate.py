@@ -31,8 +31,12 @@ BLOCK = 4  # entries of a posting block
 FREQUENT = 0.1  # words in at least this share of entries enter bounds by their total
 THRESHOLD = 0.6  # of an entry's own score
 SHINGLE, OVERLAP = 5, 0.8
+# Parts with fewer shingles are held against the text by words in order: one changed word costs five shingles.
+FEW_SHINGLES = 25
+QUESTION_WORDS = 16  # a question found without its answer counts from this length on
 ANSWER_WORDS = 8  # an item without a sentence end keeps its last words as answer
-ITEMS_PER_INDEX = 20_000  # larger benchmarks are searched with one index after the other
+# Larger benchmarks are searched with one index after the other.
+ITEMS_PER_INDEX, BYTES_PER_INDEX = 20_000, 16 << 20
 
 _word = re.compile(r"[^\W_]+")
 
@@ -51,18 +55,75 @@ def question_and_answer(text: str | None) -> tuple[list[str], list[str]]:
     return words[:cut], words[cut:]
 
 
+def entries_of(text: str | None) -> list[list[str]]:
+    """The segments that stand for an item in the index.
+
+    They are cut from its question where that is long enough to count alone, and from the
+    whole item where it is not or where the answer is a large part.
+    """
+    question, answer = question_and_answer(text)
+    alone = len(question) >= QUESTION_WORDS
+    parts = [question] if alone else []
+    if not alone or 2 * len(answer) > len(question):
+        parts.append(question + answer)
+    return [part[at : at + SEGMENT] for part in parts for at in range(0, len(part), SEGMENT)]
+
+
 def _shingles(words: list[str]) -> set[tuple[str, ...]]:
     size = min(SHINGLE, len(words))
     return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
 
 
+def _in_order(part: list[str], words: list[str]) -> int:
+    """Words of the longest common subsequence of ``part`` and ``words``, rows of bits in one number."""
+    masks: dict[str, int] = {}
+    for i, w in enumerate(part):
+        masks[w] = masks.get(w, 0) | 1 << i
+    full = (1 << len(part)) - 1
+    row = full
+    for w in words:
+        both = row & masks.get(w, 0)
+        if both:
+            row = ((row + both) | (row - both)) & full
+    return len(part) - row.bit_count()
+
+
 def contained(part: list[str], words: list[str]) -> float:
-    """Share of ``part``'s shingles that occur in ``words``; 1 for an empty part."""
+    """Share of ``part`` that occurs in ``words``; 1 for an empty part.
+
+    It is the share of ``part``'s shingles; where these are fewer than :data:`FEW_SHINGLES`
+    it is, if larger, the share of its words that a stretch of ``words`` not longer than
+    ``part`` by more than a quarter holds in the same order.
+    """
     need = _shingles(part)
     if not need:
         return 1.0
     size = len(next(iter(need)))
-    return len(need & {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}) / len(need)
+    shared = len(need & {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}) / len(need)
+    if len(need) >= FEW_SHINGLES or shared == 1.0:
+        return shared
+    # Stretches start where a word of the part does, so that a copy of it from any of its words on lies in one.
+    known, span = set(part), len(part) + max(1, len(part) // 4)
+    hits = [w in known for w in words]
+    inside = [0]
+    for hit in hits:
+        inside.append(inside[-1] + hit)
+    best = shared
+    for i in np.flatnonzero(hits):
+        if inside[min(i + span, len(words))] - inside[i] > best * len(part):
+            best = max(best, _in_order(part, words[i : i + span]) / len(part))
+    return best
+
+
+def overlaps(question: list[str], answer: list[str], words: list[str], overlap: float) -> tuple[bool, float, float]:
+    """Whether ``words`` hold the item, and the shares of its question and answer they hold.
+
+    They do if they hold ``overlap`` of the whole item, of question and answer each, or of a
+    question of at least :data:`QUESTION_WORDS` words.
+    """
+    q, a = contained(question, words), contained(answer, words)
+    found = (q >= overlap and a >= overlap) or (len(question) >= QUESTION_WORDS and q >= overlap)
+    return found or contained(question + answer, words) >= overlap, q, a
 
 
 class Index:
@@ -74,9 +135,7 @@ class Index:
         self.entry_item: list[int] = []  # places in self.items
         vectors: list[dict[str, float]] = []
         for place, (_, text) in enumerate(items):
-            words = words_of(text)
-            for at in range(0, len(words), SEGMENT):
-                part = words[at : at + SEGMENT]
+            for part in entries_of(text):
                 counts: dict[str, int] = {}
                 for w in part:
                     counts[w] = counts.get(w, 0) + 1
@@ -185,8 +244,8 @@ class Index:
                 item, question, answer = self.items[self.entry_item[entry]]
                 reach = len(question) + len(answer)
                 near = words[text][max(0, at - reach) : at + 2 * STRIDE + reach]
-                q, a = contained(question, near), contained(answer, near)
-                if q >= overlap and a >= overlap:
+                found, q, a = overlaps(question, answer, near, overlap)
+                if found:
                     out[text].append((item, score, q, a))
         return [_best(found) for found in out]
 
@@ -224,42 +283,41 @@ def _best(found: list[tuple[int, float, float, float]]) -> list[tuple[int, float
     return [best[item] for item in sorted(best)]
 
 
-def build_indexes(items: DataFrame, items_per_index: int = ITEMS_PER_INDEX) -> list[Index]:
-    """Indexes over all items, of about ``items_per_index`` each, with statistics over all of them.
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(shard, word, n, length) of each segment; the empty word counts segments and their words."""
+    for batch in batches:
+        out = []
+        for shard, text in zip(batch["shard"], batch["text"]):
+            for part in entries_of(text):
+                out += [(shard, "", 1, len(part)), *((shard, w, 1, 0) for w in set(part))]
+        yield pd.DataFrame(out, columns=["shard", "word", "n", "length"])
 
-    ``items`` has ``item_id`` and ``text``; items with a null id or without a word are left out.
+
+def build_indexes(items: DataFrame, items_per_index: int = ITEMS_PER_INDEX, bytes_per_index: int = BYTES_PER_INDEX) -> Iterator[Index]:
+    """Indexes over all items, one after the other, with statistics over all of them.
+
+    An index has about ``items_per_index`` items and ``bytes_per_index`` of text at most, so
+    that the driver holds one of bounded size at a time. ``items`` has ``item_id`` and
+    ``text``; items with a null id or without a word are left out.
     """
     ship_package(items.sparkSession)
     held = settled(items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct(), "items")
-
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text in batch["text"]:
-                words = words_of(text)
-                for at in range(0, len(words), SEGMENT):
-                    part = words[at : at + SEGMENT]
-                    out += [("", 1, len(part)), *((w, 1, 0) for w in set(part))]
-            yield pd.DataFrame(out, columns=["word", "n", "length"])
-
-    statistics = held.mapInPandas(entries, "word string, n bigint, length bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("length").alias("length"))
-    statistics = settled(statistics, "item-words")
-    total = statistics.where("word = ''").first()
-    if total is None:
-        return []
-    shards = -(-held.count() // items_per_index)
-    held = held.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)))
-    indexes = []
+    size = held.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    shards = max(1, -(-size["items"] // items_per_index), -(-size["bytes"] // bytes_per_index))
+    held = held.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
+    counted = held.mapInPandas(_word_counts, "shard int, word string, n bigint, length bigint")
+    by_shard = settled(counted.groupBy("shard", "word").agg(F.sum("n").alias("n"), F.sum("length").alias("length")), "item-words")
+    total = by_shard.where("word = ''").agg(F.sum("n").alias("n"), F.sum("length").alias("length")).first()
+    if not total["n"]:
+        return
+    whole = by_shard.where("word != ''").groupBy("word").agg(F.sum("n").alias("n"))
+    # Each shard's words with their frequencies over the whole benchmark.
+    frequencies = settled(by_shard.where("word != ''").select("shard", "word").join(whole, "word"), "item-frequencies") if shards > 1 else whole.withColumn("shard", F.lit(0))
     for shard in range(shards):
-        rows = [(r["item_id"], r["text"]) for r in held.where(F.col("shard") == shard).collect()]
-        own = statistics
-        if shards > 1:
-            split = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}\p{N}]+"), 0))
-            own = statistics.join(held.where(F.col("shard") == shard).select(split.alias("word")).distinct(), "word", "left_semi")
-        frequencies = {r["word"]: r["n"] for r in own.where("word != ''").collect()}
+        rows = [(r["item_id"], r["text"]) for r in held.where(F.col("shard") == shard).select("item_id", "text").collect()]
         if rows:
-            indexes.append(Index(rows, frequencies, total["n"], total["length"] / total["n"]))
-    return indexes
+            own = {r["word"]: r["n"] for r in frequencies.where(F.col("shard") == shard).collect()}
+            yield Index(rows, own, total["n"], total["length"] / total["n"])
 
 
 LEAKS = "array<struct<item_id: bigint, score: double, question_overlap: double, answer_overlap: double>>"
@@ -277,19 +335,26 @@ def _search_udf(shared, threshold: float, overlap: float):
     return found
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def find_leaks(
+    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, keep: tuple[str, ...] = ("doc_id",), items_per_index: int = ITEMS_PER_INDEX
+) -> DataFrame:
     """Columns ``keep`` and ``leaks``, an array of (item_id, score, question_overlap, answer_overlap).
 
-    Every passage of every whole text is a query. An item counts for a text if a passage
-    scores at least ``threshold`` of the item's own score and the words around hold at least
-    ``overlap`` of the five-word shingles of its question and of its answer (the last
-    sentence). Words are runs of letters and digits in lower case. Null and empty texts have
-    no leaks; items that repeat an id count apart as texts and are reported by id. One row
-    per input row; columns of ``docs`` not in ``keep`` are left out.
+    Every passage of every whole text is a query. An item is a candidate for a text if a
+    passage scores at least ``threshold`` of the item's own score, and counts if the words
+    around hold at least ``overlap`` of the whole item, of its question and its answer (the
+    last sentence), or of its question alone where that is long (see :func:`overlaps`): the
+    two shares tell which. Words are runs of letters and digits in lower case. Null and
+    empty texts have no leaks; items that repeat an id count apart as texts and are reported
+    by id. One row per input row, so repeated ids stay rows of their own; columns of
+    ``docs`` not in ``keep`` are left out.
     """
+    spark = docs.sparkSession
     hidden = [F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)]
     rows = docs.select(*hidden, F.col("text").alias("t"), F.array().cast(LEAKS).alias("leaks"))
-    for index in build_indexes(items):
-        searched = _search_udf(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap)
+    for index in build_indexes(items, items_per_index):
+        shared = spark.sparkContext.broadcast(index)
+        del index  # The copy for the driver's own use; what is sent lies in a file.
+        searched = _search_udf(shared, threshold, overlap)
         rows = rows.withColumn("leaks", F.concat("leaks", searched("t")))
-    return rows.select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], "leaks")
+    return rows.select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], F.array_sort("leaks").alias("leaks"))
