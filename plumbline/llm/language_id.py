@@ -15,15 +15,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import settled
 from plumbline.session import ship_package
 
 UNKNOWN = "und"
-# Bounds of the model: labelled documents per language, languages, words and n-grams held.
-DOCS_PER_LANGUAGE, LANGUAGES, WORDS, GRAMS = 1500, 200, 40_000, 30_000
+# Bounds of the model, each per language: labelled documents read, words and n-grams held.
+DOCS_PER_LANGUAGE, WORDS, GRAMS = 3000, 20_000, 15_000
+# More languages than this raise: the model has one number per name and language.
+LANGUAGES = 500
 LONGEST = 5
 # A text counts as at most so many words when its score is formed, so that scores stay comparable.
 EVIDENCE = 20
@@ -135,34 +137,39 @@ class Model:
 
 
 def _table(counted: DataFrame, by_length: bool, languages: list[str], limit: int) -> dict[str, np.ndarray]:
-    """Smoothed log frequencies of the ``limit`` most frequent names; totals are by length if asked."""
+    """Smoothed log frequencies of the ``limit`` most frequent names of each language; totals are by length if asked."""
     counted = settled(counted.groupBy("lang", "name").agg(F.sum("n").alias("n")), "counts")
     size = F.length("name") if by_length else F.lit(0)
     sizes = {(r["lang"], r["size"]): float(r["n"]) for r in counted.groupBy("lang", size.alias("size")).agg(F.sum("n").alias("n")).collect()}
-    both = counted.groupBy("name").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("each"))
+    # Spark drops what is beyond the limit before the shuffle.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "name"))
+    chosen = counted.withColumn("place", place).where(F.col("place") <= limit).select("name").distinct()
     at = {lang: i for i, lang in enumerate(languages)}
     table: dict[str, np.ndarray] = {}
-    for row in both.orderBy(F.desc("all"), "name").limit(limit).select("name", F.inline("each")).collect():
-        table.setdefault(row["name"], np.zeros(len(languages)))[at[row["lang"]]] += row["n"]
+    for row in counted.join(chosen, "name").orderBy("name", "lang").collect():
+        table.setdefault(row["name"], np.zeros(len(languages), np.float32))[at[row["lang"]]] += row["n"]
     kind = len if by_length else lambda name: 0
     totals = {k: np.array([sizes.get((lang, k), 0.0) for lang in languages]) for k in {kind(name) for name in table}}
-    return {name: np.log((c + 0.5) / (totals[kind(name)] + 1000.0)) for name, c in table.items()}
+    return {name: np.log((c + 0.5) / (totals[kind(name)] + 1000.0)).astype(np.float32) for name, c in table.items()}
 
 
 def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, languages: int = LANGUAGES, words: int = WORDS, grams: int = GRAMS) -> Model:
     """Model from rows with ``doc_id``, ``text`` and ``lang``, all bounds being parameters.
 
-    Of each of the most frequent ``languages`` about ``docs_per_language`` labelled
-    documents are read, chosen by a hash of ``doc_id``. Held-out documents are never read.
+    Of each language about ``docs_per_language`` labelled documents are read, chosen by a
+    hash of ``doc_id``, and its ``words`` and ``grams`` most frequent ones kept. Held-out
+    documents are never read. Rows that repeat count each time; more labels than
+    ``languages`` raise ``ValueError`` rather than leaving some out.
     """
     ship_package(docs.sparkSession)
     usable = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    counts = usable.groupBy("lang").count().limit(languages + 1).collect()
+    if len(counts) > languages:
+        raise ValueError(f"more than {languages} languages are labelled: raise the bound or merge labels")
     names = sorted(row["lang"] for row in counts)
-    share = F.lit(0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], F.lit(math.ceil(1e6 * min(1.0, docs_per_language / row["count"])))).otherwise(share)
-    sample = usable.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_000)) < share).select("lang", "text")
+    share = {row["lang"]: math.ceil(1e6 * min(1.0, docs_per_language / row["count"])) for row in counts}
+    shares = F.create_map(*[F.lit(x) for pair in share.items() for x in pair]) if share else F.lit(None).cast("map<string,int>")
+    sample = usable.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_000)) < F.element_at(shares, F.col("lang"))).select("lang", "text")
 
     shape = "lang string, name string, n bigint"
     counted = settled(sample.mapInPandas(_count_words, shape).groupBy("lang", "name").agg(F.sum("n").alias("n")), "words")
@@ -174,7 +181,9 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
 
     Null texts and texts without a letter give ``und`` and score 0, as does a model that saw
     no labelled text. ``score`` is the share of the best language, from 0 to 1. Ties go to
-    the first language by name. Columns of ``docs`` not in ``keep`` are left out.
+    the first language by name. Every row is judged by itself, whole, so ids may be null
+    and rows may repeat; memory for a very long text is that of its distinct words.
+    Columns of ``docs`` not in ``keep`` are left out.
     """
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -1,5 +1,9 @@
 """Language and toxicity models: held-out accuracy, boundaries and the counterfactual penalty."""
 
+import math
+import re
+from collections import Counter
+
 import pytest
 from fixtures_llm import documents
 from pyspark.sql import functions as F
@@ -83,3 +87,52 @@ def test_texts_without_a_letter_are_undetermined(spark):
     docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(["½ ²", "①②", "Ⅷ", None, "", "12 !?"])], "doc_id bigint, text string, lang string, source string")
     model = language_id.learn(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     assert {r["lang_pred"] for r in language_id.identify(docs, model).collect()} == {"und"}
+
+
+def test_more_languages_than_the_bound_are_an_error(spark):
+    rows = documents(spark, [(i, f"w{i} abc", f"l{i % 9}", "s") for i in range(200)])
+    with pytest.raises(ValueError, match="languages"):
+        language_id.learn(rows, languages=8)
+    assert len(language_id.learn(rows, languages=9).languages) == 9
+
+
+def test_each_language_has_its_own_words(spark):
+    # A frequent language must not crowd out the words of a rare one.
+    rows = [(i, " ".join(f"aa{chr(98 + j)}{chr(98 + i % 20)}" for j in range(20)), "big", "s") for i in range(400)]
+    rows += [(1000 + i, "zuq zuq vox", "rare", "s") for i in range(30)]
+    model = language_id.learn(documents(spark, rows), words=2, grams=50)
+    assert {"zuq", "vox"} <= set(model.words) and len(model.words) == 4
+
+
+def test_language_against_direct_counting(spark):
+    """Scores by counting in plain Python over all rows of a small set, without bounds."""
+    rows = [(i, t, lang, "s") for i, (lang, t) in enumerate([("de", "das haus am see"), ("en", "the house at sea"), ("fr", "la maison au lac"), ("de", "der see"), ("en", "the sea")] * 8)]
+    train = documents(spark, rows)
+    kept = [(r["lang"], r["text"]) for r in train.where(~language_id.held_out(F.col("doc_id"))).collect()]
+    languages = sorted({lang for lang, _ in kept})
+    words = {lang: Counter(w for x, t in kept if x == lang for w in t.split()) for lang in languages}
+    grams = {(lang, n): Counter() for lang in languages for n in range(1, 6)}
+    for lang in languages:
+        for w, count in words[lang].items():
+            for n in range(1, 6):
+                for i in range(len(w) - n + 1):
+                    grams[lang, n][w[i : i + n]] += count
+
+    def scores(word):
+        if any(word in words[x] for x in languages):
+            return [math.log((words[x][word] + 0.5) / (sum(words[x].values()) + 1000)) for x in languages]
+        total, i, pieces = [0.0] * len(languages), 0, 0
+        while i < len(word):
+            n = next((n for n in range(min(5, len(word) - i), 0, -1) if any(word[i : i + n] in grams[x, n] for x in languages)), 0)
+            piece = [math.log((grams[x, n][word[i : i + n]] + 0.5) / (sum(grams[x, n].values()) + 1000)) if n else -12.0 for x in languages]
+            total, i, pieces = [a + b for a, b in zip(total, piece)], i + max(n, 1), pieces + 1
+        return [t / pieces for t in total]
+
+    texts = ["Das Haus", "the seahouse", "lac lac maisonette", "see sea", "zzz qqq", "au 12 at", "hausboot am lac"]
+    got = {r["doc_id"]: r for r in language_id.identify(documents(spark, list(enumerate(texts))), language_id.learn(train)).collect()}
+    for i, text in enumerate(texts):
+        each = [scores(w) for w in re.findall("[a-z]+", text.lower())]
+        mean = [round(sum(x) / len(each), 9) * min(len(each), language_id.EVIDENCE) for x in zip(*each)]
+        share = 1 / sum(math.exp(m - max(mean)) for m in mean)
+        assert abs(got[i]["score"] - share) < 1e-5
+        assert mean[languages.index(got[i]["lang_pred"])] >= max(mean) - 1e-5
