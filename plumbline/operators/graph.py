@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -223,6 +225,76 @@ def _relaxed(ways: DataFrame, sources: DataFrame, steps_per_round: int, max_roun
     return _best(read.parquet(*[f"{log}/round={i}" for i in range(rounds + 1)]))
 
 
+def require_potential(edges: DataFrame, potential: Callable[[Column], Column], target: int) -> None:
+    """Raise unless ``potential`` falls along no edge by more than its weight, is never null or below zero, and is zero at ``target``."""
+    near, far = potential(F.col("src")), potential(F.col("dst"))
+    slack = F.lit(1e-9) * (F.lit(1.0) + F.abs(near))
+    wrong = near.isNull() | far.isNull() | (near < 0) | (far < 0) | (near > F.col("weight") + far + slack)
+    count = edges.agg(F.count_if(wrong | ((F.col("dst") == target) & (far > slack)))).first()[0]
+    if count:
+        raise ValueError(f"the potential is wrong at {count} edges: it must not exceed what is left to the target")
+
+
+def shortest_path(
+    edges: DataFrame, source: int, target: int, potential: Callable[[Column], Column] | None = None, steps_per_round: int = 4
+) -> DataFrame:
+    """Lowest costs from ``source`` to the nodes that can lie on a cheapest path to ``target``.
+
+    Result as of :func:`shortest_paths`, for all nodes with cost plus potential up to the
+    target's cost; empty if the target is out of reach. :func:`routes` gives the path.
+
+    ``potential`` maps a node to a lower bound of what is left to the target, such as
+    :func:`plumbline.functions.distance.grid_distance`; a bound that could be wrong raises.
+    Without one all bounds are zero. A round takes steps only from nodes whose cost plus
+    potential is below a limit, which rises while the target is not settled. Once the target
+    has a cost, whatever cannot beat it is dropped. Waiting nodes and improvements are written
+    to the scratch folder each round.
+    """
+    require_weights(edges)
+    bound = potential or (lambda node: F.lit(0.0))
+    if potential:
+        require_potential(edges, potential, target)
+    spark = edges.sparkSession
+    ways = edges.select("src", F.lit(0).alias("part"), "dst", F.col("weight").cast("double").alias("weight"), F.lit(1).alias("hop"))
+    ways = ways.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "src").persist()
+    reach = ways.agg(F.avg("weight")).first()[0] or 1.0
+    start = spark.createDataFrame([(source, 0.0, 0)], "node bigint, cost double, hops int")
+    log, waiting = scratch_table_path(spark, "path"), scratch_table_path(spark, "waiting")
+    read = spark.read.schema(start.schema)
+    start.write.parquet(f"{log}/round=0")
+    start.write.parquet(f"{waiting}/round=0")
+    total = F.col("cost") + bound(F.col("node"))
+    rounds, best, limit = 0, None, float("-inf")
+    try:
+        while True:
+            known = read.parquet(*[f"{log}/round={i}" for i in range(rounds + 1)])
+            best = known.where(F.col("node") == target).agg(F.min("cost")).first()[0]
+            most = F.lit(float("inf") if best is None else best * (1 + 1e-9) + 1e-9)
+            left = read.parquet(f"{waiting}/round={rounds}").where(total <= most)
+            least = left.agg(F.min(total)).first()[0]
+            if least is None:
+                break
+            # The limit rises by a few steps' weight at least, twice as far each time, so rounds stay few.
+            limit = max(limit, least + reach * steps_per_round)
+            reach *= 2
+            inside = total <= F.least(most, F.lit(limit))
+            offers = left.where(inside)
+            for _ in range(steps_per_round):
+                # Nodes beyond the limit stay in the offers and take no step.
+                offers = _best(offers.unionByName(_passed_on(offers.where(inside), ways, 1)).where(total <= most))
+            beaten = (F.col("node") == F.col("n")) & (F.struct("c", "h") <= F.struct("cost", "hops"))
+            held = known.select(F.col("node").alias("n"), F.col("cost").alias("c"), F.col("hops").alias("h"))
+            rounds += 1
+            offers.join(held, beaten, "left_anti").write.parquet(f"{log}/round={rounds}")
+            fresh = read.parquet(f"{log}/round={rounds}")
+            _best(fresh.unionByName(left.where(~inside))).write.parquet(f"{waiting}/round={rounds}")
+    finally:
+        ways.unpersist()
+    if best is None:
+        return start.limit(0)
+    return _best(known).where(total <= most)
+
+
 def _passed_on(frontier: DataFrame, ways: DataFrame, parts: int) -> DataFrame:
     """What the frontier's nodes offer to the ends of their ways and to themselves."""
     senders = frontier.select(F.col("node").alias("src"), "cost", "hops")

@@ -70,6 +70,15 @@ def page_fields(html: Column | str, fields: Sequence[str], strip_head: bool = Tr
     return read.asNondeterministic()(F.col(html) if isinstance(html, str) else html)
 
 
+def dealt(pages: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``pages`` dealt evenly over so many tasks; as they are if none is named.
+
+    For tables in fewer row groups than there are cores: reading a page takes far longer
+    than sending it. Tables in many files need no such shuffle.
+    """
+    return pages if tasks is None else pages.repartition(tasks)
+
+
 def may_contain(html: Column | str, marker: str) -> Column:
     """False only for pages that cannot hold the (lower-case) marker."""
     return F.contains(F.lower(html), F.lit(marker))

@@ -31,6 +31,11 @@ def _over(source: Callable[[SparkSession, str], DataFrame], report: Callable[[Da
     return lambda spark, folder: report(source(spark, folder))
 
 
+def _dealt(source: Query) -> Query:
+    """Pages over as many tasks as a shuffle has: the given tables are one row group each."""
+    return lambda spark, folder: pages.dealt(source(spark, folder), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _exact(report: Callable[..., DataFrame], **options) -> Callable[[DataFrame], DataFrame]:
     return lambda df: report(df, digits=DIGITS, **options)
 
@@ -90,7 +95,7 @@ def _flat_records(records: DataFrame) -> DataFrame:
 def _dataset(spark: SparkSession, folder: str) -> DataFrame:
     """The page dataset written as JSON lines and read back."""
     path = scratch_table_path(spark, "pages")
-    crawl = _failing_catalog_pages(spark, folder)
+    crawl = _dealt(_failing_catalog_pages)(spark, folder)
     reports.build_dataset(crawl, path, CATALOG_SITE)
     schema = pages.parse_pages(crawl).schema
     return _flat_records(files.read_jsonl(spark, path, schema))
@@ -160,7 +165,7 @@ def _parquet_folder(spark: SparkSession, folder: str) -> DataFrame:
 def _site_dataset(spark: SparkSession, folder: str) -> DataFrame:
     """The crawled pages written as JSON lines and read back."""
     path = scratch_table_path(spark, "site")
-    crawl = bindings.pages(spark, folder)
+    crawl = _dealt(bindings.pages)(spark, folder)
     reports.build_dataset(crawl, path)
     return _flat_records(files.read_jsonl(spark, path, pages.parse_pages(crawl).schema))
 
@@ -272,6 +277,21 @@ def _route(spark: SparkSession, folder: str) -> DataFrame:
     return steps.select("step", graph.cell_row("node").alias("row"), graph.cell_col("node").alias("col"), "cost")
 
 
+def _directed_route(spark: SparkSession, folder: str) -> DataFrame:
+    """From the first open cell to the first one of the lower right quarter, led by the distance left."""
+    cells = bindings.cells(spark, folder)
+    edges, source, _ = _grid(spark, folder)
+    ends = cells.agg((F.max("row") / 2).alias("r"), (F.max("col") / 2).alias("c")).first()
+    quarter = cells.where(~F.col("wall") & (F.col("row") >= ends.r) & (F.col("col") >= ends.c))
+    first, goal = source.first()[0], quarter.select(F.min(graph.cell_id("row", "col"))).first()[0]
+    if goal is None:
+        return edges.select(F.lit(0).alias("step"), graph.cell_row("src").alias("row"), graph.cell_col("src").alias("col"), F.lit(0.0).alias("cost")).limit(0)
+    left = lambda node: grid_distance(graph.cell_row(node), graph.cell_col(node), F.lit(goal >> 32), F.lit(goal & 0xFFFFFFFF))
+    targets = spark.range(1).select(F.lit(goal).alias("node"))
+    steps = graph.routes(edges, graph.shortest_path(edges, first, goal, left), targets)
+    return steps.select("step", graph.cell_row("node").alias("row"), graph.cell_col("node").alias("col"), "cost")
+
+
 def _supply_paths(spark: SparkSession, folder: str) -> DataFrame:
     """Least cost over the graph of suppliers and parts that order lines connect, from the first supplier."""
     part_node = F.col("l_partkey") * 2
@@ -320,7 +340,7 @@ def _sampled_fit(trips: DataFrame) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     t, s, shown = bindings.trips, bindings.sales, bindings.sales_with_product
-    pages_of = bindings.catalog_pages
+    pages_of, crawl = _dealt(bindings.catalog_pages), _dealt(bindings.pages)
     return {
         # Trips
         "clean_trips": t,
@@ -368,9 +388,9 @@ def queries() -> dict[str, Query]:
         "zscore_normalize_array": _normalized_array(stats.zscore_normalize_array),
         "describe_numeric": _over(t, lambda df: _rounded(stats.describe_numeric(df, "trip_duration_mins"))),
         # Pages
-        "page_text": _over(bindings.pages, lambda df: pages.extract_text(df).select("url", "text")),
-        "page_metadata": _over(bindings.pages, _flat_metadata),
-        "page_stats": _over(bindings.pages, lambda df: pages.page_stats(pages.parse_pages(df))),
+        "page_text": _over(crawl, lambda df: pages.extract_text(df).select("url", "text")),
+        "page_metadata": _over(crawl, _flat_metadata),
+        "page_stats": _over(crawl, lambda df: pages.page_stats(pages.parse_pages(df))),
         "drop_failed_pages": _over(_failing_catalog_pages, lambda df: cleaning.drop_failed_pages(df).select("url", "error")),
         "page_images": _over(pages_of, lambda df: pages.image_table(df, CATALOG_SITE)),
         "page_images_as_written": _over(pages_of, lambda df: pages.image_table(df, resolve_relative=False)),
@@ -378,7 +398,7 @@ def queries() -> dict[str, Query]:
         "page_json_ld": _over(pages_of, _flat_json_ld),
         "page_next_link": _over(pages_of, lambda df: pages.extract_next_link(df).select("url", "next_link")),
         "multimodal_records": _over(pages_of, lambda df: _flat_records(pages.parse_pages(df, CATALOG_SITE))),
-        "multimodal_records_site": _over(bindings.pages, lambda df: _flat_records(pages.parse_pages(df))),
+        "multimodal_records_site": _over(crawl, lambda df: _flat_records(pages.parse_pages(df))),
         "document_words": _document_words,
         "build_dataset": _dataset,
         "build_dataset_site": _site_dataset,
@@ -402,5 +422,6 @@ def queries() -> dict[str, Query]:
         "grid_distance": _distances,
         "shortest_paths": _shortest,
         "shortest_path_route": _route,
+        "shortest_path_directed": _directed_route,
         "supply_graph_paths": _supply_paths,
     }

@@ -206,6 +206,19 @@ flat AS (SELECT vec_id, unnest(e) AS x, CAST(unnest(range(len(e))) AS INTEGER) A
 SELECT vec_id, position, {six("CASE WHEN scale = 0 THEN 0 ELSE (x - center) / scale END")} AS normalized FROM flat"""
 
 
+def _route_to(goal: str) -> str:
+    """One cheapest path from the first open cell to ``goal``, an (r, c) of the grid."""
+    return f"""WITH RECURSIVE {SETTLED}, parents AS (
+  SELECT dst_row, dst_col, min((src_row, src_col)) AS up FROM edges
+  JOIN settled a ON a.row = src_row AND a.col = src_col JOIN settled b ON b.row = dst_row AND b.col = dst_col
+  WHERE a.cost + weight = b.cost AND a.hops + 1 = b.hops GROUP BY 1, 2
+), back(row, col) AS (
+  SELECT row, col FROM settled WHERE (row, col) = ({goal})
+  UNION ALL SELECT up[1], up[2] FROM back JOIN parents ON dst_row = row AND dst_col = col
+)
+SELECT hops AS step, row, col, cost FROM settled JOIN back USING (row, col)"""
+
+
 def oracle_sql() -> dict[str, str]:
     fare, distance, minutes = "fare_amount", "trip_distance", "trip_duration_mins"
     trip_count = "COUNT(*) AS trip_count"
@@ -363,15 +376,8 @@ SELECT unnest(['before', 'duplicates', 'no_revenue_or_region', 'unreadable_reven
         "grid_distance": f"""WITH {CELLS} SELECT r AS row, c AS col, CAST(r + c AS DOUBLE) AS manhattan,
 {half_up("sqrt(CAST(r * r + c * c AS DOUBLE))", 6)} AS euclidean, CAST(greatest(r, c) AS DOUBLE) AS chebyshev FROM cells""",
         "shortest_paths": f"WITH RECURSIVE {SETTLED} SELECT * FROM settled",
-        "shortest_path_route": f"""WITH RECURSIVE {SETTLED}, parents AS (
-  SELECT dst_row, dst_col, min((src_row, src_col)) AS up FROM edges
-  JOIN settled a ON a.row = src_row AND a.col = src_col JOIN settled b ON b.row = dst_row AND b.col = dst_col
-  WHERE a.cost + weight = b.cost AND a.hops + 1 = b.hops GROUP BY 1, 2
-), back(row, col) AS (
-  SELECT row, col FROM settled WHERE (row, col) = (SELECT (r, c) FROM cells ORDER BY r DESC, c DESC LIMIT 1)
-  UNION ALL SELECT up[1], up[2] FROM back JOIN parents ON dst_row = row AND dst_col = col
-)
-SELECT hops AS step, row, col, cost FROM settled JOIN back USING (row, col)""",
+        "shortest_path_route": _route_to("SELECT (r, c) FROM cells ORDER BY r DESC, c DESC LIMIT 1"),
+        "shortest_path_directed": _route_to("SELECT (r, c) FROM cells WHERE 2 * r >= (SELECT max(p_partkey // k) FROM part, side) AND 2 * c >= (SELECT max(p_partkey % k) FROM part, side) ORDER BY r, c LIMIT 1"),
         "supply_graph_paths": """WITH RECURSIVE links AS (
   SELECT l_partkey * 2 AS p, l_suppkey * 2 + 1 AS s, min(l_quantity) AS w FROM lineitem GROUP BY 1, 2
 ), e AS (SELECT p AS a, s AS b, w FROM links UNION ALL SELECT s, p, w FROM links),

@@ -182,3 +182,36 @@ def test_hubs_are_split(spark, monkeypatch):
     edges = spark.createDataFrame([(0, i, float(i)) for i in range(1, 301)] + [(i, 301, 0.5) for i in range(1, 301)], "src bigint, dst bigint, weight double")
     found = {r.node: r.cost for r in graph.shortest_paths(edges, spark.createDataFrame([(0,)], "node bigint")).collect()}
     assert found == {0: 0.0, **{i: float(i) for i in range(1, 301)}, 301: 1.5}
+
+
+def _left(goal, kind="manhattan", factor=1.0):
+    return lambda node: factor * grid_distance(graph.cell_row(node), graph.cell_col(node), F.lit(goal[0]), F.lit(goal[1]), kind)
+
+
+def test_directed_path_is_the_cheapest_and_reads_less(spark):
+    rng = random.Random(11)
+    rows = ["".join("#" if rng.random() < 0.2 and (r, c) not in ((5, 7), (5, 11)) else "." for c in range(20)) for r in range(11)]
+    costs = [[rng.randint(1, 3) for _ in range(20)] for _ in range(11)]
+    edges = graph.grid_edges(grid(spark, rows, costs)).persist()
+    start, goal = (5, 7), (5, 11)
+    found = graph.shortest_path(edges, start[0] << 32 | start[1], goal[0] << 32 | goal[1], _left(goal)).persist()
+    want, got = dijkstra(rows, costs, start), costs_of(found)
+    assert got[goal] == want[goal] and all(want[n] == cost for n, cost in got.items())
+    assert len(got) < len(want) / 2
+    steps = graph.routes(edges, found, point(spark, goal)).orderBy("step").collect()
+    cells = [(r.node >> 32, r.node & 0xFFFFFFFF) for r in steps]
+    assert cells[0] == start and cells[-1] == goal and [r.cost for r in steps] == [want[c] for c in cells]
+    assert all(want[a] + costs[b[0]][b[1]] == want[b] and abs(a[0] - b[0]) + abs(a[1] - b[1]) == 1 for a, b in zip(cells, cells[1:]))
+
+
+def test_directed_path_out_of_reach_or_trivial(spark):
+    edges = graph.grid_edges(grid(spark, [".#.", ".#."]))
+    assert graph.shortest_path(edges, 0, 2, _left((0, 2))).isEmpty()
+    assert costs_of(graph.shortest_path(edges, 0, 0)) == {(0, 0): 0.0}
+
+
+@pytest.mark.parametrize("factor", [1.5, -1.0])
+def test_wrong_potentials_are_errors(spark, factor):
+    edges = graph.grid_edges(grid(spark, ["....", "...."]))
+    with pytest.raises(ValueError, match="potential"):
+        graph.shortest_path(edges, 0, 3, _left((0, 3), factor=factor))
