@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import as_column
+from plumbline.operators.block_paths import paths_by_block
 from plumbline.session import enable_checkpoints, scratch_table_path
 
 # The four neighbours of a cell as (row, col) steps.
 NEIGHBOURS = ((-1, 0), (1, 0), (0, -1), (0, 1))
+# Rows, and columns, of the cells in one block of a grid.
+BLOCK_SIDE = 256
 # Ways of one source in one partition.
 HUB_WAYS = 200_000
 # Nodes with more ways, in and out, are not contracted.
@@ -41,6 +44,11 @@ def cell_col(node: Column | str) -> Column:
     return as_column(node).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
+def grid_block(node: Column | str) -> Column:
+    """The square of a grid that a cell lies in, for the ``block`` of the path searches."""
+    return cell_id(F.floor(cell_row(node) / BLOCK_SIDE), F.floor(cell_col(node) / BLOCK_SIDE))
+
+
 def grid_edges(cells: DataFrame) -> DataFrame:
     """Edges (src, dst, weight) between open neighbours of ``cells(row, col, wall, cost)``.
 
@@ -142,8 +150,9 @@ def contracted(ways: DataFrame, kept: DataFrame, least_share: float = 0.15) -> t
 
 
 def shortest_paths(
-    edges: DataFrame, sources: DataFrame, steps_per_round: int = 8, max_rounds: int | None = None, contract: bool | None = None
-) -> DataFrame:
+    edges: DataFrame, sources: DataFrame, steps_per_round: int = 8, max_rounds: int | None = None, contract: bool | None = None,
+    block: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """Lowest cost from the nearest source to every node that can be reached.
 
     ``edges(src, dst, weight)`` with weights that are not negative, ``sources(node)``.
@@ -158,8 +167,16 @@ def shortest_paths(
     ``max_rounds`` is a guard that raises when paths are longer than expected; it never
     shortens a result. As it is about paths over the edges themselves, nothing is contracted
     where it is given, unless ``contract`` is true: then it is about what remains.
+
+    ``block`` maps a node to the number of the block it lies in, such as :func:`grid_block`.
+    Any function of the node is right; it serves where few ways lead from block to block and a
+    task can hold the ways of one. Blocks are then searched whole in tasks
+    (:func:`plumbline.operators.block_paths.paths_by_block`), ``max_rounds`` is about the blocks
+    that paths cross, and ``steps_per_round`` and ``contract`` do not matter.
     """
     exact = require_weights(edges)
+    if block:
+        return paths_by_block(edges, sources, block, max_rounds)
     contract = max_rounds is None if contract is None else contract
     ways = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(1).alias("hop"))
     ways, taken = contracted(ways, sources) if contract and exact else (ways, [])
@@ -236,8 +253,9 @@ def require_potential(edges: DataFrame, potential: Callable[[Column], Column], t
 
 
 def shortest_path(
-    edges: DataFrame, source: int, target: int, potential: Callable[[Column], Column] | None = None, steps_per_round: int = 4
-) -> DataFrame:
+    edges: DataFrame, source: int, target: int, potential: Callable[[Column], Column] | None = None, steps_per_round: int = 4,
+    block: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """Lowest costs from ``source`` to the nodes that can lie on a cheapest path to ``target``.
 
     Result as of :func:`shortest_paths`, for all nodes with cost plus potential up to the
@@ -248,17 +266,24 @@ def shortest_path(
     Without one all bounds are zero. A round takes steps only from nodes whose cost plus
     potential is below a limit, which rises while the target is not settled. Once the target
     has a cost, whatever cannot beat it is dropped. Waiting nodes and improvements are written
-    to the scratch folder each round.
+    to the scratch folder each round. With ``block``, as of :func:`shortest_paths`, a round searches
+    whole blocks that have such a node.
     """
     require_weights(edges)
     bound = potential or (lambda node: F.lit(0.0))
     if potential:
         require_potential(edges, potential, target)
     spark = edges.sparkSession
+    start = spark.createDataFrame([(source, 0.0, 0)], "node bigint, cost double, hops int")
+    if block:
+        reach = (edges.agg(F.avg("weight")).first()[0] or 1.0) * steps_per_round
+        found = paths_by_block(edges, start, block, bound=bound, target=target, reach=reach)
+        settled = F.col("cost") + bound(F.col("node"))
+        best = found.where(F.col("node") == target).agg(F.min("cost")).first()[0]
+        return start.limit(0) if best is None else found.where(settled <= best * (1 + 1e-9) + 1e-9)
     ways = edges.select("src", F.lit(0).alias("part"), "dst", F.col("weight").cast("double").alias("weight"), F.lit(1).alias("hop"))
     ways = ways.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "src").persist()
     reach = ways.agg(F.avg("weight")).first()[0] or 1.0
-    start = spark.createDataFrame([(source, 0.0, 0)], "node bigint, cost double, hops int")
     log, waiting = scratch_table_path(spark, "path"), scratch_table_path(spark, "waiting")
     read = spark.read.schema(start.schema)
     start.write.parquet(f"{log}/round=0")

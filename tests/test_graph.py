@@ -215,3 +215,67 @@ def test_wrong_potentials_are_errors(spark, factor):
     edges = graph.grid_edges(grid(spark, ["....", "...."]))
     with pytest.raises(ValueError, match="potential"):
         graph.shortest_path(edges, 0, 3, _left((0, 3), factor=factor))
+
+
+def _random_grid(seed, rows, cols, kept):
+    rng = random.Random(seed)
+    lines = ["".join("#" if rng.random() < 0.25 and (r, c) not in kept else "." for c in range(cols)) for r in range(rows)]
+    return lines, [[rng.randint(0, 3) for _ in range(cols)] for _ in range(rows)]
+
+
+@pytest.mark.parametrize("block", ["squares", "any", "one"])
+def test_blocks_give_the_same_costs_and_hops(spark, monkeypatch, block):
+    monkeypatch.setattr(graph, "BLOCK_SIDE", 5)
+    rows, costs = _random_grid(3, 17, 19, {(0, 0)})
+    edges = graph.grid_edges(grid(spark, rows, costs)).persist()
+    blocks = {"squares": graph.grid_block, "any": lambda node: F.pmod(F.hash(node), F.lit(7)), "one": lambda node: F.lit(0)}
+    found = graph.shortest_paths(edges, point(spark, (0, 0)), block=blocks[block])
+    best, queue, ways = {}, [(0.0, 0, 0)], {}
+    for e in edges.collect():
+        ways.setdefault(e.src, []).append((e.dst, e.weight))
+    while queue:
+        cost, hops, node = heapq.heappop(queue)
+        if node not in best:
+            best[node] = (cost, hops)
+            for other, weight in ways.get(node, ()):
+                heapq.heappush(queue, (cost + weight, hops + 1, other))
+    assert {r.node: (r.cost, r.hops) for r in found.collect()} == best and len(best) > 100
+
+
+def test_blocks_take_a_round_for_each_crossing(spark, monkeypatch):
+    monkeypatch.setattr(graph, "BLOCK_SIDE", 50)
+    edges = graph.grid_edges(grid(spark, ["." * 400]))
+    found = graph.shortest_paths(edges, point(spark, (0, 0)), block=graph.grid_block, max_rounds=8)
+    assert {r.node: (r.cost, r.hops) for r in found.collect()} == {i: (float(i), i) for i in range(400)}
+    with pytest.raises(RuntimeError):
+        graph.shortest_paths(edges, point(spark, (0, 0)), block=graph.grid_block, max_rounds=7)
+
+
+def test_blocks_with_loose_sources_broken_weights_and_parallel_ways(spark):
+    rows = [(i, i + 1, 0.1) for i in range(12)] + [(3, 4, 0.05), (3, 4, 0.05), (5, 5, 0.0), (6, 5, 0.0), (None, 2, 0.0), (2, None, 0.0)]
+    edges = spark.createDataFrame(rows, "src bigint, dst bigint, weight double")
+    sources = spark.createDataFrame([(0,), (0,), (99,), (None,)], "node bigint")
+    want, total = {0: (0.0, 0), 99: (0.0, 0)}, 0.0
+    for i in range(12):
+        total += 0.05 if i == 3 else 0.1
+        want[i + 1] = (total, i + 1)
+    for block in (lambda node: F.floor(node / 3), lambda node: node, lambda node: F.lit(1)):
+        assert {r.node: (r.cost, r.hops) for r in graph.shortest_paths(edges, sources, block=block).collect()} == want
+
+
+def test_directed_path_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(graph, "BLOCK_SIDE", 4)
+    start, goal = (5, 7), (5, 11)
+    rows, costs = _random_grid(11, 13, 22, {start, goal})
+    costs = [[cost + 1 for cost in line] for line in costs]
+    edges = graph.grid_edges(grid(spark, rows, costs)).persist()
+    first, last = start[0] << 32 | start[1], goal[0] << 32 | goal[1]
+    want = dijkstra(rows, costs, start)
+    for factor, left in ((1, _left(goal)), (0, None)):
+        found = costs_of(graph.shortest_path(edges, first, last, left, block=graph.grid_block))
+        assert found == {n: c for n, c in want.items() if c + factor * (abs(n[0] - goal[0]) + abs(n[1] - goal[1])) <= want[goal]}
+    steps = graph.routes(edges, graph.shortest_path(edges, first, last, _left(goal), block=graph.grid_block), point(spark, goal)).orderBy("step").collect()
+    assert [s.cost for s in steps] == [want[(s.node >> 32, s.node & 0xFFFFFFFF)] for s in steps] and steps[-1].node == last
+    walled = graph.grid_edges(grid(spark, [".#.", ".#."]))
+    assert graph.shortest_path(walled, 0, 2, _left((0, 2)), block=graph.grid_block).isEmpty()
+    assert costs_of(graph.shortest_path(walled, 0, 0, block=graph.grid_block)) == {(0, 0): 0.0}
