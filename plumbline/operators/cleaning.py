@@ -21,6 +21,8 @@ TRIP_ALIASES = {
 TRIP_RANGES = {"fare_amount": (1.0, 500.0), "trip_distance": (0.1, 100.0)}
 DURATION_MINUTES = (0.5, 300.0)
 DISTANCE_FLOOR = 0.1
+# Tasks over which dedupe spreads the copies of one key of a large table.
+COPY_SLICES = 16
 SALES_NUMBERS = ("quantity", "unit_price", "discount_pct", "revenue")
 
 
@@ -114,12 +116,22 @@ def between_filter(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) ->
     return df.where(reduce(and_, [F.col(c).between(low, high) for c, (low, high) in ranges.items()]))
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], tasks: int | None = None) -> DataFrame:
     """Keep the first row per key in the given order.
 
     Rank and filter together let Spark keep one row per key before the shuffle
     (``WindowGroupLimit``), so a key with very many copies costs one row per task.
+
+    ``tasks``, for tables too large for the session's shuffle partitions to sort in memory, deals
+    the rows over that many tasks: first by key and slice, so that copies of one key are spread,
+    then the first row of each slice by key. ``order`` must be plain columns there.
     """
+    if tasks:
+        places = [f"_order_{i}" for i in range(len(order))]
+        placed = df.select("*", *[(F.col(c) if isinstance(c, str) else c).alias(name) for c, name in zip(order, places)])
+        placed = placed.withColumn("_slice", F.pmod(F.xxhash64(*places), F.lit(COPY_SLICES)))
+        sliced = dedupe(placed.repartition(tasks, *keys, "_slice"), [*keys, "_slice"], places)
+        return dedupe(sliced.repartition(tasks, *keys), keys, places).drop("_slice", *places)
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_position", position).where("_position = 1").drop("_position")
 
@@ -175,19 +187,20 @@ def add_trip_features(trips: DataFrame) -> DataFrame:
 
 
 def clean_sales(
-    raw: DataFrame, keys: Sequence[str] = ("order_id",), order: Sequence[str | Column] = (), counts: RuleCounts | None = None
-) -> DataFrame:
+    raw: DataFrame, keys: Sequence[str] = ("order_id",), order: Sequence[str | Column] = (), counts: RuleCounts | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
     """Raw orders to typed orders, one per order id, with ``year_month``.
 
     Deduplication comes before the null filter: an order whose first copy lacks
     its revenue is gone, even if a later copy has one. ``order`` says which copy
     is first; by default the remaining columns decide, in table order.
     :func:`plumbline.sources.files.file_order` makes it the first as read from Parquet files.
-    ``counts`` takes the number of rows that each rule drops.
+    ``counts`` takes the number of rows that each rule drops; ``tasks`` is as of :func:`dedupe`.
     """
     sales = normalize_columns(raw, blank_to="_")
     order = list(order) or [c for c in sales.columns if c not in keys]
-    first = dedupe(_counted(counts, "before", sales), keys, order)
+    first = dedupe(_counted(counts, "before", sales), keys, order, tasks)
     return finish_sales(_counted(counts, "duplicates", first), counts)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline import session
 from plumbline.operators import cleaning, trips
-from plumbline.sources import files, synthetic
+from plumbline.sources import bindings, files, synthetic
 from plumbline.streaming.append import append_new_pages
 
 
@@ -269,3 +269,23 @@ def test_row_numbers_stay_when_a_scan_is_cut_otherwise(spark, folder):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert files.has_file_order(table) and not files.has_file_order(spark.range(3))
+
+
+def test_first_copy_in_file_order_over_more_tasks(spark, folder, monkeypatch):
+    rows = spark.range(3000).select((F.col("id") % 700).alias("order_id"), F.col("id").cast("string").alias("region"), F.lit(1.0).alias("revenue"), F.lit("2024-01-02").alias("date"))
+    # One order has very many copies.
+    rows.unionByName(rows.where("order_id < 400").withColumn("order_id", F.lit(5).cast("bigint"))).repartitionByRange(5, F.col("region")).write.parquet(f"{folder}/t")
+    raw = files.read_parquet(spark, f"{folder}/t")
+    plain = cleaning.clean_sales(raw, order=files.file_order())
+    over = cleaning.clean_sales(raw, order=files.file_order(), tasks=40)
+    assert over.columns == plain.columns and over.rdd.getNumPartitions() == 40
+    assert {tuple(r) for r in over.collect()} == {tuple(r) for r in plain.collect()} and over.count() == 700
+
+
+def test_tasks_follow_the_order_lines(spark, folder, monkeypatch):
+    spark.range(900).select(F.col("id").alias("l_orderkey")).write.parquet(f"{folder}/lineitem.parquet")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bindings.line_tasks(spark, folder) is None
+    monkeypatch.setattr(bindings, "TASK_LINES", 30)
+    assert bindings.line_tasks(spark, folder) == 30 > partitions
+    assert bindings._by_order(spark, folder).rdd.getNumPartitions() == 30
