@@ -19,6 +19,8 @@ BLOCK_SIDE = 256
 HUB_WAYS = 200_000
 # Nodes with more ways, in and out, are not contracted.
 MOST_WAYS = 24
+# Share of the nodes that a round of contraction must be able to take away.
+LEAST_SHARE = 0.15
 # Chosen nodes up to which each executor gets them all.
 BROADCAST_NODES = 200_000
 # Nodes of a frontier up to which a round takes all its steps.
@@ -110,6 +112,19 @@ def _least(ways: DataFrame) -> DataFrame:
     return best.select("src", "dst", "way.weight", "way.hop")
 
 
+def _simple(edges: DataFrame) -> DataFrame:
+    """Ways of one hop, the cheapest from each node to each other."""
+    best = edges.where("src != dst").groupBy("src", "dst").agg(F.min(F.col("weight").cast("double")).alias("weight"))
+    return best.withColumn("hop", F.lit(1))
+
+
+def _few_ways(ways: DataFrame) -> tuple[int, int]:
+    """Nodes of few enough ways to be contracted, and all nodes."""
+    degrees = ways.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    found = degrees.agg(F.count_if(F.col("degree") <= MOST_WAYS).alias("few"), F.count(F.lit(1)).alias("nodes")).first()
+    return found.few, found.nodes
+
+
 def _independent(ways: DataFrame, kept: DataFrame, round: int) -> DataFrame:
     """Nodes of few ways, no two of them neighbours, none of ``kept``: those that come before all their neighbours."""
     ends = ways.select(F.col("src").alias("node"), F.col("dst").alias("other")).unionByName(ways.select(F.col("dst").alias("node"), F.col("src").alias("other")))
@@ -120,7 +135,7 @@ def _independent(ways: DataFrame, kept: DataFrame, round: int) -> DataFrame:
     return chosen.select("node").join(kept, "node", "left_anti")
 
 
-def contracted(ways: DataFrame, kept: DataFrame, least_share: float = 0.15) -> tuple[DataFrame, list[DataFrame]]:
+def contracted(ways: DataFrame, kept: DataFrame, least_share: float = LEAST_SHARE) -> tuple[DataFrame, list[DataFrame]]:
     """A smaller graph with the same least costs between the nodes that remain, and what leads back to the others.
 
     ``ways`` are (src, dst, weight, hop), ``kept(node)`` stay. A round takes away a set of
@@ -179,7 +194,13 @@ def shortest_paths(
         return paths_by_block(edges, sources, block, max_rounds)
     contract = max_rounds is None if contract is None else contract
     ways = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(1).alias("hop"))
-    ways, taken = contracted(ways, sources) if contract and exact else (ways, [])
+    taken: list[DataFrame] = []
+    if contract and exact:
+        ways = _settled(_simple(edges), "simple")
+        few, nodes = _few_ways(ways)
+        # A round takes away none but nodes of few ways; where these are too few, it need not be tried.
+        if few and few >= LEAST_SHARE * nodes:
+            ways, taken = contracted(ways, sources)
     found = _relaxed(ways, sources, steps_per_round, max_rounds)
     spark = edges.sparkSession
     log = scratch_table_path(spark, "paths-back")
@@ -210,10 +231,10 @@ def _relaxed(ways: DataFrame, sources: DataFrame, steps_per_round: int, max_roun
     most = ways.groupBy("src").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     parts = -(-most // HUB_WAYS) or 1
     ways = ways.select("src", F.pmod(F.hash("dst"), F.lit(parts)).alias("part"), "dst", "weight", "hop")
+    key = ["src"] if parts == 1 else ["src", "part"]
     # A step to itself keeps a node's offer, so that several steps are one chain of joins.
     ends = ways.select(F.explode(F.array("src", "dst")).alias("src")).unionByName(sources.select(F.col("node").alias("src")))
     stays = ends.distinct().select("src", F.lit(0).alias("part"), F.col("src").alias("dst"), F.lit(0.0).alias("weight"), F.lit(0).alias("hop"))
-    key = ["src"] if parts == 1 else ["src", "part"]
     # As many partitions as shuffles have: a step's result then meets the ways where it was made.
     kept = ways.unionByName(stays).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *key).persist()
     log = scratch_table_path(spark, "paths")
@@ -325,7 +346,8 @@ def _passed_on(frontier: DataFrame, ways: DataFrame, parts: int) -> DataFrame:
     senders = frontier.select(F.col("node").alias("src"), "cost", "hops")
     if parts > 1:
         senders = senders.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return senders.join(ways if parts > 1 else ways.drop("part"), ["src", "part"] if parts > 1 else "src").select(
+    # The frontier is looked up, so that the far more ways are not sorted at every step.
+    return senders.hint("shuffle_hash").join(ways if parts > 1 else ways.drop("part"), ["src", "part"] if parts > 1 else "src").select(
         F.col("dst").alias("node"), (F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + F.col("hop")).alias("hops")
     )
 

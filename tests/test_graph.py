@@ -279,3 +279,31 @@ def test_directed_path_by_blocks(spark, monkeypatch):
     walled = graph.grid_edges(grid(spark, [".#.", ".#."]))
     assert graph.shortest_path(walled, 0, 2, _left((0, 2)), block=graph.grid_block).isEmpty()
     assert costs_of(graph.shortest_path(walled, 0, 0, block=graph.grid_block)) == {(0, 0): 0.0}
+
+
+def test_dense_graphs_are_not_contracted(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("no node has few ways")
+
+    monkeypatch.setattr(graph, "contracted", refused)
+    rng = random.Random(5)
+    links = [(a, 100 + b, float(rng.randint(1, 50))) for a in range(30) for b in range(30)]
+    rows = links + [(b, a, w) for a, b, w in links] + [(0, 100, 60.0), (7, 7, 0.0), (None, 3, 1.0)]
+    best, queue = {}, [(0.0, 0, 0)]
+    while queue:
+        cost, hops, node = heapq.heappop(queue)
+        if node not in best:
+            best[node] = (cost, hops)
+            for a, b, w in rows:
+                if a == node:
+                    heapq.heappush(queue, (cost + w, hops + 1, b))
+    edges = spark.createDataFrame(rows, "src bigint, dst bigint, weight double")
+    found = graph.shortest_paths(edges, spark.createDataFrame([(0,)], "node bigint"))
+    assert {r.node: (r.cost, r.hops) for r in found.collect()} == best and len(best) == 60
+
+
+def test_steps_do_not_sort_the_ways(spark):
+    ways = spark.range(1000).select(F.col("id").alias("src"), F.lit(0).alias("part"), (F.col("id") + 1).alias("dst"), F.lit(1.0).alias("weight"), F.lit(1).alias("hop"))
+    frontier = spark.range(10).select(F.col("id").alias("node"), F.lit(0.0).alias("cost"), F.lit(0).alias("hops"))
+    plan = graph._passed_on(frontier, ways, 1)._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
