@@ -29,8 +29,6 @@ LANGUAGES = 500
 LONGEST = 5
 # A text counts as at most so many words when its score is formed, so that scores stay comparable.
 EVIDENCE = 20
-# Words kept in a worker's memory; texts of junk must not make it grow.
-REMEMBERED = 300_000
 
 
 def _signs(*categories: str) -> frozenset[str]:
@@ -85,25 +83,27 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Model:
-    """Log frequencies per language of words and of n-grams of each length."""
+    """Log frequencies per language of words and of n-grams of each length.
 
-    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
+    ``words`` and ``grams`` give the row that a name has in ``word_rows`` or ``gram_rows``.
+    Every worker holds the model, so it has two arrays and not one for each name, and keeps
+    nothing of the texts it has judged.
+    """
+
+    def __init__(self, languages: list[str], words: dict[str, int], word_rows: np.ndarray, grams: dict[str, int], gram_rows: np.ndarray):
         self.languages, self.words, self.grams = languages, words, grams
+        self.word_rows, self.gram_rows = word_rows, gram_rows
         # What a character costs of which the model knows nothing.
         self.nothing = np.full(len(languages), -12.0)
-        self.seen: dict[str, int] = {}
-        self.rows = np.zeros((0, len(languages)))
-        self.used = 0
-
-    def word(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return known
+
+    def _score(self, word: str) -> np.ndarray:
+        """The score of a word that the model does not know."""
         total, i, pieces = np.zeros(len(self.languages)), 0, 0
         while i < len(word):
             for size in range(min(LONGEST, len(word) - i), 0, -1):
-                score = self.grams.get(word[i : i + size])
-                if score is not None:
+                at = self.grams.get(word[i : i + size])
+                if at is not None:
+                    score = self.gram_rows[at]
                     break
             else:
                 score = self.nothing
@@ -112,32 +112,28 @@ class Model:
             pieces += 1
         return total / pieces
 
-    def _index(self, word: str) -> int:
-        at = self.used
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros((max(4096, at), len(self.languages)))])
-        self.rows[at] = self.word(word)
-        self.seen[word] = at
-        self.used += 1
-        return at
-
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(words_of(text)) if text else None
         if not counts or not self.languages:
             return UNKNOWN, 0.0
-        if len(self.seen) + len(counts) > REMEMBERED:
-            self.seen, self.used = {}, 0
-        seen = self.seen
-        at = [seen[w] if w in seen else self._index(w) for w in counts]
+        words = self.words
+        at = np.array([words.get(word, -1) for word in counts])
+        rows = np.empty((len(at), len(self.languages)))
+        known = at >= 0
+        rows[known] = self.word_rows[at[known]]
+        if len(new := np.flatnonzero(~known)):
+            names = list(counts)
+            for i in new.tolist():
+                rows[i] = self._score(names[i])
         n = np.fromiter(counts.values(), float, len(counts))
         # Rounding makes equal evidence equal whatever the order of words in memory.
-        scores = np.round(n @ self.rows[at] / n.sum(), 9) * min(n.sum(), EVIDENCE)
+        scores = np.round(n @ rows / n.sum(), 9) * min(n.sum(), EVIDENCE)
         best = int(scores.argmax())
         return self.languages[best], float(1 / np.exp(scores - scores[best]).sum())
 
 
-def _table(counted: DataFrame, by_length: bool, languages: list[str], limit: int) -> dict[str, np.ndarray]:
-    """Smoothed log frequencies of the ``limit`` most frequent names of each language; totals are by length if asked."""
+def _table(counted: DataFrame, by_length: bool, languages: list[str], limit: int) -> tuple[dict[str, int], np.ndarray]:
+    """The ``limit`` most frequent names of each language, and the row of each in their smoothed log frequencies; totals are by length if asked."""
     counted = settled(counted.groupBy("lang", "name").agg(F.sum("n").alias("n")), "counts")
     size = F.length("name") if by_length else F.lit(0)
     sizes = {(r["lang"], r["size"]): float(r["n"]) for r in counted.groupBy("lang", size.alias("size")).agg(F.sum("n").alias("n")).collect()}
@@ -145,12 +141,16 @@ def _table(counted: DataFrame, by_length: bool, languages: list[str], limit: int
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "name"))
     chosen = counted.withColumn("place", place).where(F.col("place") <= limit).select("name").distinct()
     at = {lang: i for i, lang in enumerate(languages)}
-    table: dict[str, np.ndarray] = {}
-    for row in counted.join(chosen, "name").orderBy("name", "lang").collect():
-        table.setdefault(row["name"], np.zeros(len(languages), np.float32))[at[row["lang"]]] += row["n"]
-    kind = len if by_length else lambda name: 0
-    totals = {k: np.array([sizes.get((lang, k), 0.0) for lang in languages]) for k in {kind(name) for name in table}}
-    return {name: np.log((c + 0.5) / (totals[kind(name)] + 1000.0)).astype(np.float32) for name, c in table.items()}
+    found = counted.join(chosen, "name").orderBy("name", "lang").collect()
+    names: dict[str, int] = {}
+    for row in found:
+        names.setdefault(row["name"], len(names))
+    counts = np.zeros((len(names), len(languages)), np.float32)
+    for row in found:
+        counts[names[row["name"]], at[row["lang"]]] += row["n"]
+    kinds = np.fromiter((len(name) if by_length else 0 for name in names), np.int64, len(names))
+    totals = np.array([[sizes.get((lang, k), 0.0) for lang in languages] for k in range(LONGEST + 1)])
+    return names, np.log((counts + 0.5) / (totals[kinds] + 1000.0)).astype(np.float32)
 
 
 def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, languages: int = LANGUAGES, words: int = WORDS, grams: int = GRAMS) -> Model:
@@ -173,7 +173,7 @@ def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, languages
 
     shape = "lang string, name string, n bigint"
     counted = settled(sample.mapInPandas(_count_words, shape).groupBy("lang", "name").agg(F.sum("n").alias("n")), "words")
-    return Model(names, _table(counted, False, names, words), _table(counted.mapInPandas(_count_grams, shape), True, names, grams))
+    return Model(names, *_table(counted, False, names, words), *_table(counted.mapInPandas(_count_grams, shape), True, names, grams))
 
 
 def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

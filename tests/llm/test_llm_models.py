@@ -1,7 +1,10 @@
 """Language and toxicity models: held-out accuracy, boundaries and the counterfactual penalty."""
 
+import itertools
 import math
+import pickle
 import re
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -136,3 +139,25 @@ def test_language_against_direct_counting(spark):
         share = 1 / sum(math.exp(m - max(mean)) for m in mean)
         assert abs(got[i]["score"] - share) < 1e-5
         assert mean[languages.index(got[i]["lang_pred"])] >= max(mean) - 1e-5
+
+
+def test_a_worker_needs_little_memory_for_languages(spark):
+    """Bytes in memory for each name of a model as a worker loads it, and for each unknown word it has judged."""
+    words = ["".join(w) for w in itertools.product("abcdefghijklmnopqrst", repeat=4)][:40_000]
+    texts = [" ".join(words[i::80]) for i in range(80)]
+    model = language_id.learn(documents(spark, [(i, t, f"l{i % 4}", "s") for i, t in enumerate(texts)]))
+    names = len(model.words) + len(model.grams)
+    assert names > 40_000
+    sent = pickle.dumps(model)
+    del model
+    tracemalloc.start()
+    try:
+        model = pickle.loads(sent)
+        loaded = tracemalloc.get_traced_memory()[0]
+        for i in range(100):
+            model.predict(" ".join(f"{w}{chr(97 + i % 26)}zy" for w in words[400 * i : 400 * (i + 1)]))
+        kept = tracemalloc.get_traced_memory()[0] - loaded
+    finally:
+        tracemalloc.stop()
+    assert loaded < 220 * names
+    assert kept < 100_000
